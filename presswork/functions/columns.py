@@ -7,9 +7,13 @@ from collections.abc import Mapping
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Every character that str.isspace() accepts, as a regular-expression class body.
-SPACE_CLASS = (
-    r"\t-\r\x1c- \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+# Every character that str.isspace() accepts.
+SPACES = "".join(
+    map(
+        chr,
+        [*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680]
+        + [*range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000],
+    )
 )
 
 
@@ -24,14 +28,14 @@ def is_filled(column: Column) -> Column:
     return F.coalesce(F.length(column) > 0, F.lit(False))
 
 
-def is_blank(column: Column) -> Column:
-    """True when the text is NULL, empty or only Unicode whitespace."""
-    return ~F.coalesce(column.rlike(rf"[^{SPACE_CLASS}]"), F.lit(False))
+def strip(column: Column) -> Column:
+    """Remove leading and trailing Unicode whitespace; only the ends of the text are read."""
+    return F.btrim(column, F.lit(SPACES))
 
 
-def strip(column: Column) -> Column:
-    """Remove leading and trailing Unicode whitespace."""
-    return F.regexp_replace(column, rf"^[{SPACE_CLASS}]+|[{SPACE_CLASS}]+\z", "")
+def is_blank(column: Column) -> Column:
+    """True when the text is NULL, empty or only Unicode whitespace."""
+    return ~is_filled(strip(column))
 
 
 def lookup(key: Column, table: Mapping[str, str]) -> Column:

@@ -5,48 +5,72 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from presswork.functions.columns import SPACE_CLASS
-from presswork.functions.markup import simple_tag_pattern, visible_text_udf
+from presswork.functions.markup import simple_markup_pattern, visible_text_udf
 
 # An ampersand inside an attribute is harmless unless unescaping it could yield a quote or bracket.
-_SIMPLE_TAG = simple_tag_pattern("&(?!#|lt|gt|quot|apos|nv)")
+_SIMPLE_MARKUP = simple_markup_pattern("&(?!#|lt|gt|quot|apos|nv)")
 
-# Characters that NFKC leaves alone, in any order: ASCII, the letters and stable signs of Latin-1,
-# and common dashes, quotes, bullet and euro sign.
-_STABLE_CLASS = (
-    r"\x00-\x7f\xa1-\xa7\xa9\xab-\xae\xb0\xb1\xb6\xb7\xbb\xbf-\xff"
-    r"–—‘’“”•€"
-)
-_NEEDS_PYTHON = rf"[<&]|[^{_STABLE_CLASS}]"
+# Characters beyond ASCII that NFKC leaves alone in any order: the letters and stable signs of
+# Latin-1, and common dashes, quotes, bullet and euro sign.
+_STABLE_CLASS = r"\xa1-\xa7\xa9\xab-\xae\xb0\xb1\xb6\xb7\xbb\xbf-\xff–—‘’“”•€"
+# One range test per character; the class is consulted for non-ASCII characters only.
+_UNSTABLE = rf"[^\x00-\x7f](?<![{_STABLE_CLASS}])"
 
-# Whitespace runs other than one plain space.
-_SPACE_RUN = rf"[\t-\r\x1c-\x1f][{SPACE_CLASS}]*| [{SPACE_CLASS}]+"
+# Whitespace that can occur in a text without unstable characters.
+_SPACE_RUN = r"[\t-\r\x1c- ]+"
+
+
+# --- Fixed values: character references resolved by built-in functions ------------------------
+# Each stands for a character that is neither markup nor changed by NFKC (a no-break space, which
+# NFKC turns into a space, aside). The ampersand comes last: what it uncovers is not resolved again.
+REFERENCES = {
+    "&nbsp;": " ",
+    "&quot;": '"',
+    "&apos;": "'",
+    "&#39;": "'",
+    "&#039;": "'",
+    "&lsquo;": "‘",
+    "&rsquo;": "’",
+    "&ldquo;": "“",
+    "&rdquo;": "”",
+    "&ndash;": "–",
+    "&mdash;": "—",
+    "&middot;": "·",
+    "&copy;": "©",
+    "&amp;": "&",
+}
+# ----------------------------------------------------------------------------------------------
+
+
+def _bare(text: Column) -> Column:
+    """Text without simple markup, common references resolved."""
+    tagged = F.contains(text, F.lit("<"))
+    bare = F.when(tagged, F.regexp_replace(text, _SIMPLE_MARKUP, " ")).otherwise(text)
+    resolved = bare
+    for reference, character in REFERENCES.items():
+        resolved = F.replace(resolved, F.lit(reference), F.lit(character))
+    return F.when(F.contains(text, F.lit("&")), resolved).otherwise(bare)
+
+
+def _plain(bare: Column) -> Column:
+    """The finished text, or NULL when only Python gives the exact result."""
+    referring = F.contains(bare, F.lit("&")) & bare.rlike("&[a-zA-Z#]")
+    hard = F.contains(bare, F.lit("<")) | referring | bare.rlike(_UNSTABLE)
+    return F.when(~hard, F.trim(F.regexp_replace(bare, _SPACE_RUN, " ")))
 
 
 def with_clean_text(df: DataFrame, **texts: Column) -> DataFrame:
     """Add one sanitised text column per keyword.
 
     Entities are unescaped, markup is dropped with a space between text nodes, the text is
-    NFKC-normalised, whitespace collapses and NULL becomes empty. Plain text and simple markup
-    are handled by built-in expressions. The Python function receives only the other values; for
+    NFKC-normalised, whitespace collapses and NULL becomes empty. Plain text, simple markup and
+    common references are handled by built-in expressions. The Python function receives only the other values; for
     the rest its input is NULL, so nothing is copied out of the JVM for them.
     """
     names = list(texts)
     raw = df.select("*", *[texts[n].alias(f"_raw_{n}") for n in names])
-    untagged = raw.select(
-        "*",
-        *[F.regexp_replace(f"_raw_{n}", _SIMPLE_TAG, " ").alias(f"_bare_{n}") for n in names],
-    )
-    plain = untagged.select(
-        "*",
-        *[
-            F.when(
-                ~F.col(f"_bare_{n}").rlike(_NEEDS_PYTHON),
-                F.trim(F.regexp_replace(f"_bare_{n}", _SPACE_RUN, " ")),
-            ).alias(f"_plain_{n}")
-            for n in names
-        ],
-    )
+    bared = raw.select("*", *[_bare(F.col(f"_raw_{n}")).alias(f"_bare_{n}") for n in names])
+    plain = bared.select("*", *[_plain(F.col(f"_bare_{n}")).alias(f"_plain_{n}") for n in names])
     hard = [
         visible_text_udf()(F.when(F.col(f"_plain_{n}").isNull(), F.col(f"_raw_{n}"))) for n in names
     ]
