@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -33,15 +33,25 @@ def strip(column: Column) -> Column:
     return F.btrim(column, F.lit(SPACES))
 
 
-def is_blank(column: Column) -> Column:
-    """True when the text is NULL, empty or only Unicode whitespace."""
-    return ~is_filled(strip(column))
+def quote(text: str) -> str:
+    """SQL string literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def lookup(key: Column, table: Mapping[str, str]) -> Column:
-    """Exact-match dictionary lookup; a miss, or a NULL key, gives NULL."""
-    pairs = [F.lit(item) for pair in table.items() for item in pair]
-    return F.try_element_at(F.create_map(*pairs), key)
+def lookup(key: str, table: Mapping[str, str]) -> str:
+    """SQL of an exact-match dictionary lookup; a miss, or a NULL key, gives NULL."""
+    cases = " ".join(f"WHEN {quote(k)} THEN {quote(v)}" for k, v in table.items())
+    return f"CASE {key} {cases} END"
+
+
+def one_of(values: Iterable[str]) -> str:
+    """SQL list of string literals for IN."""
+    return "(" + ", ".join(quote(v) for v in values) + ")"
+
+
+def stripped(text: str) -> str:
+    """SQL of :func:`strip`."""
+    return f"btrim({text}, {quote(SPACES)})"
 
 
 def label_key(label: Column) -> Column:
@@ -49,9 +59,10 @@ def label_key(label: Column) -> Column:
     return F.coalesce(label, F.lit("null"))
 
 
-def content_key(content: Column) -> Column:
+def content_key(content: str = "content") -> Column:
     """SHA-256 of the stripped, lower-cased content; NULL counts as empty text."""
-    return F.sha2(F.lower(strip(F.coalesce(content, F.lit("")))), 256)
+    text = f"coalesce({content}, '')"
+    return F.expr(f"sha2(lower({stripped(text)}), 256)")
 
 
 def ratio(part: Column, whole: Column) -> Column:
@@ -59,9 +70,8 @@ def ratio(part: Column, whole: Column) -> Column:
     return F.when(whole > 0, part / whole).otherwise(F.lit(0.0))
 
 
-def stable_uuid(*parts: Column) -> Column:
-    """UUID-shaped digest of the given values; the same record keeps its id on every run."""
-    digest = F.sha2(F.concat_ws(":", *parts), 256)
-    return F.regexp_replace(
-        F.substring(digest, 1, 32), r"^(.{8})(.{4})(.{4})(.{4})(.{12})$", "$1-$2-$3-$4-$5"
-    )
+def stable_uuid(source: str, key: str) -> str:
+    """SQL of a UUID-shaped digest; the same record keeps its id on every run."""
+    digest = f"sha2(concat({quote(source + ':')}, {key}), 256)"
+    parts = r"^(.{8})(.{4})(.{4})(.{4})(.{12}).*"
+    return f"regexp_replace({digest}, {quote(parts)}, '$1-$2-$3-$4-$5')"

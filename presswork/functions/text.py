@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from presswork.functions.columns import quote
 from presswork.functions.markup import simple_markup_pattern, visible_text_udf
 
 # An ampersand inside an attribute is harmless unless unescaping it could yield a quote or bracket.
@@ -13,8 +14,8 @@ _SIMPLE_MARKUP = simple_markup_pattern("&(?!#|lt|gt|quot|apos|nv)")
 # Characters beyond ASCII that NFKC leaves alone in any order: the letters and stable signs of
 # Latin-1, and common dashes, quotes, bullet and euro sign.
 _STABLE_CLASS = r"\xa1-\xa7\xa9\xab-\xae\xb0\xb1\xb6\xb7\xbb\xbf-\xff–—‘’“”•€"
-# One range test per character; the class is consulted for non-ASCII characters only.
-_UNSTABLE = rf"[^\x00-\x7f](?<![{_STABLE_CLASS}])"
+# An intersection, so that one range test settles every ASCII character.
+_UNSTABLE = rf"[\x80-\x{{10ffff}}&&[^{_STABLE_CLASS}]]"
 
 # Whitespace that can occur in a text without unstable characters.
 _SPACE_RUN = r"[\t-\r\x1c- ]+"
@@ -42,43 +43,42 @@ REFERENCES = {
 # ----------------------------------------------------------------------------------------------
 
 
-def _bare(text: Column) -> Column:
-    """Text without simple markup, common references resolved."""
-    tagged = F.contains(text, F.lit("<"))
-    bare = F.when(tagged, F.regexp_replace(text, _SIMPLE_MARKUP, " ")).otherwise(text)
-    resolved = bare
+def _stages(name: str, raw: str) -> list[str]:
+    """SQL columns from the raw text to the finished text ``_plain`` or, where only Python gives
+    the exact result, the raw text ``_hard``; each refers to the ones before it."""
+    c = {k: f"_{k}_{name}" for k in ("raw", "untagged", "bare", "plain", "hard")}
+    resolved = c["untagged"]
     for reference, character in REFERENCES.items():
-        resolved = F.replace(resolved, F.lit(reference), F.lit(character))
-    return F.when(F.contains(text, F.lit("&")), resolved).otherwise(bare)
-
-
-def _plain(bare: Column) -> Column:
-    """The finished text, or NULL when only Python gives the exact result."""
-    referring = F.contains(bare, F.lit("&")) & bare.rlike("&[a-zA-Z#]")
-    hard = F.contains(bare, F.lit("<")) | referring | bare.rlike(_UNSTABLE)
-    return F.when(~hard, F.trim(F.regexp_replace(bare, _SPACE_RUN, " ")))
+        resolved = f"replace({resolved}, {quote(reference)}, {quote(character)})"
+    untagged = f"regexp_replace({c['raw']}, {quote(_SIMPLE_MARKUP)}, ' ')"
+    easy = (
+        f"NOT contains({c['bare']}, '<') AND NOT rlike({c['bare']}, {quote(_UNSTABLE)}) AND "
+        f"NOT (contains({c['bare']}, '&') AND rlike({c['bare']}, '&[a-zA-Z#]'))"
+    )
+    collapsed = f"trim(regexp_replace({c['bare']}, {quote(_SPACE_RUN)}, ' '))"
+    return [
+        f"{raw} AS {c['raw']}",
+        f"CASE WHEN contains({c['raw']}, '<') THEN {untagged} ELSE {c['raw']} END AS {c['untagged']}",
+        f"CASE WHEN contains({c['raw']}, '&') THEN {resolved} ELSE {c['untagged']} END AS {c['bare']}",
+        f"CASE WHEN {easy} THEN {collapsed} END AS {c['plain']}",
+        f"CASE WHEN {c['plain']} IS NULL THEN {c['raw']} END AS {c['hard']}",
+    ]
 
 
-def with_clean_text(df: DataFrame, **texts: Column) -> DataFrame:
-    """Add one sanitised text column per keyword.
+def with_clean_text(df: DataFrame, **texts: str) -> DataFrame:
+    """Add one sanitised text column per keyword, given as the SQL of the raw text.
 
     Entities are unescaped, markup is dropped with a space between text nodes, the text is
     NFKC-normalised, whitespace collapses and NULL becomes empty. Plain text, simple markup and
-    common references are handled by built-in expressions. The Python function receives only the other values; for
-    the rest its input is NULL, so nothing is copied out of the JVM for them.
+    common references are handled by built-in expressions. The Python function receives only the
+    other values; for the rest its input is NULL, so nothing is copied out of the JVM for them.
     """
-    names = list(texts)
-    raw = df.select("*", *[texts[n].alias(f"_raw_{n}") for n in names])
-    bared = raw.select("*", *[_bare(F.col(f"_raw_{n}")).alias(f"_bare_{n}") for n in names])
-    plain = bared.select("*", *[_plain(F.col(f"_bare_{n}")).alias(f"_plain_{n}") for n in names])
-    hard = [
-        visible_text_udf()(F.when(F.col(f"_plain_{n}").isNull(), F.col(f"_raw_{n}"))) for n in names
-    ]
-    keep = [c for c in df.columns if c not in names]
-    return plain.select(
+    keep = [f"`{c}`" for c in df.columns if c not in texts]
+    stages = [column for name, raw in texts.items() for column in _stages(name, raw)]
+    carried = [f"_{k}_{name}" for name in texts for k in ("plain", "hard")]
+    staged = df.selectExpr("*", *stages).select(*keep, *carried)
+    udf = visible_text_udf()
+    return staged.select(
         *keep,
-        *[
-            F.coalesce(F.col(f"_plain_{n}"), udf, F.lit("")).alias(n)
-            for n, udf in zip(names, hard, strict=True)
-        ],
+        *[F.coalesce(f"_plain_{n}", udf(f"_hard_{n}"), F.lit("")).alias(n) for n in texts],
     )

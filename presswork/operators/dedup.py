@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 
 def keep_first(df: DataFrame, key: str, order: str = "_seq") -> DataFrame:
@@ -13,5 +12,6 @@ def keep_first(df: DataFrame, key: str, order: str = "_seq") -> DataFrame:
     limit below the shuffle: each task passes on at most one row per key, so a key that holds a
     large share of the input does not pile up in one task.
     """
-    rank = F.row_number().over(Window.partitionBy(key).orderBy(order))
-    return df.dropna(subset=[key]).withColumn("_rank", rank).where("_rank = 1").drop("_rank")
+    rank = f"row_number() OVER (PARTITION BY `{key}` ORDER BY `{order}`) AS _rank"
+    present = df.where(f"`{key}` IS NOT NULL")
+    return present.selectExpr("*", rank).where("_rank = 1").drop("_rank")

@@ -90,7 +90,7 @@ def leakage_count(df: DataFrame) -> DataFrame:
     """
     number = F.array_position(F.array(*[F.lit(s) for s in S.SPLITS]), F.col("split"))
     return (
-        df.select(content_key(F.col("content")).alias("content_key"), number.alias("number"))
+        df.select(content_key().alias("content_key"), number.alias("number"))
         .groupBy("content_key")
         .agg(F.min("number").alias("low"), F.max("number").alias("high"))
         .agg(F.count_if(F.col("low") < F.col("high")).alias("leakage"))

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from presswork import schemas as S
-from presswork.functions.columns import first_filled, is_filled, lookup, stable_uuid, strip
+from presswork.functions.columns import lookup, quote, stable_uuid, stripped
 from presswork.functions.text import with_clean_text
 
 Moment = datetime | Column
@@ -19,52 +19,60 @@ def _as_column(value: Moment) -> Column:
     return value if isinstance(value, Column) else F.lit(value).cast("timestamp")
 
 
+def _filled(text: str) -> str:
+    return f"coalesce(length({text}) > 0, false)"
+
+
+def _first_filled(first: str, second: str) -> str:
+    """The first text unless it is NULL or empty, else the second as it is."""
+    return f"coalesce(nullif({first}, ''), {second})"
+
+
 def _articles(
     df: DataFrame,
     source: str,
     collected_at: Moment,
     *,
-    title: Column,
-    content: Column | None = None,
-    image_url: Column,
-    label: Column,
-    label_detail: Column,
-    domain: Column,
+    title: str,
+    content: str | None = None,
+    image_url: str,
+    label: str,
+    label_detail: str,
+    domain: str,
     credibility: str,
     method: str,
 ) -> DataFrame:
-    """Common record builder. Without ``content`` the title text serves as both, cleaned once."""
-    record = {
-        "id": stable_uuid(F.lit(source), F.col(S.NATURAL_KEYS[source])),
-        "image_url": image_url,
-        "label": label,
-        "label_detail": label_detail,
-        "domain": domain,
-    }
-    texts = {"title": title} if content is None else {"title": title, "content": content}
-    base = df.select(
+    """Common record builder; every value is given as SQL.
+
+    Without ``content`` the title text serves as both and is cleaned once.
+    """
+    texts = {"title": "_title"} if content is None else {"title": "_title", "content": "_content"}
+    base = df.selectExpr(
         "_seq",
-        *[c.cast("string").alias(n) for n, c in record.items()],
-        *[c.alias(f"_in_{n}") for n, c in texts.items()],
+        f"{stable_uuid(source, S.NATURAL_KEYS[source])} AS id",
+        f"CAST({image_url} AS STRING) AS image_url",
+        f"CAST({label} AS STRING) AS label",
+        f"CAST({label_detail} AS STRING) AS label_detail",
+        f"CAST({domain} AS STRING) AS domain",
+        f"{title} AS _title",
+        *([] if content is None else [f"{content} AS _content"]),
     )
-    clean = with_clean_text(base, **{n: F.col(f"_in_{n}") for n in texts})
-    return clean.select(
-        "_seq",
-        "id",
-        F.lit(source).alias("source"),
-        "title",
-        F.col("title" if content is None else "content").alias("content"),
-        "image_url",
-        "label",
-        "label_detail",
-        F.lit(S.LANGUAGE).alias("language"),
-        "domain",
+    return with_clean_text(base, **texts).select(
+        F.expr("_seq"),
+        F.expr("id"),
+        F.expr(f"{quote(source)} AS source"),
+        F.expr("title"),
+        F.expr(f"{'title' if content is None else 'content'} AS content"),
+        F.expr("image_url"),
+        F.expr("label"),
+        F.expr("label_detail"),
+        F.expr(f"{quote(S.LANGUAGE)} AS language"),
+        F.expr("domain"),
         _as_column(collected_at).alias("collected_at"),
-        F.struct(
-            F.lit(credibility).alias("source_credibility"),
-            is_filled(F.col("image_url")).alias("has_image"),
-            F.lit(method).alias("label_method"),
-        ).alias("metadata"),
+        F.expr(
+            f"named_struct('source_credibility', {quote(credibility)}, "
+            f"'has_image', {_filled('image_url')}, 'label_method', {quote(method)}) AS metadata"
+        ),
     )
 
 
@@ -74,11 +82,11 @@ def posts(df: DataFrame, collected_at: Moment) -> DataFrame:
         df,
         "fakeddit",
         collected_at,
-        title=F.col("clean_title"),
-        image_url=F.col("image_url"),
-        label=lookup(F.col("2_way_label"), S.POST_LABELS),
-        label_detail=lookup(F.col("6_way_label"), S.POST_LABEL_DETAILS),
-        domain=F.col("domain"),
+        title="clean_title",
+        image_url="image_url",
+        label=lookup("`2_way_label`", S.POST_LABELS),
+        label_detail=lookup("`6_way_label`", S.POST_LABEL_DETAILS),
+        domain="domain",
         credibility="medium",
         method="community",
     )
@@ -90,12 +98,12 @@ def news(df: DataFrame, collected_at: Moment) -> DataFrame:
         df,
         "guardian",
         collected_at,
-        title=first_filled(F.col("fields.headline"), F.col("webTitle")),
-        content=first_filled(F.col("fields.body"), F.col("fields.trailText")),
-        image_url=F.col("fields.thumbnail"),
-        label=F.lit("real"),
-        label_detail=F.lit(None),
-        domain=F.lit(S.SOURCE_DOMAINS["guardian"]),
+        title=_first_filled("fields.headline", "webTitle"),
+        content=_first_filled("fields.body", "fields.trailText"),
+        image_url="fields.thumbnail",
+        label="'real'",
+        label_detail="NULL",
+        domain=quote(S.SOURCE_DOMAINS["guardian"]),
         credibility="high",
         method="human_expert",
     )
@@ -103,18 +111,17 @@ def news(df: DataFrame, collected_at: Moment) -> DataFrame:
 
 def claims(df: DataFrame, collected_at: Moment) -> DataFrame:
     """Fact-checked claims: rows without a verdict are dropped, nuanced verdicts get no label."""
-    optional = {"rss_title": F.lit(None).cast("string")}
-    present = df.select("*", *[c.alias(n) for n, c in optional.items() if n not in df.columns])
+    title = _first_filled("title", "rss_title") if "rss_title" in df.columns else "nullif(title, '')"
     return _articles(
-        present.where(is_filled(F.col("verdict"))),
+        df.where(_filled("verdict")),
         "snopes",
         collected_at,
-        title=first_filled(F.col("title"), F.col("rss_title")),
-        content=first_filled(F.col("claim"), F.col("description")),
-        image_url=F.col("image_url"),
-        label=lookup(F.lower(strip(F.col("verdict"))), S.CLAIM_LABELS),
-        label_detail=strip(F.col("verdict")),
-        domain=F.lit(S.SOURCE_DOMAINS["snopes"]),
+        title=title,
+        content=_first_filled("claim", "description"),
+        image_url="image_url",
+        label=lookup(f"lower({stripped('verdict')})", S.CLAIM_LABELS),
+        label_detail=stripped("verdict"),
+        domain=quote(S.SOURCE_DOMAINS["snopes"]),
         credibility="high",
         method="human_expert",
     )
@@ -126,11 +133,11 @@ def statements(df: DataFrame, collected_at: Moment) -> DataFrame:
         df,
         "liar",
         collected_at,
-        title=F.col("statement"),
-        image_url=F.lit(None),
-        label=lookup(F.lower(strip(F.col("label_text"))), S.STATEMENT_LABELS),
-        label_detail=F.col("label_text"),
-        domain=F.lit(S.SOURCE_DOMAINS["liar"]),
+        title="statement",
+        image_url="NULL",
+        label=lookup(f"lower({stripped('label_text')})", S.STATEMENT_LABELS),
+        label_detail="label_text",
+        domain=quote(S.SOURCE_DOMAINS["liar"]),
         credibility="high",
         method="human_expert",
     )

@@ -10,14 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from presswork.functions.columns import first_filled, strip
-from presswork.functions.markup import (
-    REVIEW,
-    element_text_udf,
-    rating_udf,
-    review_udf,
-    unescape_udf,
-)
+from presswork.functions.columns import quote, stripped
+from presswork.functions.markup import element_text_udf, rating_udf, review_udf, unescape_udf
 
 # --- Fixed values -----------------------------------------------------------------------------
 JSONLD_TYPE = "application/ld+json"
@@ -34,61 +28,62 @@ _META_TAG = r"""(?is)<meta\b(?:[^>"']++|"[^"]*+"|'[^']*+'){0,64}>"""
 _HEADING = r"(?is)<h1\b[^>]*>(.*?)(?:</h1\s*>|\z)"
 
 
-def _attribute_is(tag: Column, name: str, value: str) -> Column:
-    quoted = value.replace("+", r"\+").replace(".", r"\.")
-    return tag.rlike(
-        rf"""[\s"'](?i:{name})\s*=\s*(?:"{quoted}"|'{quoted}'|{quoted}(?=[\s/>]))"""
-    )
+def _attribute_is(tag: str, name: str, value: str) -> str:
+    """SQL: the tag has the attribute with exactly this value."""
+    escaped = value.replace("+", r"\+").replace(".", r"\.")
+    pattern = rf"""[\s"'](?i:{name})\s*=\s*(?:"{escaped}"|'{escaped}'|{escaped}(?=[\s/>]))"""
+    return f"rlike({tag}, {quote(pattern)})"
 
 
-def _attribute(tag: Column, name: str) -> Column:
-    """Value of an attribute as written, NULL when the tag does not have it."""
-    pattern = rf"""[\s"'](?i:{name})\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
-    value = F.concat(*[F.regexp_extract(tag, pattern, i) for i in (1, 2, 3)])
-    return F.when(tag.rlike(pattern), value)
+def _attribute(tag: str, name: str) -> str:
+    """SQL: value of an attribute as written, NULL when the tag does not have it."""
+    pattern = quote(rf"""[\s"'](?i:{name})\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
+    groups = ", ".join(f"regexp_extract({tag}, {pattern}, {i})" for i in (1, 2, 3))
+    return f"CASE WHEN rlike({tag}, {pattern}) THEN concat({groups}) END"
 
 
-def jsonld_block_array(html: Column) -> Column:
-    """Bodies of the page's JSON-LD scripts in document order; blank ones are left out."""
-    tokens = F.regexp_extract_all(html, F.lit(_COMMENT_OR_SCRIPT), F.lit(0))
-    scripts = F.filter(
-        tokens, lambda t: ~t.startswith("<!--") & _attribute_is(t, "type", JSONLD_TYPE)
-    )
-    bodies = F.transform(scripts, lambda t: F.regexp_extract(t, _SCRIPT_BODY, 1))
-    filled = F.filter(bodies, lambda b: b.rlike(r"\S"))
-    # Most pages without structured data are told apart by one substring search.
-    none = F.array().cast("array<string>")
-    return F.when(F.contains(html, F.lit(JSONLD_TYPE)), filled).otherwise(none)
+def jsonld_block_array(html: str = "html") -> str:
+    """SQL: bodies of the page's JSON-LD scripts in document order; blank ones are left out.
+
+    Most pages without structured data are told apart by one substring search.
+    """
+    tokens = f"regexp_extract_all({html}, {quote(_COMMENT_OR_SCRIPT)}, 0)"
+    scripts = f"filter({tokens}, t -> t NOT LIKE '<!--%' AND {_attribute_is('t', 'type', JSONLD_TYPE)})"
+    bodies = f"transform({scripts}, t -> regexp_extract(t, {quote(_SCRIPT_BODY)}, 1))"
+    filled = f"filter({bodies}, b -> rlike(b, {quote(chr(92) + 'S')}))"
+    return f"CASE WHEN contains({html}, {quote(JSONLD_TYPE)}) THEN {filled} ELSE array() END"
 
 
 def jsonld_blocks(pages: DataFrame, key: str = "page_id") -> DataFrame:
     """One row per JSON-LD block: key, position, text, and whether it is valid JSON."""
-    return pages.select(key, F.posexplode(jsonld_block_array(F.col("html"))).alias("pos", "block")).select(
-        key, "pos", "block", F.try_parse_json("block").isNotNull().alias("is_json")
+    return pages.selectExpr(key, f"posexplode({jsonld_block_array()}) AS (pos, block)").selectExpr(
+        key, "pos", "block", "try_parse_json(block) IS NOT NULL AS is_json"
     )
 
 
-def _as_list(node: Column) -> Column:
-    return F.try_variant_get(node, "$", "array<variant>")
+def _as_list(node: str) -> str:
+    return f"try_variant_get({node}, '$', 'array<variant>')"
 
 
-def _members(node: Column) -> Column:
-    """Elements of a JSON list, or the value itself as the only element."""
-    return F.coalesce(_as_list(node), F.array(node))
+def _members(node: str) -> str:
+    """SQL: elements of a JSON list, or the value itself as the only element."""
+    return f"coalesce({_as_list(node)}, array({node}))"
 
 
-def _field(node: Column, name: str, kind: str = "variant") -> Column:
-    return F.try_variant_get(node, f'$["{name}"]', kind)
+def _field(node: str, name: str, kind: str = "variant") -> str:
+    path = f'$["{name}"]'
+    return f"try_variant_get({node}, {quote(path)}, '{kind}')"
 
 
-def _graph(node: Column) -> Column:
+def _graph(node: str) -> str:
     inner = _field(node, "@graph")
-    return F.when(inner.isNotNull(), _members(inner)).otherwise(F.array().cast("array<variant>"))
+    none = "CAST(array() AS array<variant>)"
+    return f"CASE WHEN {inner} IS NOT NULL THEN {_members(inner)} ELSE {none} END"
 
 
-def _is_text(value: Column) -> Column:
-    """The JSON value is a string, null or absent."""
-    return F.coalesce(F.schema_of_variant(value).isin("STRING", "VOID"), F.lit(True))
+def _is_text(value: str) -> str:
+    """SQL: the JSON value is a string, null or absent."""
+    return f"coalesce(schema_of_variant({value}) IN ('STRING', 'VOID'), true)"
 
 
 def with_review(pages: DataFrame) -> DataFrame:
@@ -98,52 +93,37 @@ def with_review(pages: DataFrame) -> DataFrame:
     nesting, JSON that Spark's parser refuses, or a rating that is not text go to Python as a
     whole, because any of their blocks may come first.
     """
-    parsed = (
-        pages.withColumn("_blocks", jsonld_block_array(F.col("html")))
-        .withColumn("_parsed", F.transform("_blocks", F.try_parse_json))
-        .withColumn("_top", F.flatten(F.transform("_parsed", _members)))
-        .withColumn(
-            "_nodes",
-            F.flatten(F.transform("_top", lambda n: F.concat(F.array(n), _graph(n)))),
-        )
-        .withColumn(
-            "_review",
-            F.get(
-                F.filter("_nodes", lambda n: _field(n, "@type", "string") == REVIEW_TYPE), F.lit(0)
-            ),
-        )
-        .withColumn("_rating", _field(F.col("_review"), "reviewRating"))
+    alternate = _field("_rating", "alternateName")
+    value = _field("_rating", "ratingValue")
+    claim = _field("_review", "claimReviewed")
+    deep_graph = f"{_as_list('g')} IS NOT NULL OR {_field('g', '@graph')} IS NOT NULL"
+    hard = " OR ".join(
+        [
+            "exists(_parsed, p -> p IS NULL)",
+            f"exists(_top, n -> {_as_list('n')} IS NOT NULL)",
+            f"exists(_top, n -> exists({_graph('n')}, g -> {deep_graph}))",
+            *[f"NOT {_is_text(leaf)}" for leaf in (alternate, value, claim)],
+        ]
     )
-    deep = F.exists("_top", lambda n: _as_list(n).isNotNull()) | F.exists(
-        "_top",
-        lambda n: F.exists(
-            _graph(n), lambda g: _as_list(g).isNotNull() | _field(g, "@graph").isNotNull()
-        ),
-    )
-    leaves = [
-        _field(F.col("_rating"), "alternateName"),
-        _field(F.col("_rating"), "ratingValue"),
-        _field(F.col("_review"), "claimReviewed"),
-    ]
-    hard = F.exists("_parsed", lambda p: p.isNull()) | deep
-    for leaf in leaves:
-        hard = hard | ~_is_text(leaf)
-    alternate, value, claim = [leaf.cast("string") for leaf in leaves]
-    is_object = F.try_variant_get("_rating", "$", "map<string,variant>").isNotNull()
-    native = F.struct(
-        F.nullif(first_filled(alternate, value), F.lit("")).alias("verdict"),
-        claim.alias("claim"),
-        value.alias("rating_value"),
-        F.col("_review").isNotNull().alias("found"),
-        (F.col("_rating").isNotNull() & ~is_object).alias("failed"),
-    ).cast(REVIEW)
-    staged = parsed.select(
-        *pages.columns, "_blocks", F.coalesce(hard, F.lit(False)).alias("_hard"), native.alias("_native")
-    )
-    python = review_udf()(F.when(F.col("_hard"), F.to_json("_blocks")))
-    return staged.select(*pages.columns, "_hard", "_native", python.alias("_python")).select(
-        *pages.columns,
-        F.when(F.col("_hard"), F.col("_python")).otherwise(F.col("_native")).alias("review"),
+    is_object = "try_variant_get(_rating, '$', 'map<string,variant>') IS NOT NULL"
+    texts = {name: f"CAST({v} AS STRING)" for name, v in (("a", alternate), ("v", value), ("c", claim))}
+    verdict = f"nullif(coalesce(nullif({texts['a']}, ''), {texts['v']}), '')"
+    staged = pages.selectExpr(
+        "*",
+        f"{jsonld_block_array()} AS _blocks",
+        "transform(_blocks, b -> try_parse_json(b)) AS _parsed",
+        f"flatten(transform(_parsed, p -> {_members('p')})) AS _top",
+        f"flatten(transform(_top, n -> concat(array(n), {_graph('n')}))) AS _nodes",
+        f"get(filter(_nodes, n -> {_field('n', '@type', 'string')} = '{REVIEW_TYPE}'), 0) AS _review",
+        f"{_field('_review', 'reviewRating')} AS _rating",
+        f"coalesce({hard}, false) AS _hard",
+        "CASE WHEN _hard THEN to_json(_blocks) END AS _hard_blocks",
+        f"named_struct('verdict', {verdict}, 'claim', {texts['c']}, 'rating_value', {texts['v']}, "
+        f"'found', _review IS NOT NULL, 'failed', _rating IS NOT NULL AND NOT {is_object}) AS _native",
+    ).select(*pages.columns, "_hard_blocks", "_native")
+    python = review_udf()(F.col("_hard_blocks")).alias("_python")
+    return staged.select(*pages.columns, "_native", python).selectExpr(
+        *pages.columns, "coalesce(_python, _native) AS review"
     )
 
 
@@ -161,45 +141,41 @@ def with_page_meta(pages: DataFrame) -> DataFrame:
 
     The title is ``og:title``, else the first heading, else empty.
     """
-    metas = F.regexp_extract_all("_markup", F.lit(_META_TAG), F.lit(0))
-
-    def content_of(attribute: str, value: str) -> Column:
-        hits = F.filter("_metas", lambda m: _attribute_is(m, attribute, value))
-        return _attribute(F.get(hits, F.lit(0)), "content")
-
-    staged = (
-        pages.withColumn("_markup", F.regexp_replace("html", _COMMENT_OR_RAW_TEXT, ""))
-        .withColumn("_metas", metas)
-        .select(
-            *pages.columns,
-            content_of("property", "og:title").alias("_title"),
-            content_of("property", "og:image").alias("_image"),
-            content_of("name", "description").alias("_description"),
-            F.regexp_extract("_markup", _HEADING, 1).alias("_heading"),
-        )
-    )
-    unescape = unescape_udf()
-
-    def masked(name: str, pattern: str) -> Column:
-        return F.when(F.col(name).rlike(pattern), F.col(name))
-
-    decoded = {n: unescape(masked(n, "&")) for n in ("_title", "_image", "_description")}
-    decoded["_heading"] = element_text_udf()(masked("_heading", "[<&]"))
-    read = staged.select(
+    def written(attribute: str, value: str) -> str:
+        hits = f"filter(_metas, m -> {_attribute_is('m', attribute, value)})"
+        return f"get({hits}, 0)"
+
+    tags = {
+        "title": written("property", "og:title"),
+        "image": written("property", "og:image"),
+        "description": written("name", "description"),
+    }
+    # Values as written, and apart from them those with references or markup left to decode.
+    staged = pages.selectExpr(
+        "*",
+        f"regexp_replace(html, {quote(_COMMENT_OR_RAW_TEXT)}, '') AS _markup",
+        f"regexp_extract_all(_markup, {quote(_META_TAG)}, 0) AS _metas",
+        *[f"{tag} AS _tag_{n}" for n, tag in tags.items()],
+        *[f"{_attribute(f'_tag_{n}', 'content')} AS _{n}" for n in tags],
+        f"regexp_extract(_markup, {quote(_HEADING)}, 1) AS _heading",
+        *[f"CASE WHEN contains(_{n}, '&') THEN _{n} END AS _coded_{n}" for n in tags],
+        "CASE WHEN rlike(_heading, '[<&]') THEN _heading END AS _coded_heading",
+    ).select(
         *pages.columns,
-        *[F.col(n).alias(f"{n}_written") for n in decoded],
-        *[c.alias(n) for n, c in decoded.items()],
+        *[f"_{n}" for n in (*tags, "heading")],
+        *[f"_coded_{n}" for n in (*tags, "heading")],
     )
-
-    def value(name: str) -> Column:
-        return F.coalesce(F.col(name), F.col(f"{name}_written"))
-
-    heading = F.coalesce(F.col("_heading"), strip(F.col("_heading_written")))
-    return read.select(
+    unescape, inner_text = unescape_udf(), element_text_udf()
+    decoded = [unescape(F.col(f"_coded_{n}")).alias(f"_text_{n}") for n in tags]
+    decoded.append(inner_text(F.col("_coded_heading")).alias("_text_heading"))
+    heading = f"coalesce(_text_heading, {stripped('_heading')})"
+    return staged.select(
+        *pages.columns, *[f"_{n}" for n in (*tags, "heading")], *decoded
+    ).selectExpr(
         *pages.columns,
-        first_filled(value("_title"), heading).alias("page_title"),
-        value("_image").alias("page_image"),
-        value("_description").alias("page_description"),
+        f"coalesce(nullif(coalesce(_text_title, _title), ''), {heading}) AS page_title",
+        "coalesce(_text_image, _image) AS page_image",
+        "coalesce(_text_description, _description) AS page_description",
     )
 
 
@@ -217,10 +193,9 @@ def with_fallback(reviewed: DataFrame) -> DataFrame:
 
     A page in which neither word occurs cannot match any of the selectors.
     """
-    candidate = ~F.col("review.found") & (
-        F.contains(F.col("html"), F.lit("rating")) | F.contains(F.col("html"), F.lit("claim"))
-    )
-    return reviewed.withColumn("fallback", rating_udf()(F.when(candidate, F.col("html"))))
+    candidate = "NOT review.found AND (contains(html, 'rating') OR contains(html, 'claim'))"
+    staged = reviewed.selectExpr("*", f"CASE WHEN {candidate} THEN html END AS _candidate")
+    return staged.select(*reviewed.columns, rating_udf()(F.col("_candidate")).alias("fallback"))
 
 
 def css_fallback(pages: DataFrame, key: str = "page_id") -> DataFrame:

@@ -11,11 +11,11 @@ groups whose members disagree on the stratum.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from presswork import schemas as S
-from presswork.functions.columns import content_key, label_key
+from presswork.functions.columns import content_key
 from presswork.session import materialize
 
 # Hexadecimal digits of the hash that name a bucket: 65,536 buckets per stratum.
@@ -23,7 +23,7 @@ _BUCKET_DIGITS = 4
 
 
 def with_content_key(df: DataFrame) -> DataFrame:
-    return df.withColumn("content_key", content_key(F.col("content")))
+    return df.withColumn("content_key", content_key())
 
 
 def content_groups(df: DataFrame, order: str = "_seq") -> DataFrame:
@@ -32,47 +32,58 @@ def content_groups(df: DataFrame, order: str = "_seq") -> DataFrame:
     Only the key, the order and the stratum are read. Partial aggregation folds each task's
     copies of a content into one row before the shuffle.
     """
-    stratum = F.struct("source", label_key(F.col("label")).alias("label"))
-    slim = with_content_key(df).select("content_key", order, stratum.alias("stratum"))
+    slim = with_content_key(df).selectExpr(
+        "content_key",
+        order,
+        "named_struct('source', source, 'label', coalesce(label, 'null')) AS stratum",
+    )
     return (
         slim.groupBy("content_key")
         .agg(
-            F.min_by("stratum", order).alias("head"),
-            F.min("stratum").alias("low"),
-            F.max("stratum").alias("high"),
+            F.expr(f"min_by(stratum, {order}) AS head"),
+            F.expr("min(stratum) AS low"),
+            F.expr("max(stratum) AS high"),
         )
-        .select(
+        .selectExpr(
             "content_key",
-            F.col("head.source").alias("source"),
-            F.col("head.label").alias("label"),
-            F.when(F.col("low").eqNullSafe(F.col("high")), 0).otherwise(1).alias("mixed"),
+            "head.source AS source",
+            "head.label AS label",
+            "CASE WHEN low <=> high THEN 0 ELSE 1 END AS mixed",
         )
     )
 
 
-def quotas(n: Column, ratios: tuple[float, float, float]) -> tuple[Column, Column]:
-    """Train and validation sizes of ``n`` groups, rounded half to even; the rest is test."""
-    train = F.bround(n * F.lit(float(ratios[0]))).cast("long")
-    validation = F.least(F.bround(n * F.lit(float(ratios[1]))).cast("long"), n - train)
-    return train, validation
+def _quotas(n: str, ratios: tuple[float, float, float]) -> tuple[str, str]:
+    """SQL of the train and validation sizes of ``n`` groups, rounded half to even.
+
+    The rest is test; ratios that add up to more than one leave less for validation.
+    """
+    train, validation = (f"CAST(bround({n} * {float(r)!r}D) AS BIGINT)" for r in ratios[:2])
+    return train, f"least({validation}, {n} - {train})"
 
 
 def split_quotas(
     df: DataFrame, ratios: tuple[float, float, float] = S.DEFAULT_RATIOS, order: str = "_seq"
 ) -> DataFrame:
     """Number of content groups per stratum and how many go to each split."""
-    train, validation = quotas(F.col("n_groups"), ratios)
+    train, validation = _quotas("n_groups", ratios)
     return (
         content_groups(df, order)
         .groupBy("source", "label")
         .agg(F.count("*").alias("n_groups"))
-        .select("source", "label", "n_groups", train.alias("n_train"), validation.alias("n_validation"))
-        .withColumn("n_test", F.expr("n_groups - n_train - n_validation"))
+        .selectExpr(
+            "source",
+            "label",
+            "n_groups",
+            f"{train} AS n_train",
+            f"{validation} AS n_validation",
+            "n_groups - n_train - n_validation AS n_test",
+        )
     )
 
 
-def _order_hash(seed: int) -> Column:
-    return F.sha2(F.concat(F.lit(f"{seed}:"), F.col("content_key")), 256)
+def _order_hash(seed: int) -> str:
+    return f"sha2(concat('{int(seed)}:', content_key), 256)"
 
 
 def split_cuts(groups: DataFrame, ratios: tuple[float, float, float], seed: int) -> DataFrame:
@@ -81,60 +92,45 @@ def split_cuts(groups: DataFrame, ratios: tuple[float, float, float], seed: int)
     Groups are counted per hash bucket, running counts tell which bucket holds each cut, and only
     those buckets (two per stratum, about 1/65,536 of it each) are ranked.
     """
-    placed = groups.select("source", "label", _order_hash(seed).alias("position")).withColumn(
-        "bucket", F.substring("position", 1, _BUCKET_DIGITS)
+    placed = groups.selectExpr(
+        "source",
+        "label",
+        f"{_order_hash(seed)} AS position",
+        f"substring(position, 1, {_BUCKET_DIGITS}) AS bucket",
     )
-    stratum = Window.partitionBy("source", "label")
-    train, validation = quotas(F.col("total"), ratios)
-    running = (
+    train, validation = _quotas("total", ratios)
+    stratum = "PARTITION BY source, label"
+    edges = materialize(
         placed.groupBy("source", "label", "bucket")
         .agg(F.count("*").alias("n"))
-        .select(
+        .selectExpr(
             "*",
-            F.sum("n").over(stratum.orderBy("bucket")).alias("upto"),
-            F.sum("n").over(stratum).alias("total"),
+            f"sum(n) OVER ({stratum} ORDER BY bucket) - n AS before",
+            f"sum(n) OVER ({stratum}) AS total",
         )
-        .select("*", train.alias("n_train"), validation.alias("n_validation"))
-    )
-    wanted = F.explode(
-        F.array(
-            F.struct(
-                F.lit("train_end").alias("cut"), F.least("n_train", "total").alias("rank")
-            ),
-            F.struct(
-                F.lit("validation_end").alias("cut"),
-                F.least(F.col("n_train") + F.col("n_validation"), F.col("total")).alias("rank"),
-            ),
+        .selectExpr(
+            "source AS e_source",
+            "label AS e_label",
+            "bucket AS e_bucket",
+            "n",
+            "before",
+            f"stack(2, 'train_end', least({train}, total), "
+            f"'validation_end', least({train} + {validation}, total)) AS (cut, rank)",
         )
-    )
-    edges = materialize(
-        running.select("source", "label", "bucket", "n", "upto", wanted.alias("w"))
-        .where("w.rank > upto - n AND w.rank <= upto")
-        .select(
-            F.col("source").alias("e_source"),
-            F.col("label").alias("e_label"),
-            F.col("bucket").alias("e_bucket"),
-            "w.cut",
-            F.expr("w.rank - (upto - n)").alias("rank"),
-        ),
+        .where("rank > before AND rank <= before + n")
+        .selectExpr("e_source", "e_label", "e_bucket", "cut", "rank - before AS rank"),
         "split-edges",
     )
-    same_bucket = (
-        F.col("source").eqNullSafe(F.col("e_source"))
-        & (F.col("label") == F.col("e_label"))
-        & (F.col("bucket") == F.col("e_bucket"))
-    )
-    in_bucket = Window.partitionBy("source", "label", "cut").orderBy("position")
+    same_bucket = F.expr("source <=> e_source AND label = e_label AND bucket = e_bucket")
+    at = f"row_number() OVER ({stratum}, cut ORDER BY position) AS at"
     return (
         placed.join(edges, same_bucket)
-        .withColumn("at", F.row_number().over(in_bucket))
+        .selectExpr("source", "label", "cut", "rank", "position", at)
         .where("at = rank")
         .groupBy("source", "label")
         .agg(
-            *[
-                F.max(F.when(F.col("cut") == name, F.col("position"))).alias(name)
-                for name in ("train_end", "validation_end")
-            ]
+            F.expr("max(CASE WHEN cut = 'train_end' THEN position END) AS train_end"),
+            F.expr("max(CASE WHEN cut = 'validation_end' THEN position END) AS validation_end"),
         )
     )
 
@@ -150,31 +146,29 @@ def assign_splits(
     ``order`` must be unique per row; it decides which member of a group comes first.
     """
     groups = materialize(content_groups(df, order), "content-groups", partition_by=["mixed"])
-    cuts = materialize(split_cuts(groups, ratios, seed), "split-cuts").select(
-        F.col("source").alias("c_source"),
-        F.col("label").alias("c_label"),
-        "train_end",
-        "validation_end",
+    cuts = materialize(split_cuts(groups, ratios, seed), "split-cuts").selectExpr(
+        "source AS c_source", "label AS c_label", "train_end", "validation_end"
     )
-    heads = groups.where("mixed = 1").select(
-        "content_key", F.struct("source", "label").alias("_head")
+    heads = groups.where("mixed = 1").selectExpr(
+        "content_key", "named_struct('source', source, 'label', label) AS _head"
     )
-    own = F.struct("source", label_key(F.col("label")).alias("label"))
+    own = "named_struct('source', source, 'label', coalesce(label, 'null'))"
     staged = (
         with_content_key(df)
         .join(heads, "content_key", "left")
-        .withColumn("_stratum", F.coalesce("_head", own))
-        .withColumn("_position", _order_hash(seed))
-    )
-    same_stratum = F.col("_stratum.source").eqNullSafe(F.col("c_source")) & (
-        F.col("_stratum.label") == F.col("c_label")
+        .selectExpr(
+            *[f"`{c}`" for c in df.columns],
+            "content_key",
+            f"coalesce(_head, {own}) AS _stratum",
+            f"{_order_hash(seed)} AS _position",
+        )
     )
     train, validation, test = S.SPLITS
     split = (
-        F.when(F.col("_position") <= F.col("train_end"), train)
-        .when(F.col("_position") <= F.col("validation_end"), validation)
-        .otherwise(test)
+        f"CASE WHEN _position <= train_end THEN '{train}' "
+        f"WHEN _position <= validation_end THEN '{validation}' ELSE '{test}' END AS split"
     )
-    return staged.join(cuts, same_stratum, "left").select(
-        *df.columns, "content_key", split.alias("split")
+    same_stratum = F.expr("_stratum.source <=> c_source AND _stratum.label = c_label")
+    return staged.join(cuts, same_stratum, "left").selectExpr(
+        *[f"`{c}`" for c in df.columns], "content_key", split
     )

@@ -91,7 +91,7 @@ def _length_report(histogram: DataFrame) -> DataFrame:
 def duplicate_groups(df: DataFrame) -> DataFrame:
     """Number of contents that occur more than once."""
     return (
-        df.groupBy(content_key(F.col("content")).alias("content_key"))
+        df.groupBy(content_key().alias("content_key"))
         .agg(F.count("*").alias("n"))
         .agg(F.count_if(F.col("n") > 1).alias("duplicate_content_groups"))
     )
@@ -116,7 +116,7 @@ def dataset_stats(df: DataFrame) -> DataFrame:
     """
     attributes = _attribute_counts(df)
     contents = (
-        df.select(content_key(F.col("content")).alias("content_key"), _content_size())
+        df.select(content_key().alias("content_key"), _content_size())
         .groupBy("content_key", "size")
         .agg(F.count("*").alias("n"))
     )

@@ -57,7 +57,7 @@ def _flat(df: DataFrame, *extra: str) -> DataFrame:
 
 
 def _normalized(spark: SparkSession, folder: str, source: str) -> DataFrame:
-    raw = views.raw_views(spark, folder)[source]
+    raw = views.RAW[source](spark, folder)
     return normalize(keep_first(raw, S.NATURAL_KEYS[source]), source, _moment())
 
 
@@ -341,7 +341,7 @@ def unified_dataset(spark: SparkSession, folder: str) -> DataFrame:
 # --- Splits -----------------------------------------------------------------------------------
 @query
 def content_keys(spark: SparkSession, folder: str) -> DataFrame:
-    return _documents(spark, folder).select("_seq", content_key(F.col("content")).alias("content_key"))
+    return _documents(spark, folder).select("_seq", content_key().alias("content_key"))
 
 
 @query

@@ -7,9 +7,16 @@ binds DataFrames to them and the checks bind plain names.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-TABLES = ("documents", "labels", "pages", "conversations", "events")
+# Schemas are given, so that opening a table costs no job.
+TABLES = {
+    "documents": "doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BIGINT",
+    "labels": "doc_id BIGINT, quality INT, toxic INT",
+    "pages": "page_id BIGINT, url STRING, html STRING",
+    "conversations": "conv_id BIGINT, turn BIGINT, role STRING, text STRING",
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, "
+    "value DOUBLE, props STRING",
+}
 
 VIEWS = {
     "raw_posts": """
@@ -95,7 +102,7 @@ FROM {pages}""",
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return spark.read.schema(TABLES[name]).parquet(f"{folder}/{name}.parquet")
 
 
 def view(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -116,24 +123,27 @@ def raw_posts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def raw_news(spark: SparkSession, folder: str) -> DataFrame:
-    flat = view(spark, folder, "raw_news")
-    fields = {
-        "headline": "f_headline",
-        "trailText": "f_trail_text",
-        "body": "f_body",
-        "thumbnail": "f_thumbnail",
-    }
-    nested = F.struct(*[F.col(c).alias(n) for n, c in fields.items()])
-    return flat.select(
-        "_seq", "id", "type", F.col("web_title").alias("webTitle"), nested.alias("fields")
+    return view(spark, folder, "raw_news").selectExpr(
+        "_seq",
+        "id",
+        "type",
+        "web_title AS webTitle",
+        "named_struct('headline', f_headline, 'trailText', f_trail_text, 'body', f_body, "
+        "'thumbnail', f_thumbnail) AS fields",
     )
 
 
+def raw_claims(spark: SparkSession, folder: str) -> DataFrame:
+    return view(spark, folder, "raw_claims")
+
+
+def raw_statements(spark: SparkSession, folder: str) -> DataFrame:
+    return view(spark, folder, "raw_statements")
+
+
+RAW = {"fakeddit": raw_posts, "guardian": raw_news, "snopes": raw_claims, "liar": raw_statements}
+
+
 def raw_views(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     """The four raw sources by name."""
-    return {
-        "fakeddit": raw_posts(spark, folder),
-        "guardian": raw_news(spark, folder),
-        "snopes": view(spark, folder, "raw_claims"),
-        "liar": view(spark, folder, "raw_statements"),
-    }
+    return {source: build(spark, folder) for source, build in RAW.items()}
