@@ -71,17 +71,17 @@ def content_length_stats(df: DataFrame) -> DataFrame:
 
 
 def _content_size() -> Column:
-    return F.coalesce(F.length("content"), F.lit(0)).alias("size")
+    return F.expr("coalesce(CAST(length(content) AS BIGINT), 0) AS size")
 
 
 def _length_report(histogram: DataFrame) -> DataFrame:
-    zero = F.lit(0)
-    chars = F.coalesce(F.sum(F.col("size") * F.col("n")), zero.cast("long"))
-    records = F.coalesce(F.sum("n"), zero.cast("long"))
+    zero = F.lit(0).cast("long")
+    chars = F.coalesce(F.sum(F.col("size") * F.col("n")), zero)
+    records = F.coalesce(F.sum("n"), zero)
     return histogram.agg(
         F.coalesce(F.min("size"), zero).alias("min_length"),
         F.coalesce(F.max("size"), zero).alias("max_length"),
-        F.coalesce(F.percentile("size", 0.5, F.col("n")).cast("int"), zero).alias("median_length"),
+        F.coalesce(F.percentile("size", 0.5, F.col("n")).cast("long"), zero).alias("median_length"),
         chars.alias("total_length"),
         records.alias("records"),
         F.when(records > 0, F.round(chars / records, 1)).otherwise(0.0).alias("mean_length"),

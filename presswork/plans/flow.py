@@ -6,7 +6,7 @@ import logging
 from collections.abc import Mapping, Sequence
 from datetime import UTC, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from presswork import schemas as S
@@ -42,8 +42,13 @@ def ingest_news(
     batch: str | None = None,
 ) -> tuple[str, int]:
     """Wanted articles of the landed result pages, as a new raw batch."""
-    rows = filter_articles(readers.read_news_payloads(spark, path, max_pages), require_image)
-    return writers.write_raw(rows, raw_root, "guardian", batch)
+    seen = Observation()
+    landed = readers.read_news_payloads(spark, path, max_pages).observe(
+        seen, F.count(F.lit(1)).alias("rows")
+    )
+    written = writers.write_raw(filter_articles(landed, require_image), raw_root, "guardian", batch)
+    logger.info("skipped %d results that are no article or lack an image", seen.get["rows"] - written[1])
+    return written
 
 
 def ingest_claims(
@@ -57,7 +62,9 @@ def ingest_claims(
     """Claims read from the fetched pages of the feed items, as a new raw batch."""
     feed = readers.read_feed_items(spark, feed_path, limit)
     rows = feed_claims(feed, pages).select(*S.RAW_CLAIM.fieldNames())
-    return writers.write_raw(rows, raw_root, "snopes", batch)
+    written = writers.write_raw(rows, raw_root, "snopes", batch)
+    logger.info("skipped %d feed items without a readable page", feed.count() - written[1])
+    return written
 
 
 def ingest_statements(
@@ -101,7 +108,9 @@ def read_latest_raw(
         if path is None:
             logger.warning("no raw batch for source %r, skipping", source)
             continue
-        raw[source] = readers.read_json_lines(spark, path, S.RAW_SCHEMAS[source])
+        raw[source] = readers.read_json_lines(
+            spark, path, S.RAW_SCHEMAS[source], nan_is_missing=source == "fakeddit"
+        )
     return raw
 
 

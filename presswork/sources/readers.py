@@ -133,21 +133,22 @@ def read_statements(
     return tagged.where(F.col("split").isin(*splits))
 
 
-def read_json_lines(spark: SparkSession, path: str | list[str], schema: T.StructType) -> DataFrame:
+def read_json_lines(
+    spark: SparkSession, path: str | list[str], schema: T.StructType, nan_is_missing: bool = False
+) -> DataFrame:
     """JSON Lines with a fixed schema plus ``_seq``; blank lines are skipped, a bad line is fatal.
 
-    A bare ``NaN`` in a text column is a missing value.
+    With ``nan_is_missing`` a bare ``NaN`` in a text column, which Spark reads as text, becomes
+    NULL. Only the posts source writes such values, and it never holds that word as text.
     """
     rows = spark.read.schema(schema).option("mode", "FAILFAST").json(path)
-    return with_file_order(rows).select(
-        *[
-            F.nullif(F.col(f.name), F.lit("NaN")).alias(f.name)
-            if isinstance(f.dataType, T.StringType)
-            else F.col(f.name)
-            for f in schema.fields
-        ],
-        "_seq",
-    )
+    columns = [
+        f"nullif(`{f.name}`, 'NaN') AS `{f.name}`"
+        if nan_is_missing and isinstance(f.dataType, T.StringType)
+        else f"`{f.name}`"
+        for f in schema.fields
+    ]
+    return with_file_order(rows).selectExpr(*columns, "_seq")
 
 
 def read_news_payloads(

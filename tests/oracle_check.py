@@ -30,6 +30,16 @@ def connect(folder: str) -> duckdb.DuckDBPyConnection:
     return connection
 
 
+# DuckDB type of each Spark type that the results use.
+TYPES = {
+    "bigint": "BIGINT",
+    "int": "INTEGER",
+    "double": "DOUBLE",
+    "string": "VARCHAR",
+    "boolean": "BOOLEAN",
+}
+
+
 def _cell(value: object) -> object:
     if isinstance(value, float):
         return "nan" if math.isnan(value) else float(f"{value:.10g}")
@@ -48,6 +58,10 @@ def compare(df: DataFrame, connection: duckdb.DuckDBPyConnection, sql: str) -> s
     rows = _sorted_rows(names, expected.fetchall())
     if sorted(names) != sorted(df.columns):
         return f"columns {sorted(df.columns)} instead of {sorted(names)}"
+    kinds = {d[0]: str(d[1]) for d in expected.description}
+    for field in df.schema.fields:
+        if TYPES.get(field.dataType.simpleString()) != kinds[field.name]:
+            return f"{field.name} is {field.dataType.simpleString()}, expected {kinds[field.name]}"
     actual = _sorted_rows(df.columns, [tuple(r) for r in df.collect()])
     if len(actual) != len(rows):
         return f"{len(actual)} rows instead of {len(rows)}"

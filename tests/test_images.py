@@ -78,6 +78,33 @@ class TestOutcomes:
         got = outcome(spark, rows, answers)
         assert len(got) == 60 and sum(o == "downloaded" for o, *_ in got.values()) == 20
 
+    def test_hot_address_is_split(self, spark):
+        settings = {
+            "spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+        }
+        many = spark.range(60000).selectExpr(
+            "CAST(id AS STRING) AS id",
+            "'guardian' AS source",
+            "CASE WHEN id % 3 = 0 THEN 'https://cdn/x' WHEN id % 3 = 1 THEN concat('https://cdn/', id) END AS image_url",
+            "named_struct('source_credibility', 'high', 'has_image', true, 'label_method', 'human_expert') AS metadata",
+        ).repartition(12)
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        try:
+            out = images.image_outcomes(many, responses(spark, ("https://cdn/x", "image/png", b"x")))
+            counts = {r["outcome"]: r["n"] for r in out.groupBy("outcome").agg(F.count("*").alias("n")).collect()}
+            out.write.format("noop").mode("overwrite").save()
+            out.collect()
+            plan = out._jdf.queryExecution().executedPlan().toString()
+        finally:
+            for key in settings:
+                spark.conf.unset(key)
+        assert counts == {"downloaded": 20000, "failed": 20000, "skipped": 20000}
+        assert "SortMergeJoin(skew=true)" in plan
+
     def test_summary(self, spark):
         rows = [("a", "https://cdn/x", True), ("b", "https://cdn/y", True), ("c", None, False)]
         out = images.image_outcomes(records(spark, *rows), responses(spark, ("https://cdn/x", "image/png", b"x")))

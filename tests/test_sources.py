@@ -87,7 +87,7 @@ class TestJsonLines:
 
     def test_blank_lines_and_nan(self, spark, tmp_path):
         path = write(tmp_path / "c.jsonl", '{"url": "a", "verdict": NaN}\n\n{"url": "b", "verdict": "x"}\n')
-        rows = readers.read_json_lines(spark, path, self.SCHEMA).orderBy("_seq").collect()
+        rows = readers.read_json_lines(spark, path, self.SCHEMA, nan_is_missing=True).orderBy("_seq").collect()
         assert [(r["url"], r["verdict"]) for r in rows] == [("a", None), ("b", "x")]
 
     def test_bad_line_is_fatal(self, spark, tmp_path):
