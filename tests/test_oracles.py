@@ -34,6 +34,6 @@ def test_entry(spark):
 
 def test_a_wrong_result_is_noticed(spark, duck):
     df = spark.createDataFrame([(1, 2.0)], "a int, b double")
-    assert compare(df, duck, "SELECT 1 AS a, 2.0 AS b") is None
-    assert compare(df, duck, "SELECT 1 AS a, 2.5 AS b") is not None
-    assert compare(df, duck, "SELECT 1 AS a, 2.0 AS c") is not None
+    assert compare(df, duck, "SELECT 1 AS a, CAST(2 AS DOUBLE) AS b") is None
+    assert compare(df, duck, "SELECT 1 AS a, CAST(2.5 AS DOUBLE) AS b") is not None
+    assert compare(df, duck, "SELECT 1 AS a, CAST(2 AS DOUBLE) AS c") is not None
