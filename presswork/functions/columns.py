@@ -17,12 +17,6 @@ SPACES = "".join(
 )
 
 
-def first_filled(*columns: Column) -> Column:
-    """First value that is neither NULL nor empty; the last one is taken as it is."""
-    *head, last = columns
-    return F.coalesce(*[F.nullif(c, F.lit("")) for c in head], last)
-
-
 def is_filled(column: Column) -> Column:
     """True when the text is neither NULL nor empty."""
     return F.coalesce(F.length(column) > 0, F.lit(False))
