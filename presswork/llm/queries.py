@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from presswork.llm import bpe, sharding
+from presswork.llm import bpe, jaccard, repeats, sharding
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,9 +15,11 @@ QUERIES: dict[str, Query] = {
     for f in (
         sharding.op1_sharding,
         bpe.op2_byte_bpe,
+        repeats.op4_substring_dedup,
+        jaccard.op10_ngram_jaccard,
     )
 }
 
-#: Operators 2, 3, 5, 6, 7, 8, 9 and 10 have no SQL that ends on whole tables; their tests compare
+#: Operators 2, 3, 4, 5, 6, 7, 8, 9 and 10 have no SQL that ends on whole tables; their tests compare
 #: them with brute force, exact round trips or held-out labels.
 ORACLES: dict[str, str] = {"op1_sharding": sharding.ORACLE}
