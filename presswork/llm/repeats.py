@@ -18,6 +18,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from presswork.llm.frames import prepare, read, slices
 from presswork.llm.words import Words, mix
@@ -161,7 +162,7 @@ def repeated_spans(
     return runs.drop("run")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _cut(text: pd.Series, spans: pd.Series) -> pd.Series:
     """Texts without their spans, which are in order and do not overlap."""
 

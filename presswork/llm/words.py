@@ -88,7 +88,7 @@ class Words:
 
 def _joined(hashes: np.ndarray, width: int, n: int) -> np.ndarray:
     factors = _constants()[1 : width + 1]
-    total = np.full(n, np.uint64(width) * factors[0], np.uint64)
+    total = np.full(n, width, np.uint64) * factors[0]
     for k in range(width):
         total += hashes[k : k + n] * factors[k]
     return mix(total)
