@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from presswork.llm import bpe, jaccard, repeats, sharding
+from presswork.llm import bpe, jaccard, repeats, sharding, tokenstore
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +16,7 @@ QUERIES: dict[str, Query] = {
         sharding.op1_sharding,
         bpe.op2_byte_bpe,
         repeats.op4_substring_dedup,
+        tokenstore.op5_token_store,
         jaccard.op10_ngram_jaccard,
     )
 }
