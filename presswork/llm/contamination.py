@@ -35,7 +35,7 @@ EDITS = 0.2
 #: An item of fewer words says too little; texts may well have it by chance.
 LEAST_WORDS = 8
 SAMPLES = 3
-REPETITIONS = 32
+REPETITIONS = 24
 #: Ratio of the longest to the shortest item of a length class.
 CLASS_RATIO = 1.25
 #: Items of one pass over the corpus. More items make more passes, each with an index of this size.
@@ -81,6 +81,8 @@ class Index:
         self.vocabulary = np.unique(every)
         self.codes = [np.searchsorted(self.vocabulary, h) + 1 for h in self.hashes]
         self.limits = [int(EDITS * len(c) + 1e-9) for c in self.codes]
+        self.distinct = [np.unique(c) for c in self.codes]
+        self.present = np.zeros(len(self.vocabulary) + 1, bool)
         self.bitmap = np.zeros(1 << 20, bool)
         self.bitmap[self.vocabulary >> np.uint64(44)] = True
         lengths = sorted({len(c) for c in self.codes})
@@ -145,25 +147,25 @@ class Index:
         where = np.flatnonzero(hit)[exact]
         # A gap of foreign words before each row keeps its windows from reaching into the next.
         place = np.arange(len(words)) + (words.row + 1) * self.gap
-        codes = np.zeros(len(words) + (len(bounds) + 1) * self.gap, np.int64)
+        codes = np.zeros(len(words) + (len(bounds) + 1) * self.gap, np.int32)
         codes[place[where]] = found[exact] + 1
-        inner = np.zeros(len(codes) + 1, np.int64)
+        inner = np.zeros(len(codes) + 1, np.int32)
         np.cumsum(codes > 0, out=inner[1:])
-        candidates: dict[tuple[int, int], set[int]] = defaultdict(set)
+        candidates: set[tuple[int, int]] = set()
         for c in self.classes:
             foreign = c.low - (inner[place + c.low] - inner[place])
             starts = place[foreign <= int(EDITS * c.high + 1e-9)]
             for r in range(REPETITIONS):
                 keys, alive = self._walk(c, r, codes, starts, c.prefixes[r])
                 for key, start in zip(keys[-1].tolist(), alive.tolist(), strict=True):
-                    for item in c.full[r][key]:
-                        candidates[start, item].add(r)
+                    candidates.update((start, item) for item in c.full[r][key])
+        pairs = sorted(candidates)
+        rows = words.row[np.searchsorted(place, [start for start, _ in pairs])].tolist()
         groups: dict[tuple[int, int], list[int]] = defaultdict(list)
-        for start, item in candidates:
-            index = np.searchsorted(place, start)
-            groups[int(words.row[index]), item].append(start)
+        for (start, item), row in zip(pairs, rows, strict=True):
+            groups[row, item].append(start)
         for (row, item), own in sorted(groups.items()):
-            best = self._best(codes, item, sorted(own))
+            best = self._best(codes, item, own)
             if best:
                 distance, low, high = best
                 first, last = np.searchsorted(place, [low, high])
@@ -172,16 +174,17 @@ class Index:
     def _best(self, codes: np.ndarray, item: int, starts: list[int]) -> tuple[int, int, int] | None:
         """Distance and first and last place of the best stretch near any of the starts."""
         wanted, limit = self.codes[item], self.limits[item]
-        best, covered = None, -1
-        own = np.zeros(len(self.vocabulary) + 1, bool)
-        own[wanted] = True
+        best, covered, distinct = None, -1, self.distinct[item]
         for start in starts:
             if start <= covered:
                 continue
             low = start - limit
             region = codes[low : start + len(wanted) + 2 * limit + 1]
             covered = start + limit
-            if own[region].sum() < len(np.unique(wanted)) - limit:
+            self.present[region] = True  # an edit takes away one of the item's words at most
+            enough = self.present[distinct].sum() >= len(distinct) - limit
+            self.present[region] = False
+            if not enough:
                 continue
             distance, last = edit_search(wanted, region)
             if distance > limit or (best and distance >= best[0]):
