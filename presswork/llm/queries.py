@@ -6,7 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from presswork.llm import bpe, jaccard, repeats, sharding, tokenstore
+from presswork.llm import (
+    bpe,
+    contamination,
+    jaccard,
+    quality,
+    repeats,
+    sharding,
+    tokenstore,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,8 +23,10 @@ QUERIES: dict[str, Query] = {
     for f in (
         sharding.op1_sharding,
         bpe.op2_byte_bpe,
+        contamination.op3_decontamination,
         repeats.op4_substring_dedup,
         tokenstore.op5_token_store,
+        quality.op7_ordinal_quality,
         jaccard.op10_ngram_jaccard,
     )
 }
