@@ -79,8 +79,17 @@ class Words:
         up, down = _powers(max(16, int(len(codes)).bit_length()))
         sums = np.zeros(len(codes) + 1, np.uint64)
         np.cumsum(_constants()[codes] * up[: len(codes)], out=sums[1:])
-        raw = (sums[self.end] - sums[self.start]) * down[self.start]
-        self.hash = mix(raw + (self.end - self.start).astype(np.uint64))
+        self._sums, self._down = sums, down
+        self.hash = self._hash(self.end)
+
+    def _hash(self, end: np.ndarray) -> np.ndarray:
+        raw = (self._sums[end] - self._sums[self.start]) * self._down[self.start]
+        return mix(raw + (end - self.start).astype(np.uint64))
+
+    def heads(self, size: int) -> tuple[np.ndarray, np.ndarray]:
+        """Which words have more than ``size`` bytes, and the hashes of their first ``size``."""
+        longer = self.end - self.start > size
+        return longer, self._hash(np.where(longer, self.start + size, self.end))[longer]
 
     def __len__(self) -> int:
         return len(self.start)
