@@ -164,12 +164,32 @@ def _segments(df: DataFrame, wanted: DataFrame, levels, pivots: list[int], key:
     source = df.select(F.col(f"`{key}`").cast("long").alias("key"), F.col(f"`{text}`").alias("text"))
     chosen = source.join(sized(keys), "key", "left_semi").select("text")
     cut = chosen.mapInArrow(run, "digest binary, fragment int, tokens array<long>")
-    own = wanted.select("cid", "digest")
-    return cut.join(own, "digest").select("cid", "fragment", "tokens").dropDuplicates(["cid", "fragment"])
+    named = cut.join(wanted.select("cid", "digest"), "digest").select("cid", "fragment", "tokens")
+    return named.dropDuplicates(["cid", "fragment"])  # a row may stand in the input twice
+
+
+def _likely(pairs: DataFrame, members: DataFrame) -> DataFrame:
+    """The pairs (a, b, na, nb) whose first fragments leave room for enough overlap.
+
+    Let a's prefix end before b's in the global order. What a's prefix shares with b lies in b's
+    prefix too, so the overlap is what the prefixes share and, at most, all of a beyond its prefix.
+    """
+    a = members.select(F.col("cid").alias("a"), F.col("edge").alias("ea"), F.col("shared").alias("sa"))
+    b = members.select(F.col("cid").alias("b"), F.col("edge").alias("eb"), F.col("shared").alias("sb"))
+    beyond = [F.ceil(F.col(n) * PERCENT / 100) - 1 for n in ("na", "nb")]
+    most = F.size(F.array_intersect("sa", "sb")) + F.when(
+        F.col("ea") <= F.col("eb"), beyond[0]
+    ).otherwise(beyond[1])
+    return (
+        pairs.join(a, "a")
+        .join(b, "b")
+        .filter(most * (100 + PERCENT) >= PERCENT * (F.col("na") + F.col("nb")))
+        .select("a", "b", "na", "nb")
+    )
 
 
 def _verified(pairs: DataFrame, segments: DataFrame) -> DataFrame:
-    """The pairs (a, b, na, nb) that are similar: overlaps by fragment, added up per pair."""
+    """The pairs (a, b) that are similar: overlaps by fragment, added up per pair."""
     left = segments.select(F.col("cid").alias("a"), "fragment", F.col("tokens").alias("ta"))
     right = segments.select(F.col("cid").alias("b"), "fragment", F.col("tokens").alias("tb"))
     overlap = F.size(F.array_intersect("ta", "tb")).cast("long")
@@ -178,9 +198,10 @@ def _verified(pairs: DataFrame, segments: DataFrame) -> DataFrame:
         .join(right, ["b", "fragment"])
         .withColumn("partial", overlap)
         .groupBy("a", "b", "na", "nb")
-        .agg(F.sum("partial").alias("shared"))
-        .filter(F.col("shared") * 100 >= PERCENT * (F.col("na") + F.col("nb") - F.col("shared")))
+        .agg(F.sum("partial").alias("both"))
+        .filter(F.col("both") * 100 >= PERCENT * (F.col("na") + F.col("nb") - F.col("both")))
         .select("a", "b")
+        .distinct()
     )
 
 
@@ -262,29 +283,43 @@ def similarity_classes(df: DataFrame, key: str = "doc_id", text: str = "text") -
         sets.filter("digest is not null and key is not null")
         .groupBy("digest")
         .agg(F.min("key").alias("min_key"), F.first("n").alias("n"), F.first("prefix").alias("prefix"))
+        .withColumn("edge", F.element_at("prefix", -1))
         .withColumn("cid", F.monotonically_increasing_id()),
         "shingle-classes",
     )
-    postings = classes.select("cid", "n", F.posexplode("prefix").alias("place", "token"))
+    postings = classes.select("cid", F.posexplode("prefix").alias("place", "token"))
     dealt = postings.repartition("token")
     shared = dealt.groupBy("token").agg(F.count("*").alias("members")).filter("members > 1")
     lists = materialize(
-        dealt.join(shared.select("token"), "token").withColumn("place", F.col("place").cast("long")),
+        dealt.join(shared.select("token"), "token").join(classes.select("cid", "n", "edge"), "cid"),
         "shingle-lists",
     )
-    members = materialize(lists.select("cid").distinct(), "list-members")
-    wanted = materialize(
-        classes.select("cid", "digest", "min_key").join(sized(members), "cid", "left_semi"), "wanted"
+    members = materialize(
+        lists.groupBy("cid").agg(
+            F.max("edge").alias("edge"), F.collect_list("token").alias("shared")
+        ),
+        "list-members",
     )
     pivots = lists.approxQuantile("token", [k / FRAGMENTS for k in range(1, FRAGMENTS)], 0.05)
     pivots = sorted({int(p) for p in pivots})
-    segments = materialize(_segments(df, wanted, levels, pivots, key, text), "shingle-segments")
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        likely = materialize(_likely(pairs, members), "pairs")
+        ends = likely.select(F.col("a").alias("cid")).union(likely.select("b")).distinct()
+        wanted = materialize(
+            classes.select("cid", "digest", "min_key").join(
+                sized(materialize(ends, "pair-ends")), "cid", "left_semi"
+            ),
+            "wanted",
+        )
+        segments = materialize(_segments(df, wanted, levels, pivots, key, text), "segments")
+        return materialize(_verified(likely, segments), "links")
 
     links, components, turn = None, None, 0
     while turn <= ROUNDS:
         current = _open_lists(lists, components)
         pairs = _star_pairs(current, turn) if turn < ROUNDS else _all_pairs(current)
-        found = materialize(_verified(materialize(pairs, "pairs"), segments), "links")
+        found = verified(pairs)
         if found.isEmpty():
             turn = ROUNDS if turn < ROUNDS else ROUNDS + 1
             continue

@@ -10,10 +10,12 @@ from presswork.llm import (
     bpe,
     contamination,
     jaccard,
+    licenses,
     quality,
     repeats,
     sharding,
     tokenstore,
+    toxicity,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,7 +28,9 @@ QUERIES: dict[str, Query] = {
         contamination.op3_decontamination,
         repeats.op4_substring_dedup,
         tokenstore.op5_token_store,
+        toxicity.op6_toxicity,
         quality.op7_ordinal_quality,
+        licenses.op9_license_scan,
         jaccard.op10_ngram_jaccard,
     )
 }
