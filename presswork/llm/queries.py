@@ -11,6 +11,7 @@ from presswork.llm import (
     contamination,
     jaccard,
     licenses,
+    neighbours,
     quality,
     repeats,
     sharding,
@@ -30,6 +31,7 @@ QUERIES: dict[str, Query] = {
         tokenstore.op5_token_store,
         toxicity.op6_toxicity,
         quality.op7_ordinal_quality,
+        neighbours.op8_nearest,
         licenses.op9_license_scan,
         jaccard.op10_ngram_jaccard,
     )
