@@ -184,18 +184,19 @@ def without_repeats(
     written first, and texts meet them by id and text hash: most rows have none.
     """
     spans = materialize(repeated_spans(df, key, text, min_words), "repeated-spans")
-    cut = (
-        spans.groupBy("rank", "text_key")
-        .agg(F.array_sort(F.collect_list(F.struct("span_start", "span_end"))).alias("spans"))
-        .select(F.col("rank").alias("_rank"), F.col("text_key").alias("_text_key"), "spans")
+    cut = spans.groupBy("rank", "text_key").agg(
+        F.array_sort(F.collect_list(F.struct("span_start", "span_end"))).alias("spans")
     )
     rank = F.coalesce(F.col(f"`{key}`").cast("long"), F.lit(_NO_ID))
-    on = (rank == F.col("_rank")) & (F.xxhash64(f"`{text}`") == F.col("_text_key"))
-    new = F.when(F.col("spans").isNull(), F.col(f"`{text}`")).otherwise(
-        _cut(F.col(f"`{text}`"), F.col("spans"))
+    rows = df.select(  # the row as one column, whatever its own columns are called
+        F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"),
+        rank.alias("rank"),
+        F.xxhash64(f"`{text}`").alias("text_key"),
     )
-    columns = [new.alias(text) if c == text else F.col(f"`{c}`") for c in df.columns]
-    return df.join(cut, on, "left").select(*columns)
+    own = F.col("row").getField(text)
+    new = F.when(F.col("spans").isNull(), own).otherwise(_cut(own, F.col("spans")))
+    columns = [(new if c == text else F.col("row").getField(c)).alias(c) for c in df.columns]
+    return rows.join(cut, ["rank", "text_key"], "left").select(*columns)
 
 
 def op4_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
