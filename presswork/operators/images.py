@@ -53,14 +53,17 @@ def image_extension(content_type: Column, url: Column) -> Column:
 def response_facts(responses: DataFrame) -> DataFrame:
     """One slim row per address: the media type and whether the body is an image.
 
+    A good response wins over failed ones, so a retry that succeeds counts.
     Bodies are reduced to their length by the projection on the scan and are never shuffled.
     """
     size = F.col("body_length") if "body_length" in responses.columns else F.length("body")
+    ok = F.coalesce(is_image(F.col("content_type"), size), F.lit(False))
     facts = responses.select(
         F.col("url").alias("image_url"),
-        F.struct(is_image(F.col("content_type"), size).alias("ok"), "content_type").alias("fact"),
+        F.struct((~ok).alias("bad"), "content_type").alias("fact"),
     )
-    return keep_first(facts, "image_url", "fact").select("image_url", "fact.*")
+    best = keep_first(facts, "image_url", "fact")
+    return best.select("image_url", (~F.col("fact.bad")).alias("ok"), "fact.content_type")
 
 
 def image_outcomes(records: DataFrame, responses: DataFrame) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from presswork.functions.columns import quote, stripped
 from presswork.functions.markup import element_text_udf, rating_udf, review_udf, unescape_udf
+from presswork.operators.dedup import keep_first
 
 # --- Fixed values -----------------------------------------------------------------------------
 JSONLD_TYPE = "application/ld+json"
@@ -21,11 +22,13 @@ FALLBACK = "css_fallback"
 # ----------------------------------------------------------------------------------------------
 
 # Comments and scripts in document order: whichever opens first swallows the other.
-_COMMENT_OR_SCRIPT = r"(?is)<!--.*?-->|<script\b[^>]*>.*?</script\s*>"
-_COMMENT_OR_RAW_TEXT = r"(?is)<!--.*?-->|<(script|style)\b[^>]*>.*?</\1\s*>"
-_SCRIPT_BODY = r"(?is)^<script\b[^>]*>(.*)</script\s*>$"
-_META_TAG = r"""(?is)<meta\b(?:[^>"']++|"[^"]*+"|'[^']*+'){0,64}>"""
-_HEADING = r"(?is)<h1\b[^>]*>(.*?)(?:</h1\s*>|\z)"
+# A tag goes on past a ">" within quotes; a quote without a partner is an ordinary character.
+_IN_TAG = r"""(?:[^>"']++|"[^"]*+"|'[^']*+'|["'])*+"""
+_COMMENT_OR_SCRIPT = rf"(?is)<!--.*?-->|<script\b{_IN_TAG}>.*?</script\s*>"
+_COMMENT_OR_RAW_TEXT = rf"(?is)<!--.*?-->|<(script|style)\b{_IN_TAG}>.*?</\1\s*>"
+_SCRIPT_BODY = rf"(?is)^<script\b{_IN_TAG}>(.*)</script\s*>$"
+_META_TAG = rf"(?is)<meta\b{_IN_TAG}>"
+_HEADING = rf"(?is)<h1\b{_IN_TAG}>(.*?)(?:</h1\s*>|\z)"
 
 
 def _attribute_is(tag: str, name: str, value: str) -> str:
@@ -247,14 +250,21 @@ def extract_pages(pages: DataFrame, scraped_at: Column | None = None) -> DataFra
 
 
 def attach_pages(feed: DataFrame, pages: DataFrame) -> DataFrame:
-    """Feed items with the page fetched for their address; ``html`` is NULL where none was."""
+    """Feed items with the page fetched for their address; ``html`` is NULL where none was.
+
+    Of several fetches of an address the latest counts, by ``fetched_at`` where the pages have it.
+    """
     items = feed.select(
         F.col("link").alias("url"),
         F.col("title").alias("rss_title"),
         F.col("pubDate").alias("rss_published"),
         *[c for c in feed.columns if c not in ("link", "title", "pubDate", "description")],
     )
-    return items.join(pages.select("url", "html"), "url", "left")
+    fetched = F.col("fetched_at") if "fetched_at" in pages.columns else F.lit(None)
+    age = -F.unix_micros(fetched.cast("timestamp"))
+    ordered = pages.select("url", "html", F.struct(age.isNull(), age, F.md5("html")).alias("_order"))
+    latest = keep_first(ordered, "url", "_order").drop("_order")
+    return items.join(latest, "url", "left")
 
 
 def feed_claims(feed: DataFrame, pages: DataFrame, scraped_at: Column | None = None) -> DataFrame:

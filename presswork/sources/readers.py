@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,7 +12,7 @@ from pyspark.sql import types as T
 from presswork import schemas as S
 from presswork.functions.columns import is_filled
 from presswork.session import materialize
-from presswork.sources.order import file_order, with_file_order
+from presswork.sources.order import KEPT_ORDER, ORDER, file_order, with_file_order
 
 # --- Fixed values: spellings of a missing value in posts files, and the split of each file -----
 NA_WORDS = (
@@ -65,7 +66,8 @@ def read_header_tsv(
         .option("columnNameOfCorruptRecord", _LINE)
         .csv(path)
     )
-    unquoted = F.regexp_replace(_LINE, r'"[^"]*"', "")
+    # Only a quote at the start of a field opens a quoted one, whose tabs part no fields.
+    unquoted = F.regexp_replace(_LINE, r'(^|\t)"(?:[^"]|"")*"', "$1")
     fields = F.length(unquoted) - F.length(F.translate(unquoted, "\t", "")) + 1
     kept = with_file_order(lines).where(F.col(_LINE).isNull() | (fields <= width))
     return kept.select(
@@ -140,15 +142,17 @@ def read_json_lines(
 
     With ``nan_is_missing`` a bare ``NaN`` in a text column, which Spark reads as text, becomes
     NULL. Only the posts source writes such values, and it never holds that word as text.
+    A batch that keeps the order of its landed files has that order, any other that of its own.
     """
-    rows = spark.read.schema(schema).option("mode", "FAILFAST").json(path)
+    kept = T.StructType([*schema.fields, T.StructField(KEPT_ORDER, ORDER)])
+    rows = spark.read.schema(kept).option("mode", "FAILFAST").json(path)
     columns = [
         f"nullif(`{f.name}`, 'NaN') AS `{f.name}`"
         if nan_is_missing and isinstance(f.dataType, T.StringType)
         else f"`{f.name}`"
         for f in schema.fields
     ]
-    return with_file_order(rows).selectExpr(*columns, "_seq")
+    return with_file_order(rows).selectExpr(*columns, f"coalesce({KEPT_ORDER}, _seq) AS _seq")
 
 
 def read_news_payloads(
@@ -156,30 +160,36 @@ def read_news_payloads(
 ) -> DataFrame:
     """Articles of the landed result pages of one pull, in page order.
 
-    Reading stops at the first empty page, at the last page the source announces, and after
-    ``max_pages``. Page headers are a few numbers per file; only their minimum is compared.
+    A pull is a folder of pages. Reading one stops at its first empty page, at the last page the
+    source announces, and after ``max_pages``. A page that does not tell its number is read in any
+    case. Page headers are a few numbers per file; the first empty page of each pull is a small
+    written table, which the wide rows meet without a shuffle while it is below the threshold.
     """
     pages = spark.read.schema(S.NEWS_PAYLOAD).option("mode", "FAILFAST").json(path)
+    kind = pages.schema["response"].dataType["results"].dataType
+    number = F.col("response.currentPage")
     numbered = pages.select(
-        F.col("response.currentPage").alias("page"),
+        number.alias("page"),
         F.col("response.pages").alias("pages"),
-        F.coalesce(F.col("response.results"), F.array().cast(pages.schema["response"].dataType["results"].dataType)).alias("results"),
-        file_order(F.col("response.currentPage")).alias("_page_order"),
+        F.coalesce(F.col("response.results"), F.array().cast(kind)).alias("results"),
+        file_order(number).alias("_page_order"),
+    ).withColumn("pull", F.col("_page_order.folder"))
+    ends = materialize(
+        numbered.where(F.size("results") == 0).groupBy("pull").agg(F.min("page").alias("end")),
+        "pull-ends",
+    )
+    no_limit = F.lit(2**31 - 1)
+    read = numbered.join(ends, "pull", "left").where(
+        F.col("page").isNull()
+        | (
+            (F.col("page") < F.coalesce("end", no_limit))
+            & (F.col("page") <= F.coalesce("pages", no_limit))
+        )
     )
-    first_empty = numbered.where(F.size("results") == 0).agg(F.min("page"))
-    read = numbered.where(
-        F.col("page") < F.coalesce(first_empty.scalar(), F.lit(2**31 - 1))
-    ).where(F.col("page") <= F.coalesce(F.col("pages"), F.lit(2**31 - 1)))
     if max_pages is not None:
-        read = read.where(F.col("page") <= max_pages)
+        read = read.where(F.col("page").isNull() | (F.col("page") <= max_pages))
     return read.select("_page_order", F.posexplode("results").alias("pos", "item")).select(
-        "item.*",
-        F.struct(
-            F.col("_page_order.rank"),
-            F.col("_page_order.path"),
-            F.col("_page_order.block"),
-            (F.col("_page_order.row") * 1_000_000 + F.col("pos")).alias("row"),
-        ).alias("_seq"),
+        "item.*", F.col("_page_order").withField("pos", F.col("pos").cast("int")).alias("_seq")
     )
 
 
@@ -197,13 +207,16 @@ def read_feed_items(spark: SparkSession, path: str | list[str], limit: int | Non
 
 
 def latest_batch(df: DataFrame, batch: str = "batch_ts", source: str = "source") -> DataFrame:
-    """Rows of the newest batch of each source.
+    """Rows of the newest batch of each source; a fixed name is older than any time.
 
     The newest batch per source is a hash aggregate written as a small table of known size; the
     rows meet it in a broadcast join while it is below the broadcast threshold.
     """
+    name = F.col(batch).cast("string")
+    moment = F.struct(name.rlike(r"^[0-9]{8}(_[0-9]{6})?$"), F.col(batch))
     newest = materialize(
-        df.groupBy(F.col(source).alias("_source")).agg(F.max(batch).alias("_batch")), "latest-batch"
+        df.groupBy(F.col(source).alias("_source")).agg(F.max_by(batch, moment).alias("_batch")),
+        "latest-batch",
     )
     same = F.col(source).eqNullSafe(F.col("_source")) & (F.col(batch) == F.col("_batch"))
     return df.join(newest, same, "left_semi")
@@ -224,15 +237,17 @@ def _list_folder(spark: SparkSession, folder: str) -> list[tuple[str, str, int]]
 def latest_batch_path(spark: SparkSession, root: str, source: str | None = None) -> str | None:
     """Newest batch of a source, or None.
 
-    Batches are ``batch_ts=...`` folders, the newest by name; ``*.jsonl`` files, the newest by
-    modification time, are accepted where there is no such folder.
+    Batches are ``batch_ts=...`` folders; ``*.jsonl`` files are accepted where there is no such
+    folder. Of batches named by their time the last by name counts; it and any with fixed names
+    are compared by the time at which they were written.
     """
     entries = _list_folder(spark, root if source is None else f"{root}/{source}")
     folders = [e for e in entries if e[0].startswith("batch_ts=")]
-    if folders:
-        return max(folders)[1]
-    files = [e for e in entries if e[0].endswith(".jsonl")]
-    return max(files, key=lambda e: (e[2], e[0]))[1] if files else None
+    timed = [e for e in folders if re.fullmatch(r"batch_ts=\d{8}(_\d{6})?", e[0])]
+    newest = [max(timed)] if timed else []
+    newest += [e for e in folders if e not in timed]
+    newest = newest or [e for e in entries if e[0].endswith(".jsonl")]
+    return max(newest, key=lambda e: (e[2], e[0]))[1] if newest else None
 
 
 def read_splits(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:

@@ -6,8 +6,10 @@ from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from presswork import schemas as S
+from presswork.sources.order import KEPT_ORDER
 
 
 def batch_id(moment: datetime | None = None) -> str:
@@ -26,10 +28,12 @@ def write_raw(
     """Write a raw batch as JSON Lines under its source; return its path and row count.
 
     Every run has its own batch folder. A fixed ``batch`` name suits static sets and replaces the
-    earlier batch of that name.
+    earlier batch of that name. The order of the landed files goes along in a technical column:
+    the parts of a batch do not follow it, and which of several duplicates is first depends on it.
     """
     path = f"{root}/{source}/batch_ts={batch or batch_id()}"
-    observed, rows = _counted(df.drop("_seq"))
+    ordered = "_seq" in df.columns and isinstance(df.schema["_seq"].dataType, T.StructType)
+    observed, rows = _counted(df.withColumnRenamed("_seq", KEPT_ORDER) if ordered else df.drop("_seq"))
     observed.write.mode("overwrite").option("ignoreNullFields", False).json(path)
     return path, rows.get["rows"]
 
