@@ -62,6 +62,7 @@ def read_header_tsv(
         .option("header", True)
         .option("escape", '"')
         .option("multiLine", multi_line)
+        .option("columnPruning", False)  # a parser of some columns does not see that a row is long
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", _LINE)
         .csv(path)
