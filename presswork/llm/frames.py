@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from presswork.session import tune
+from presswork.session import materialize, tune
 
 #: Bytes of text that a worker turns into arrays at a time. A longer text is handled alone.
 SLICE_BYTES = 1 << 20
@@ -37,6 +37,27 @@ def sized(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
+def labelled_sample(
+    documents: DataFrame, labels: DataFrame, label: str, key: str, text: str, sample: int
+) -> DataFrame:
+    """(text, label) of at most ``sample`` labelled documents, written once.
+
+    The labels are chosen first, in a pseudo-random order of their keys, and that bounded list is
+    sent to the documents, which stay where they are. Null labels and keys are left out; of
+    documents or labels that repeat a key, the least text and label count.
+    """
+    chosen = materialize(
+        labels.select(F.col(f"`{key}`").alias("key"), F.col(f"`{label}`").cast("double").alias("label"))
+        .filter("key is not null and label is not null")
+        .groupBy("key").agg(F.min("label").alias("label"))
+        .orderBy(F.xxhash64("key", F.lit(7)), "key").limit(sample),
+        "chosen-labels",
+    )
+    rows = documents.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"))
+    found = rows.join(F.broadcast(chosen), "key").groupBy("key", "label").agg(F.min("text").alias("text"))
+    return materialize(found.select("text", "label"), "labelled-sample")
+
+
 def texts(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The UTF-8 bytes of a string column, and the offsets of its rows; null counts as empty."""
     if isinstance(column, pa.ChunkedArray):

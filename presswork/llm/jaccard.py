@@ -19,7 +19,7 @@ from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from presswork.llm.components import connected_components
@@ -32,11 +32,13 @@ PERCENT = 80
 FRAGMENTS = 8
 #: Bits of the table of approximate shingle counts. It sets the order, hence the speed, and
 #: nothing else; any order of the shingles gives the same links.
-COUNT_BITS = 20
+COUNT_BITS = 23
+_PACK = 1 << 31
 #: Shingles that a task counts at a time.
 _CHUNK = 4_000_000
-#: Rounds of proposals by one member per list, before all remaining pairs.
-ROUNDS = 4
+#: Rounds of proposals by a few members per list, three times as many each time, before all
+#: remaining pairs. They end early once those pairs are no more than a few per entry of the lists.
+ROUNDS, LEADERS, FEW = 4, 4, 4
 
 
 def shingle_counts(df: DataFrame, text: str = "text") -> DataFrame:
@@ -47,14 +49,14 @@ def shingle_counts(df: DataFrame, text: str = "text") -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(1 << COUNT_BITS, np.int64)
+        total = np.zeros(1 << COUNT_BITS, np.uint32)
         held: list[np.ndarray] = []
 
         def add() -> None:
             values, counts = np.unique(np.concatenate(held), return_counts=True)
             held.clear()
             bins = (values[counts > 1] >> np.uint64(64 - COUNT_BITS)).astype(np.int64)
-            total[:] += np.bincount(bins, counts[counts > 1], minlength=len(total)).astype(np.int64)
+            np.add.at(total, bins, counts[counts > 1].astype(np.uint32))
 
         waiting = 0
         for _, body, bounds in slices(batches, "text"):
@@ -70,7 +72,7 @@ def shingle_counts(df: DataFrame, text: str = "text") -> DataFrame:
         for low in range(0, len(bins), 100_000):
             part = bins[low : low + 100_000]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(part.astype(np.int32)), pa.array(total[part])], names=["bin", "n"]
+                [pa.array(part.astype(np.int32)), pa.array(total[part].astype(np.int64))], names=["bin", "n"]
             )
 
     found = df.select(F.col(f"`{text}`").alias("text")).mapInArrow(run, "bin int, n long")
@@ -79,12 +81,10 @@ def shingle_counts(df: DataFrame, text: str = "text") -> DataFrame:
 
 def _levels(counts: DataFrame) -> np.ndarray:
     """The bins' levels, 0 to 31, as one byte each: a table of fixed size, whatever the corpus."""
+    level = F.least(F.ceil(F.log2("n")), F.lit(31)).cast("byte")
+    rows = counts.select("bin", level.alias("level")).toArrow()
     table = np.zeros(1 << COUNT_BITS, np.uint8)
-    rows = counts.toArrow()
-    n = np.asarray(rows.column("n"), dtype=np.float64)
-    table[np.asarray(rows.column("bin"))] = np.minimum(31, np.ceil(np.log2(n))).astype(
-        np.uint8
-    )
+    table[np.asarray(rows.column("bin"))] = np.asarray(rows.column("level"))
     return table
 
 
@@ -160,7 +160,7 @@ def _segments(df: DataFrame, wanted: DataFrame, levels, pivots: list[int], key:
                 names=["digest", "fragment", "tokens"],
             )
 
-    keys = materialize(wanted.select(F.col("min_key").alias("key")).distinct(), "wanted-ids")
+    keys = wanted.select(F.col("min_key").alias("key"))
     source = df.select(F.col(f"`{key}`").cast("long").alias("key"), F.col(f"`{text}`").alias("text"))
     chosen = source.join(sized(keys), "key", "left_semi").select("text")
     cut = chosen.mapInArrow(run, "digest binary, fragment int, tokens array<long>")
@@ -205,43 +205,51 @@ def _verified(pairs: DataFrame, segments: DataFrame) -> DataFrame:
     )
 
 
-def _close_sizes(na: str, nb: str):
-    return (F.col(na) * 100 >= PERCENT * F.col(nb)) & (F.col(nb) * 100 >= PERCENT * F.col(na))
+def _room(na: Column, i: Column, nb: Column, j: Column) -> Column:
+    """Whether two sets with a first common shingle at places i and j can be similar.
+
+    Their sizes must be close, and they can share no more than the shorter of the rests that start
+    there. A similar pair passes at its first common shingle at least.
+    """
+    rest = F.least(na - i, nb - j)
+    sizes = (na * 100 >= PERCENT * nb) & (nb * 100 >= PERCENT * na)
+    return sizes & (rest * (100 + PERCENT) >= PERCENT * (na + nb))
 
 
 def _star_pairs(lists: DataFrame, turn: int) -> DataFrame:
-    """In each posting list one member, another each turn, with all members of other classes."""
-    member = F.struct(F.xxhash64("cid", F.lit(turn)).alias("h"), "cid", "n", "component")
-    leader = lists.groupBy("token").agg(F.min(member).alias("leader"))
+    """In each posting list a few members, others each turn, with all members of other classes."""
+    sizes = lists.groupBy("token").agg(F.count("*").alias("size"))
+    chance = F.pmod(F.xxhash64("cid", F.lit(turn)), F.col("size"))
+    leaders = (
+        lists.join(sizes, "token")
+        .filter(chance < LEADERS * 3**turn)
+        .select("token", F.struct("cid", "n", "place", "component").alias("leader"))
+    )
+    first = F.col("cid") < F.col("leader.cid")
     return (
-        lists.join(leader, "token")
+        lists.join(leaders, "token")
         .filter(F.col("component") != F.col("leader.component"))
+        .filter(_room(*map(F.col, ("n", "place", "leader.n", "leader.place"))))
         .select(
             F.least("cid", "leader.cid").alias("a"),
             F.greatest("cid", "leader.cid").alias("b"),
-            F.when(F.col("cid") < F.col("leader.cid"), F.col("n")).otherwise(F.col("leader.n")).alias("na"),
-            F.when(F.col("cid") < F.col("leader.cid"), F.col("leader.n")).otherwise(F.col("n")).alias("nb"),
+            F.when(first, F.col("n")).otherwise(F.col("leader.n")).alias("na"),
+            F.when(first, F.col("leader.n")).otherwise(F.col("n")).alias("nb"),
         )
-        .filter(_close_sizes("na", "nb"))
         .distinct()
     )
 
 
 def _all_pairs(lists: DataFrame) -> DataFrame:
-    """All pairs of a posting list in different classes that can be similar.
-
-    At the first shingle that two sets have in common, they can share no more than the shorter of
-    the rests that start there. A pair is proposed by a shingle only if that rest is long enough,
-    so by its first common one at least if it is similar.
-    """
-    a = lists.select("token", *[F.col(c).alias(f"a_{c}") for c in ("cid", "n", "place", "component")])
-    b = lists.select("token", *[F.col(c).alias(f"b_{c}") for c in ("cid", "n", "place", "component")])
-    most = F.least(F.col("a_n") - F.col("a_place"), F.col("b_n") - F.col("b_place"))
-    both = F.col("a_n") + F.col("b_n")
+    """All pairs of a posting list in different classes that can be similar."""
+    a, b = (
+        lists.select("token", *[F.col(c).alias(f"{s}_{c}") for c in ("cid", "n", "place", "component")])
+        for s in "ab"
+    )
     return (
         a.join(b, "token")
         .filter((F.col("a_cid") < F.col("b_cid")) & (F.col("a_component") != F.col("b_component")))
-        .filter(_close_sizes("a_n", "b_n") & (most * (100 + PERCENT) >= PERCENT * both))
+        .filter(_room(*map(F.col, ("a_n", "a_place", "b_n", "b_place"))))
         .select(
             F.col("a_cid").alias("a"), F.col("b_cid").alias("b"),
             F.col("a_n").alias("na"), F.col("b_n").alias("nb"),
@@ -250,14 +258,9 @@ def _all_pairs(lists: DataFrame) -> DataFrame:
     )
 
 
-def _open_lists(lists: DataFrame, components: DataFrame | None) -> DataFrame:
+def _open_lists(lists: DataFrame, components: DataFrame) -> DataFrame:
     """Posting lists with each member's class, without those that lie in one class."""
-    if components is None:
-        return lists.withColumn("component", F.col("cid"))
-    known = components.select(F.col("node").alias("cid"), "component")
-    current = lists.join(known, "cid", "left").withColumn(
-        "component", F.coalesce("component", "cid")
-    )
+    current = lists.join(components, "cid")
     mixed = (
         current.groupBy("token")
         .agg(F.min("component").alias("low"), F.max("component").alias("high"))
@@ -267,6 +270,28 @@ def _open_lists(lists: DataFrame, components: DataFrame | None) -> DataFrame:
     return current.join(mixed, "token", "left_semi")
 
 
+def _few_left(lists: DataFrame) -> bool:
+    """Whether the pairs of different classes are few, against the entries of the lists."""
+    own = lists.groupBy("token", "component").agg(F.count("*").alias("n"))
+    left = own.groupBy("token").agg(
+        F.sum("n").alias("all"), F.sum(F.col("n") * F.col("n")).alias("within")
+    )
+    pairs = (F.col("all") * F.col("all") - F.col("within")) / 2
+    row = left.agg(F.sum(pairs).alias("pairs"), F.sum("all").alias("entries")).first()
+    return row["pairs"] <= FEW * row["entries"]
+
+
+def _merged(components: DataFrame, links: DataFrame) -> DataFrame:
+    """The classes after the links (a, b): those that a link joins become one."""
+    own = components.select(F.col("cid").alias("a"), F.col("component").alias("ca"))
+    other = components.select(F.col("cid").alias("b"), F.col("component").alias("cb"))
+    between = links.join(own, "a").join(other, "b").select(F.col("ca").alias("a"), F.col("cb").alias("b"))
+    joined = connected_components(between).toDF("component", "new")
+    return components.join(joined, "component", "left").select(
+        "cid", F.coalesce("new", "component").alias("component")
+    )
+
+
 def similarity_classes(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per row of ``df``: key, n_shingles, component_id.
 
@@ -287,17 +312,36 @@ def similarity_classes(df: DataFrame, key: str = "doc_id", text: str = "text") -
         .withColumn("cid", F.monotonically_increasing_id()),
         "shingle-classes",
     )
-    postings = classes.select("cid", F.posexplode("prefix").alias("place", "token"))
-    dealt = postings.repartition("token")
-    shared = dealt.groupBy("token").agg(F.count("*").alias("members")).filter("members > 1")
-    lists = materialize(
-        dealt.join(shared.select("token"), "token").join(classes.select("cid", "n", "edge"), "cid"),
+    # Size and place as one number, so that a hash aggregate gives both entries of a list of two.
+    packed = (F.col("n") * _PACK + F.col("place")).alias("packed")
+    postings = classes.select("cid", "n", F.posexplode("prefix").alias("place", "token"))
+    dealt = postings.select("token", "cid", packed).repartition("token")
+    unpacked = lambda c: (F.shiftright(c, 31), F.col(c) % _PACK)
+    shared = (
+        dealt.groupBy("token")
+        .agg(
+            F.count("*").alias("members"),
+            F.min("packed").alias("low"),
+            F.max("packed").alias("high"),
+        )
+        .filter("members > 1")
+        .select(
+            "token", ((F.col("members") > 2) | _room(*unpacked("low"), *unpacked("high"))).alias("open")
+        )
+    )
+    entries = materialize(
+        dealt.join(shared, "token").select(
+            "token", "cid", unpacked("packed")[0].alias("n"), unpacked("packed")[1].alias("place"), "open"
+        ),
         "shingle-lists",
     )
+    lists = entries.filter("open").drop("open")
     members = materialize(
-        lists.groupBy("cid").agg(
-            F.max("edge").alias("edge"), F.collect_list("token").alias("shared")
-        ),
+        entries.groupBy("cid")
+        .agg(F.collect_list("token").alias("shared"), F.max("open").alias("any_open"))
+        .filter("any_open")
+        .join(classes.select("cid", "edge"), "cid")
+        .select("cid", "edge", "shared"),
         "list-members",
     )
     pivots = lists.approxQuantile("token", [k / FRAGMENTS for k in range(1, FRAGMENTS)], 0.05)
@@ -315,22 +359,20 @@ def similarity_classes(df: DataFrame, key: str = "doc_id", text: str = "text") -
         segments = materialize(_segments(df, wanted, levels, pivots, key, text), "segments")
         return materialize(_verified(likely, segments), "links")
 
-    links, components, turn = None, None, 0
-    while turn <= ROUNDS:
-        current = _open_lists(lists, components)
-        pairs = _star_pairs(current, turn) if turn < ROUNDS else _all_pairs(current)
-        found = verified(pairs)
-        if found.isEmpty():
-            turn = ROUNDS if turn < ROUNDS else ROUNDS + 1
-            continue
-        links = found if links is None else links.union(found)
-        components = materialize(connected_components(links), "classes")
-        turn += 1
-    if components is None:
-        components = spark.createDataFrame([], "node long, component long")
-    keyed = components.join(classes.select(F.col("cid").alias("node"), "min_key"), "node")
+    components = members.select("cid", F.col("cid").alias("component"))
+    for turn in range(ROUNDS + 1):
+        current = materialize(_open_lists(lists, components), "open-lists")
+        if current.isEmpty():
+            break
+        last = turn == ROUNDS or _few_left(current)
+        links = verified(_all_pairs(current) if last else _star_pairs(current, turn))
+        if not links.isEmpty():
+            components = materialize(_merged(components, links), "merged-classes")
+        if last:
+            break
+    keyed = components.join(classes.select("cid", "min_key"), "cid")
     smallest = keyed.groupBy("component").agg(F.min("min_key").alias("component_id"))
-    least = keyed.join(smallest, "component").select(F.col("node").alias("cid"), "component_id")
+    least = keyed.join(smallest, "component").select("cid", "component_id")
     named = (
         classes.select("cid", "digest", "min_key")
         .join(least, "cid", "left")
@@ -348,10 +390,23 @@ def one_per_class(df: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
 
     Of rows that repeat a key one stays. Rows with a null key stay: they are in no class.
     """
-    names = similarity_classes(df, key, text).filter(F.col(key) == F.col("component_id"))
-    kept = materialize(names.select(F.col(key).alias("_kept")).distinct(), "kept-ids")
-    chosen = df.join(sized(kept), F.col(f"`{key}`").cast("long") == F.col("_kept"), "left_semi")
-    return chosen.dropDuplicates([key]).unionByName(df.filter(F.col(f"`{key}`").isNull()))
+    named = similarity_classes(df, key, text)
+    kept = materialize(
+        named.filter(F.col(key) == F.col("component_id")).groupBy(F.col(key).alias("key"))
+        .agg(F.count("*").alias("times")),
+        "kept-ids",
+    )
+    rows = df.select(
+        F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"),
+        F.col(f"`{key}`").cast("long").alias("key"),
+    )
+    once = kept.filter("times = 1").select("key")
+    several = kept.filter("times > 1").select("key")
+    chosen = rows.join(sized(once), "key", "left_semi")
+    if not several.isEmpty():
+        again = rows.join(sized(several), "key", "left_semi")
+        chosen = chosen.unionByName(again.dropDuplicates(["key"]))
+    return chosen.unionByName(rows.filter("key is null")).select("row.*")
 
 
 def op10_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:

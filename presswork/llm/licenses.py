@@ -71,13 +71,14 @@ _NAMES = (
     "apache|mit|gnu|general|public|gpl|mozilla|mpl|bsd|clause|creative|commons|attribution|"
     "noncommercial|international|cc|by|nc|2|3|4|0"
 )
-BINS = 1 << 16
+BINS = 1 << 13
 #: Paragraphs of the corpus to learn ``none`` from, and as many again to calibrate with.
-SAMPLE = 12_000
+SAMPLE = 6_000
 #: Characters from which a paragraph is taken sentence by sentence.
 LONG = 400
 #: Shares of a template's word pairs that confirm a family, and a notice of no known family.
 CONFIRM, CONFIRM_UNKNOWN = 0.7, 0.25
+TEMPERATURES = (0.5, 1.0, 2.0)
 LABELS = ["none", "unknown", *TEMPLATES]
 
 
@@ -102,10 +103,17 @@ def _words(body: str) -> Column:
 
 def _pairs(words: Column) -> Column:
     """The distinct pairs of neighbouring words, and a single word for itself."""
-    spots = F.sequence(F.lit(1), F.greatest(F.size(words) - 1, F.lit(1)))
-    return F.array_distinct(
-        F.transform(spots, lambda i: F.array_join(F.slice(words, i, F.lit(2)), " "))
-    )
+
+    def of(w: Column) -> Column:
+        n = F.size(w)
+        both = F.zip_with(
+            F.slice(w, F.lit(1), F.greatest(n - 1, F.lit(0))), F.slice(w, F.lit(2), n),
+            lambda x, y: F.concat_ws(" ", x, y),
+        )
+        return F.array_distinct(F.when(n > 1, both).otherwise(w))
+
+    # Bound as the only element of an array, the words are worked out once and not per use.
+    return F.element_at(F.transform(F.array(words), of), 1)
 
 
 def _templates(spark: SparkSession) -> DataFrame:
@@ -158,15 +166,16 @@ class Scanner:
     def probabilities(self, df: DataFrame) -> DataFrame:
         """``df`` (with ``body``) and ``p``, the calibrated probabilities in the order of LABELS."""
         raw = self.classifier.transform(self.features.transform(df))
-        scores = vector_to_array("rawPrediction")
-        scaled = F.transform(scores, lambda x: x / F.lit(self.temperature))
-        grown = F.transform("scaled", lambda x: F.exp(x - F.array_max("scaled")))
-        total = F.aggregate("grown", F.lit(0.0), lambda a, x: a + x)
-        return (
-            raw.select(*df.columns, scaled.alias("scaled"))
-            .select(*df.columns, grown.alias("grown"))
-            .select(*df.columns, F.transform("grown", lambda x: x / total).alias("p"))
-        )
+
+        def softmax(scores: Column) -> Column:
+            grown = lambda x: F.aggregate(
+                scores, F.lit(0.0), lambda a, y: a + F.exp((y - x) / F.lit(self.temperature))
+            )
+            return F.transform(scores, lambda x: 1 / grown(x))
+
+        # Bound as the only element of an array, the scores are worked out once and not per use.
+        p = F.element_at(F.transform(F.array(vector_to_array("rawPrediction")), softmax), 1)
+        return raw.select(*df.columns, p.alias("p"))
 
 
 def _featurizer() -> Pipeline:
@@ -193,7 +202,8 @@ def train(corpus: DataFrame, key: str = "doc_id", text: str = "text", sample: in
     """
     spark = corpus.sparkSession
     near = F.expr(
-        "exists(templates, t -> size(array_intersect(t, grams)) >= 0.25 * size(t))"
+        "element_at(transform(array(grams), g -> exists(templates,"
+        " t -> size(array_intersect(t, g)) >= 0.25 * size(t))), 1)"
     )
     templates = _similarity(spark).agg(F.collect_list("grams").alias("templates"))
     order = F.xxhash64("body", F.lit(5))
@@ -215,19 +225,26 @@ def train(corpus: DataFrame, key: str = "doc_id", text: str = "text", sample: in
     counts = F.when(F.col("label") == "none", 1.0).otherwise(4.0)
     learnt = features.transform(examples.filter("part > 0").withColumn("weight", counts))
     classifier = LogisticRegression(
-        labelCol="number", weightCol="weight", family="multinomial", maxIter=40, regParam=2e-5
+        labelCol="number", weightCol="weight", family="multinomial", maxIter=25, regParam=1e-4
     ).fit(materialize(learnt.select("number", "weight", "features").coalesce(4), "licence-examples"))
     held = materialize(examples.filter("part = 0").select("body", "number"), "licence-held-out")
     scanner = Scanner(features, classifier, 1.0, 0.5)
-    best = None
-    for temperature in (0.5, 0.7, 1.0, 1.4, 2.0, 3.0):
-        trial = Scanner(features, classifier, temperature, 0.5)
-        chance = F.greatest(F.element_at("p", (F.col("number") + 1).cast("int")), F.lit(1e-12))
-        loss = trial.probabilities(held).agg(F.avg(-F.log(chance))).first()[0]
-        if loss is not None and (best is None or loss < best):
-            best, scanner = loss, trial
-    worst = scanner.probabilities(held.filter("number = 0")).agg(F.max(1 - F.col("p")[0])).first()[0]
-    scanner.threshold = min(0.99, max(0.5, worst or 0.0))
+    chance = F.greatest(F.element_at("p", (F.col("number") + 1).cast("int")), F.lit(1e-12))
+    foreign = F.when(F.col("number") == 0, 1 - F.col("p")[0])
+    tried = None
+    for temperature in TEMPERATURES:
+        scored = Scanner(features, classifier, temperature, 0.5).probabilities(held).select(
+            F.lit(temperature).alias("temperature"), (-F.log(chance)).alias("loss"),
+            foreign.alias("foreign"),
+        )
+        tried = scored if tried is None else tried.union(scored)
+    rows = tried.groupBy("temperature").agg(
+        F.avg("loss").alias("loss"), F.max("foreign").alias("worst")
+    )
+    best = rows.orderBy("loss", "temperature").first()
+    if best:
+        scanner.temperature = best["temperature"]
+        scanner.threshold = min(0.99, max(0.5, best["worst"] or 0.0))
     return scanner
 
 
@@ -256,8 +273,9 @@ def scan(df: DataFrame, scanner: Scanner, key: str = "doc_id", text: str = "text
         .withColumn(
             "alike",
             F.expr(
-                "transform(templates, t -> struct(size(array_intersect(t.grams, grams))"
-                " / size(t.grams) AS share, t.family AS family))"
+                "element_at(transform(array(grams), g -> transform(templates, t -> struct("
+                "size(array_intersect(t.grams, g)) / size(t.grams) AS share,"
+                " t.family AS family))), 1)"
             ),
         )
     )

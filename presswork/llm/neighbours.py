@@ -13,6 +13,7 @@ from __future__ import annotations
 import heapq
 from collections.abc import Iterator
 from dataclasses import dataclass
+from math import isqrt
 
 import numpy as np
 import pandas as pd
@@ -25,11 +26,12 @@ from presswork.session import materialize
 
 #: Vectors to fit the tree on, a fixed pseudo-random choice. It bounds the driver and the tree.
 SAMPLE = 20_000
-#: Rows wanted in a leaf, and the least sampled rows that a leaf is made of.
+#: The least rows wanted in a leaf, which otherwise has about the square root of all rows, and the
+#: least sampled rows that a leaf is made of.
 LEAF_ROWS, LEAST_SAMPLED = 64, 8
 BRANCHES = 8
 #: Queries to calibrate with, and the share of true neighbours that visited leaves must hold.
-TRIALS, TARGET = 200, 0.98
+TRIALS, TARGET = 200, 0.95
 #: Vectors, and queries, of one block of a leaf.
 BLOCK = 2000
 
@@ -204,7 +206,8 @@ def build_index(vectors: DataFrame, trials: DataFrame, k: int) -> Index:
     n = vectors.count()
     sampled = vectors.orderBy(F.xxhash64("id", F.lit(3)), "id").limit(SAMPLE).select("v").toArrow()
     points = _unit(_matrix(sampled.column("v")))
-    tree = fit_tree(points, max(LEAST_SAMPLED, LEAF_ROWS * len(points) // max(n, 1)))
+    leaf_rows = max(LEAF_ROWS, isqrt(n))
+    tree = fit_tree(points, max(LEAST_SAMPLED, leaf_rows * len(points) // max(n, 1)))
     held = spark.sparkContext.broadcast(tree)
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -18,13 +18,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from presswork.llm.frames import prepare, read, slices
+from presswork.llm.frames import labelled_sample, prepare, read, slices
 from presswork.llm.words import Words, mix
 
 #: Hash bins of the features.
 BINS = 1 << 14
-#: Rated texts for training: the first of a fixed pseudo-random order. The fit is done on the
-#: driver, so this bounds its memory; scoring is done on every text.
+#: Rated texts for training, a fixed pseudo-random choice. The fit is done on the driver, so this
+#: bounds its memory; scoring is done on every text.
 SAMPLE = 6000
 PASSES = 150
 #: Weight of the penalty on squared weights.
@@ -181,22 +181,14 @@ def fit_ordinal(
 
 
 def train(
-    rated: DataFrame, rating: str, key: str = "doc_id", text: str = "text", sample: int = SAMPLE
-) -> Ordinal:
-    """Fit on at most ``sample`` rated texts, taken in a pseudo-random order of their keys.
+    documents: DataFrame, labels: DataFrame, rating: str, key: str = "doc_id", text: str = "text",
+    sample: int = SAMPLE,
+) -> Ordinal:
+    """Fit on the texts of at most ``sample`` rated documents.
 
     Texts become features in tasks; only those come to the driver. Null ratings are left out.
     """
-    order = F.xxhash64(F.col(f"`{key}`"), F.lit(7))
-    chosen = (
-        rated.select(
-            F.col(f"`{text}`").alias("text"), F.col(f"`{rating}`").cast("double").alias("rating"),
-            order.alias("order"),
-        )
-        .filter("rating is not null")
-        .orderBy("order", "text")
-        .limit(sample)
-    )
+    chosen = labelled_sample(documents, labels, rating, key, text, sample)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for some, body, bounds in slices(batches, "text"):
@@ -211,9 +203,7 @@ def train(
                 names=["rating", "bins", "parts"],
             )
 
-    held = chosen.select("text", "rating").mapInArrow(
-        run, "rating double, bins binary, parts binary"
-    )
+    held = chosen.mapInArrow(run, "rating double, bins binary, parts binary")
     found = held.toArrow()
     bins = [np.frombuffer(b.as_py(), np.int16) for b in found.column("bins")]
     parts = [np.frombuffer(b.as_py(), np.float32) for b in found.column("parts")]
@@ -257,19 +247,12 @@ def grade(df: DataFrame, model: Ordinal, acceptable: float, text: str = "text")
     return source.mapInArrow(run, schema)
 
 
-def rated_documents(spark: SparkSession, folder: str) -> DataFrame:
-    """(doc_id, text, quality) of the labelled documents."""
-    labels = read(spark, folder, "labels").select("doc_id", "quality")
-    documents = read(spark, folder, "documents").select("doc_id", "text")
-    return documents.join(labels, "doc_id")
-
-
 def op7_ordinal_quality(spark: SparkSession, folder: str) -> DataFrame:
     """Every document's doc_id, expected_grade, tail_probability and selected.
 
     Trained on a bounded sample of labelled documents whose id's crc32 is not divisible by 5.
     """
     prepare(spark)
-    learnt = rated_documents(spark, folder).filter(F.crc32(F.col("doc_id").cast("string")) % 5 != 0)
-    model = train(learnt, "quality")
-    return grade(read(spark, folder, "documents").select("doc_id", "text"), model, 1.0).drop("text")
+    documents = read(spark, folder, "documents").select("doc_id", "text")
+    labels = read(spark, folder, "labels").filter(F.crc32(F.col("doc_id").cast("string")) % 5 != 0)
+    return grade(documents, train(documents, labels, "quality"), 1.0).drop("text")

@@ -1,8 +1,8 @@
 """Token ids of texts as binary shards, with a minimal perfect hash index over the documents' keys.
 
-A shard is a file ``ids-00000-<digest>.bin`` of little-endian 32-bit ids, the texts of one range of
-keys in ascending order, one after the other. The index is dealt out over buckets by the key's hash.
-Each bucket's file ``index-00000-<digest>.bin`` holds a minimal perfect hash of its keys: levels of
+A shard is a file ``ids-00000.bin`` of little-endian ids, 16 bits each where the vocabulary allows
+and else 32, the texts of one range of keys in ascending order, one after the other. The index is dealt out over buckets by the key's hash.
+Each bucket's file ``index-00000.bin`` holds a minimal perfect hash of its keys: levels of
 bit arrays, in which a key's place is where it was alone on its level, and its slot is the number of
 bits set before that place. At its slot stand the key's fingerprint, shard, offset and length. So a
 key is found by a fixed number of reads, whatever the number of documents, and keys that were never
@@ -15,6 +15,7 @@ twice, leaves the same files.
 from __future__ import annotations
 
 import io
+import os
 import re
 import uuid
 from collections.abc import Iterator
@@ -45,6 +46,10 @@ _CONTROL = re.compile("[\x1c-\x1f]").search
 _WORDS = re.compile(r"(?:[^\s]|[\x1c-\x1f])+").findall
 
 
+def id_type(vocabulary: int) -> str:
+    return "<u2" if vocabulary <= 1 << 16 else "<u4"
+
+
 class WordIds(dict):
     """Ids of words between white space, encoded by the tokenizers library when first met.
 
@@ -53,11 +58,14 @@ class WordIds(dict):
     """
 
     def __init__(self, definition: str):
+        # One thread: a pool would keep spinning between the many small calls of a task.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         super().__init__()
         self.tool = Tokenizer.from_str(definition)
         self.tool.encode_special_tokens = True
+        self.kind = id_type(self.tool.get_vocab_size())
         self.older: dict[str, bytes] = {}
 
     def learn(self, words: set[str]) -> None:
@@ -70,14 +78,19 @@ class WordIds(dict):
         self.update((w, self.older[w]) for w in new if w in self.older)
         new = [w for w in new if w not in self]
         found = self.tool.encode_batch(new, add_special_tokens=False)
-        self.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(new, found, strict=True))
+        self.update((w, np.array(e.ids, self.kind).tobytes()) for w, e in zip(new, found, strict=True))
 
     def packed(self, text: str) -> bytes:
-        """Ids of a whole text, 32 bits each."""
-        words = _WORDS(text) if _CONTROL(text) else text.split()
-        if not all(map(self.__contains__, words)):
+        """Ids of a whole text, in the store's width."""
+        words = self.split(text)
+        try:
+            return b"".join(map(self.__getitem__, words))
+        except KeyError:
             self.learn(set(words))
-        return b"".join(map(self.__getitem__, words))
+            return b"".join(map(self.__getitem__, words))
+
+    def split(self, text: str) -> list[str]:
+        return _WORDS(text) if _CONTROL(text) else text.split()
 
 
 @lru_cache(maxsize=2)
@@ -85,29 +98,6 @@ def _word_ids(definition: str) -> WordIds:
     return WordIds(definition)
 
 
-def tokenize(
-    df: DataFrame, key: str = "doc_id", text: str = "text", vocabulary: str = VOCABULARY,
-    end_id: int = END_ID,
-) -> DataFrame:
-    """(key, ids): the packed ids of every text with ``end_id`` after them. Null counts as empty."""
-    with open(vocabulary, encoding="utf-8") as file:
-        definition = df.sparkSession.sparkContext.broadcast(file.read())
-    end = np.array([end_id], "<u4").tobytes()
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tool = _word_ids(definition.value)
-        for batch in batches:
-            for low in range(0, batch.num_rows, 100):
-                rows = batch.slice(low, 100)
-                packed = [tool.packed(t or "") + end for t in rows.column(1).to_pylist()]
-                yield pa.RecordBatch.from_arrays(
-                    [rows.column(0), pa.array(packed, pa.binary())], names=["key", "ids"]
-                )
-
-    source = df.select(F.col(f"`{key}`").cast("long").alias("key"), F.col(f"`{text}`").alias("text"))
-    return source.mapInArrow(run, "key long, ids binary")
-
-
 def _open(path: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (
         fs.LocalFileSystem(), path
@@ -201,45 +191,64 @@ class Bucket:
         return (slots >= 0) & (self.fingerprint[at] == _fingerprint(keys)), at
 
 
-def write_store(tokens: DataFrame, folder: str) -> DataFrame:
-    """Write ``tokens`` (key, ids packed) to shards and index; the catalogue of the documents.
+def write_store(
+    df: DataFrame, folder: str, key: str = "doc_id", text: str = "text",
+    vocabulary: str = VOCABULARY, end_id: int = END_ID,
+) -> DataFrame:
+    """Encode the texts and write shards and index; returns the catalogue of the documents.
 
     The catalogue has key, shard, offset (of ids within the shard), n and start (ids before the
-    document over all shards). Ranges of keys become shards, balanced by Spark's range partitioner;
-    only the shards' sizes come to the driver. A row without a key cannot be asked for and is not
-    stored; of rows that repeat a key, the first by their ids' bytes is stored.
+    document over all shards). Texts are dealt out once, by ranges of keys that Spark's range
+    partitioner balances, and each range becomes a shard in the task that encodes it; only the
+    shards' sizes come to the driver. A null text counts as empty; every text has ``end_id`` after
+    it. A row without a key cannot be asked for and is not stored; of rows that repeat a key, the
+    one whose text sorts first is stored.
     """
-    spark = tokens.sparkSession
-    one = tokens.filter("key is not null").groupBy("key").agg(F.min("ids").alias("ids"))
-    held = materialize(one, "token-ids")
+    spark = df.sparkSession
+    with open(vocabulary, encoding="utf-8") as file:
+        definition = spark.sparkContext.broadcast(file.read())
+    width = 2 if _word_ids(definition.value).kind == "<u2" else 4
     parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
     def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
+        tool = _word_ids(definition.value)
+        end = np.array([end_id], tool.kind).tobytes()
         shard = TaskContext.get().partitionId()
         store, root = _open(folder)
         store.create_dir(root, recursive=True)
-        draft, at, wrote = f"{root}/.ids-{shard:05d}-{uuid.uuid4().hex}", 0, False
+        draft, at, last = f"{root}/.ids-{shard:05d}-{uuid.uuid4().hex}", 0, None
         with store.open_output_stream(draft) as out:
             for batch in batches:
-                lengths = []
-                for ids in batch.column(1):
-                    body = ids.as_buffer()
+                keys, lengths = [], []
+                for own, value in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                    if own == last:
+                        continue
+                    body = tool.packed(value.as_py() or "") + end
                     out.write(body)
-                    lengths.append(body.size // 4)
+                    keys.append(own)
+                    lengths.append(len(body) // width)
+                    last = own
                 sizes = np.array(lengths, np.int64)
-                wrote = wrote or bool(lengths)
                 offsets = at + np.cumsum(sizes) - sizes
                 at += int(sizes.sum())
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), pa.array(np.full(len(sizes), shard, np.int32)),
+                    [pa.array(keys, pa.int64()), pa.array(np.full(len(sizes), shard, np.int32)),
                      pa.array(offsets), pa.array(sizes)],
                     names=["key", "shard", "offset", "n"],
                 )
-        store.move(draft, f"{root}/ids-{shard:05d}.bin") if wrote else store.delete_file(draft)
-
-    ordered = held.repartitionByRange(parts, "key").sortWithinPartitions("key")
+        if last is None:
+            store.delete_file(draft)
+        else:
+            store.move(draft, f"{root}/ids-{shard:05d}.bin")
+
+    ordered = (
+        df.select(F.col(f"`{key}`").cast("long").alias("key"), F.col(f"`{text}`").alias("text"))
+        .filter("key is not null")
+        .repartitionByRange(parts, "key")
+        .sortWithinPartitions("key", "text")
+    )
     catalogue = materialize(
         ordered.mapInArrow(shards, "key long, shard int, offset long, n long"), "token-catalogue"
     )
@@ -265,7 +274,7 @@ def write_store(tokens: DataFrame, folder: str) -> DataFrame:
         .applyInPandas(index, "bucket int, keys long")
     )
     materialize(written, "token-index")
-    spark.createDataFrame([(buckets,)], "buckets int").write.json(f"{folder}/meta")
+    spark.createDataFrame([(buckets, width)], "buckets int, width int").write.json(f"{folder}/meta")
     return catalogue
 
 
@@ -315,7 +324,11 @@ def _stretches(values: np.ndarray) -> Iterator[tuple[int, int]]:
 
 
 def read_store(places: DataFrame, folder: str) -> DataFrame:
-    """(key, shard, offset, ids) of documents found by :func:`lookup`, from the shard files."""
+    """(key, shard, offset, ids) of documents found by :func:`lookup`, from the shard files.
+
+    The ids come back as little-endian 32-bit integers, whatever the width in the store.
+    """
+    width = places.sparkSession.read.json(f"{folder}/meta").first()["width"]
 
     def load(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, root = _open(folder)
@@ -327,8 +340,9 @@ def read_store(places: DataFrame, folder: str) -> DataFrame:
                 for shard, offset, n in zip(*(rows.column(k).to_pylist() for k in (1, 2, 3)), strict=True):
                     if shard != number:
                         number, file = shard, store.open_input_file(f"{root}/ids-{shard:05d}.bin")
-                    file.seek(4 * offset)
-                    bodies.append(file.read(4 * n))
+                    file.seek(width * offset)
+                    body = np.frombuffer(file.read(width * n), f"<u{width}")
+                    bodies.append(body.astype("<u4").tobytes())
                 yield pa.RecordBatch.from_arrays(
                     [rows.column(0), rows.column(1), rows.column(2), pa.array(bodies, pa.binary())],
                     names=["key", "shard", "offset", "ids"],
@@ -370,7 +384,7 @@ def op5_token_store(spark: SparkSession, folder: str) -> DataFrame:
     prepare(spark)
     documents = read(spark, folder, "documents")
     target = f"{scratch_root(spark)}/presswork/token-store-{uuid.uuid4().hex}"
-    write_store(tokenize(documents), target)
+    write_store(documents, target)
     places = lookup(documents.select(F.col("doc_id").alias("key")).distinct(), target)
     found = materialize(digests(read_store(places, target)), "token-digests")
     return found.join(F.broadcast(shard_starts(found)), "shard").select(

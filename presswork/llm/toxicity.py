@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from presswork.llm.frames import prepare, read, slices
+from presswork.llm.frames import labelled_sample, prepare, read, slices
 from presswork.llm.words import Words
 
 # Letters that a sign may stand for.
@@ -289,26 +289,20 @@ def _restored(batches: Iterator[pa.RecordBatch], language: LanguageModel):
         yield rows, np.frombuffer(b"".join(body), np.uint8), bounds
 
 
-def learn(labelled: DataFrame, corpus: DataFrame, label: str = "toxic", key: str = "doc_id",
+def learn(corpus: DataFrame, labels: DataFrame, label: str = "toxic", key: str = "doc_id",
           text: str = "text", sample: int = SAMPLE) -> Model:
-    """Language model of the whole ``corpus``, and a classifier of at most ``sample`` labelled texts.
+    """Language model of the whole ``corpus``, and a classifier of at most ``sample`` of its texts,
+    labelled by ``labels`` (key, label).
 
     Null labels are left out. With one label only, or none, every text scores by the smoothed share.
     """
-    spark = labelled.sparkSession
+    spark = corpus.sparkSession
     counted = character_counts(corpus, text).toArrow()
     language = LanguageModel(np.asarray(counted.column("gram")), np.asarray(counted.column("n")))
     held = spark.sparkContext.broadcast(language)
-    chosen = (
-        labelled.select(
-            F.col(f"`{text}`").alias("text"), (F.col(f"`{label}`") > 0).alias("label"),
-            F.xxhash64(F.col(f"`{key}`"), F.lit(11)).alias("order"),
-        )
-        .filter("label is not null")
-        .orderBy("order", "text")
-        .limit(sample)
-        .select("text", "label")
-    )
+    chosen = labelled_sample(corpus, labels, label, key, text, sample).select(
+        "text", (F.col("label") > 0).alias("label")
+    )
 
     def of_toxic(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, body, bounds in _restored(batches, held.value):
@@ -406,7 +400,7 @@ def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     documents = read(spark, folder, "documents").select("doc_id", "text")
     held_out = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
     labels = read(spark, folder, "labels").select("doc_id", "toxic").filter(~held_out)
-    model = learn(documents.join(labels, "doc_id"), documents)
+    model = learn(documents, labels)
     return score(documents, model).select(
         "doc_id",
         held_out.alias("held_out"),

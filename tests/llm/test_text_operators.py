@@ -82,7 +82,7 @@ def test_ordinal_model_orders_grades(spark):
         words = [*(rng.choice(bad) for _ in range(6 - 2 * grade)), *(rng.choice(good) for _ in range(2 * grade))]
         rows.append((i, " ".join(words), float(grade)))
     df = spark.createDataFrame(rows, "doc_id long, text string, stars double")
-    model = quality.train(df, "stars")
+    model = quality.train(df, df, "stars")
     assert model.grades == [0, 1, 2, 3] and (np.diff(model.thresholds) > 0).all()
     graded = quality.grade(df, model, 2.0).toPandas()
     means = graded.groupby("stars")["expected_grade"].mean()
@@ -93,10 +93,11 @@ def test_ordinal_model_orders_grades(spark):
 
 def test_quality_of_rough_rows(spark):
     df = documents(spark).withColumnRenamed("lang", "selected")
-    one = quality.train(spark.createDataFrame([(1, "a b", 1.0), (2, None, None)], "doc_id long, text string, r double"), "r")
+    rated = spark.createDataFrame([(1, "a b", 1.0), (2, None, None)], "doc_id long, text string, r double")
+    one = quality.train(rated, rated, "r")
     graded = quality.grade(df, one, 1.0)
     assert graded.count() == df.count() and graded.filter("selected").count() == df.count()
-    none = quality.train(df.limit(0).selectExpr("doc_id", "text", "1.0 as r"), "r")
+    none = quality.train(rated.limit(0), rated.limit(0), "r")
     assert quality.grade(df, none, 1.0).filter("selected").count() == 0
     assert graded.columns.count("selected") == 1
 
