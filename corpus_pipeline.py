@@ -5,22 +5,59 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from presswork.llm.bpe import round_trip
+from presswork.llm import bpe, contamination, jaccard, quality, repeats
 from presswork.llm.frames import prepare, read
 from presswork.session import materialize
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier, trained on the table of labels, accepts."""
+    prepare(spark)
+    model = quality.train(docs, read(spark, sf_dir, "labels"), "quality")
+    graded = quality.grade(docs, model, 1.0)
+    return graded.filter("selected").select(*docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of similar ones, that with the smallest id."""
+    prepare(spark)
+    return jaccard.one_per_class(docs).select(*docs.columns)
+
+
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without the passages that an earlier one has; ``n_chars`` follows the text."""
+    prepare(spark)
+    cut = repeats.without_repeats(docs)
+    if "n_chars" in docs.columns:
+        cut = cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return cut.select(*docs.columns)
+
+
+def benchmark_free(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    prepare(spark)
+    return contamination.decontaminated(docs, read(spark, sf_dir, "benchmark"))
+
+
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Byte-level ids of every text: their number and digest, and the digest of the text back."""
-    return round_trip(docs)
+    prepare(spark)
+    return bpe.round_trip(docs)
 
 
-STAGES: list[tuple[str, Stage]] = [("tokens", tokens)]
+STAGES: list[tuple[str, Stage]] = [
+    ("quality", quality_filter),
+    ("near_duplicates", near_duplicates),
+    ("repeated_passages", repeated_passages),
+    ("decontamination", benchmark_free),
+    ("tokens", tokens),
+]
 
-#: Trained models and similarity joins have no SQL that ends on whole tables.
+#: A trained model and a similarity join have no SQL that ends on whole tables.
 ORACLE_SQL: str | None = None
 
 
