@@ -6,7 +6,8 @@ is thus cut at the same places in both, but for a few words at its ends. Units a
 in lower case, white space and punctuation dropped), hashed, and grouped over the whole corpus. In
 the row that comes first the unit stays; in all others it is a repeat, as is a second occurrence
 within one text. Repeats next to each other form a run, and a run of at least ``min_words`` words is
-removed. Its offsets in the original text are kept with it.
+removed. Of a shorter run, those lines are removed that are repeats of a whole line: the minimum is
+only for fragments of longer lines. The offsets in the original text are kept with a run.
 """
 
 from __future__ import annotations
@@ -24,7 +25,8 @@ from presswork.llm.frames import prepare, read, slices
 from presswork.llm.words import Words, mix
 from presswork.session import materialize
 
-#: Words of the shortest run that is removed. Twelve words in a row do not coincide by chance.
+#: Words of the shortest run that is removed although it is no whole line. Twelve words in a row do
+#: not coincide by chance.
 MIN_WORDS = 12
 #: A line is cut before a word that is the least of this many on either side.
 RADIUS = 4
@@ -41,6 +43,7 @@ _UNITS = pa.schema(
         ("h1", pa.int64()),
         ("h2", pa.int64()),
         ("own", pa.bool_()),
+        ("line", pa.int32()),
     ]
 )
 
@@ -65,7 +68,7 @@ def _characters(body: np.ndarray, bounds: np.ndarray, row: np.ndarray, at: np.nd
     return leads[at] - leads[bounds[row]]
 
 
-def _units_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _units_of(batches: Iterator[pa.RecordBatch], min_words: int) -> Iterator[pa.RecordBatch]:
     for rows, body, bounds in slices(batches, "text"):
         words = Words(body, bounds, letters_only=True)
         if not len(words):
@@ -75,9 +78,22 @@ def _units_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first = np.flatnonzero(_cuts(words, line))
         last = np.append(first[1:], len(words)) - 1
         row = words.row[first]
+        number = np.arange(len(first)) - np.searchsorted(row, row)
         # Two independent sums over a unit's words, each times a power of its place in the unit.
         h1, h2 = (_sequence(words.hash, first, salt) for salt in (1, 2))
-        number = np.arange(len(first)) - np.searchsorted(row, row)
+        # Lines below the minimum once more as a whole, under hashes that no unit has.
+        begin = np.flatnonzero(np.append(True, line[1:] != line[:-1]))
+        final = np.append(begin[1:], len(words)) - 1
+        brief = final - begin + 1 < min_words
+        at = np.searchsorted(first, begin)
+        held = np.diff(np.append(at, len(first)))[brief]
+        for_lines = [_sequence(words.hash, begin, salt)[brief] for salt in (3, 4)]
+        parts = np.concatenate([np.zeros(len(first), np.int64), held])
+        number = np.concatenate([number, number[at[brief]]])
+        row = np.concatenate([row, words.row[begin[brief]]])
+        first = np.concatenate([first, begin[brief]])
+        last = np.concatenate([last, final[brief]])
+        h1, h2 = (np.concatenate(pair) for pair in zip((h1, h2), for_lines, strict=True))
         order = np.lexsort((number, h2, h1, row))
         own = np.zeros(len(first), bool)
         a, b = order[1:], order[:-1]
@@ -92,6 +108,7 @@ def _units_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             h1.view(np.int64),
             h2.view(np.int64),
             own,
+            parts.astype(np.int32),
         ]
         yield pa.RecordBatch.from_arrays([pa.array(v) for v in values], schema=_UNITS)
 
@@ -107,18 +124,22 @@ def _sequence(hashes: np.ndarray, first: np.ndarray, salt: int) -> np.ndarray:
     return mix(sums * np.cumprod(down)[first])
 
 
-def units(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def units(
+    df: DataFrame, key: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS
+) -> DataFrame:
     """The units of every text: rank (its id; a null id comes last), text_key, unit, start, end
-    (character offsets), words, two hashes, and whether the text had the unit before."""
+    (character offsets), words, two hashes, whether the text had the unit before, and line, which
+    is 0. A line of fewer than ``min_words`` words has another row, where line counts its units and
+    unit is the first of them."""
     rank = F.coalesce(F.col(f"`{key}`").cast("long"), F.lit(_NO_ID))
     source = df.select(
         rank.alias("rank"), F.xxhash64(f"`{text}`").alias("text_key"), F.col(f"`{text}`").alias("text")
     )
     schema = (
         "rank long, text_key long, unit int, start int, end int, words int,"
-        " h1 long, h2 long, own boolean"
+        " h1 long, h2 long, own boolean, line int"
     )
-    return source.mapInArrow(_units_of, schema)
+    return source.mapInArrow(lambda batches: _units_of(batches, min_words), schema)
 
 
 def repeated_spans(
@@ -126,13 +147,15 @@ def repeated_spans(
 ) -> DataFrame:
     """Runs to remove: rank, text_key, span_start, span_end, n_words, first_rank.
 
+    A run has at least ``min_words`` words, or consists of lines that an earlier text, or the same
+    text before, has as whole lines.
     ``first_rank`` is the smallest rank that holds the run's first unit. Rows with one id and one
     text are occurrences of the same rank: they are treated alike, and their runs are listed once.
     A null or empty text has no units. The groups are reduced before the shuffle to their smallest
     rank, so a unit that a third of all texts holds leaves each task as one row; the join back to
     its occurrences is a sort-merge join that Spark splits where it is skewed.
     """
-    found = units(df, key, text)
+    found = units(df, key, text, min_words)
     dealt = found.repartition(F.col("h1"))
     groups = (
         dealt.groupBy("h1", "h2")
@@ -145,11 +168,24 @@ def repeated_spans(
         .select("h1", "h2", "first_rank")
     )
     repeats = dealt.join(groups, ["h1", "h2"]).filter("rank > first_rank or own")
+    # The units of a repeated line are repeats as well, so the line itself only marks them.
+    marked = repeats.select(
+        "rank", "text_key", F.explode(F.expr("sequence(unit, unit + greatest(line, 1) - 1)")).alias("unit"),
+        *[F.when(F.col("line") == 0, F.col(c)).alias(c) for c in ("start", "end", "words", "first_rank")],
+        (F.col("line") > 0).alias("whole"),
+    )
     in_text = Window.partitionBy("rank", "text_key").orderBy("unit")
+    run = F.col("unit") - F.row_number().over(in_text)
     runs = (
-        repeats.groupBy("rank", "text_key", "unit")
-        .agg(*[F.min(c).alias(c) for c in ("start", "end", "words", "first_rank")])
-        .withColumn("run", F.col("unit") - F.row_number().over(in_text))
+        marked.groupBy("rank", "text_key", "unit")
+        .agg(
+            *[F.min(c).alias(c) for c in ("start", "end", "words", "first_rank")],
+            F.max("whole").alias("whole"),
+        )
+        .withColumn("run", run)
+        .withColumn("length", F.sum("words").over(Window.partitionBy("rank", "text_key", "run")))
+        .filter(F.col("whole") | (F.col("length") >= min_words))
+        .withColumn("run", run)
         .groupBy("rank", "text_key", "run")
         .agg(
             F.min("start").alias("span_start"),
@@ -157,7 +193,6 @@ def repeated_spans(
             F.sum("words").alias("n_words"),
             F.min(F.struct("unit", "first_rank")).getField("first_rank").alias("first_rank"),
         )
-        .filter(F.col("n_words") >= min_words)
     )
     return runs.drop("run")
 

@@ -178,6 +178,22 @@ def test_lines_and_rough_rows(spark):
     assert repeats.repeated_spans(df.limit(0)).count() == 0
 
 
+def test_short_lines_are_cut_but_not_short_fragments(spark):
+    prepare(spark)
+    rng = random.Random(12)
+    lines = ["Share this page", "Subscribe", "Read more news from the harbour of the old town"]
+    texts = [f"{lines[0]}\n{prose(rng, 30)}\n\n{lines[1]}\n{prose(rng, 30)}\n{lines[2]}" for _ in range(40)]
+    texts += [f"{prose(rng, 20)} {lines[2]} {prose(rng, 20)}", f"unlike\n{lines[1]}\nother\n{lines[1].upper()}!"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    spans = repeats.repeated_spans(df).toPandas().sort_values(["rank", "span_start"])
+    pieces = {i: [texts[i][s.span_start : s.span_end] for s in own.itertuples()] for i, own in spans.groupby("rank")}
+    assert pieces == {i: lines for i in range(1, 40)} | {41: [lines[1], lines[1].upper()]}
+    assert set(spans["first_rank"]) == {0}
+    assert spans["n_words"].tolist() == [len(p.split()) for i in sorted(pieces) for p in pieces[i]]
+    cut = {r["doc_id"]: r["text"] for r in repeats.without_repeats(df).collect()}
+    assert cut[0] == texts[0] and cut[40] == texts[40] and cut[41] == "unlike\n\nother\n!"
+
+
 # --- Token store ------------------------------------------------------------------------------
 def test_perfect_hash_is_minimal_and_tells_strangers():
     keys = np.unique(np.random.default_rng(2).integers(-(2**62), 2**62, 20_000))
