@@ -1,26 +1,21 @@
-"""Benchmark items within texts, verbatim or edited, found by embedding windows of an item's size.
+"""Benchmark items within texts, verbatim or edited, found by pieces that no edit has touched.
 
 Texts and items are sequences of words (A-Z in lower case; ASCII punctuation separates words). A
-text is contaminated by an item of m words if some stretch of it is within ``EDITS`` * m word edits
-of the item. To find such stretches:
-
-1. Every position of a text is the start of a window as long as the items of each length class. A
-   window stays if few enough of its words are foreign to all items. A stretch within the edit
-   limit always passes, so this loses nothing.
-2. A random walk embeds a window: at each step it emits the word it stands on, and a random bit of
-   that step and word decides whether it moves on. Walks over sequences at a small edit distance
-   fall into step again, so edit distance becomes Hamming distance between what they emit.
-3. Each repetition has its own random bits and samples a few steps. Windows and items that agree in
-   all samples of a repetition are candidates. As most windows fail at the first sample, walks end
-   there. The number of repetitions sets the recall.
-4. The exact edit distance of the item to the best stretch around a candidate window decides.
+text is contaminated by an item of m words if some stretch of it is within k = ``EDITS`` * m word
+edits of the item. To find such stretches:
+
+1. An item is cut into k + 1 pieces of about equal length. As k edits touch k pieces at most, every
+   stretch within the limit holds one of them word by word, wherever the edits are, and at most k
+   words away from its place in the item. So looking up the pieces misses no stretch.
+2. Where a text has a piece, the stretch around it stays if enough of its words are words of items,
+   and enough of this item's different words are there. This loses nothing either.
+3. The exact edit distance of the item to the best part of that stretch decides.
 """
 
 from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Iterator
-from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -28,34 +23,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from presswork.llm.frames import prepare, read, slices
-from presswork.llm.words import Words
+from presswork.llm.words import Words, joined
 
 #: Word edits allowed per word of an item.
 EDITS = 0.2
 #: An item of fewer words says too little; texts may well have it by chance.
 LEAST_WORDS = 8
-SAMPLES = 3
-REPETITIONS = 24
-#: Ratio of the longest to the shortest item of a length class.
-CLASS_RATIO = 1.25
 #: Items of one pass over the corpus. More items make more passes, each with an index of this size.
 BLOCK_ITEMS = 5000
-_SEED = 77
-
-
-@dataclass
-class LengthClass:
-    """Items of about one length, and their samples in each repetition."""
-
-    low: int
-    high: int
-    items: list[int]
-    #: Steps of the samples, by repetition.
-    steps: np.ndarray = field(default=None)
-    #: By repetition and number of samples: the sorted keys that items have so far.
-    prefixes: list[list[np.ndarray]] = field(default_factory=list)
-    #: By repetition: the items of each full key.
-    full: list[dict[int, list[int]]] = field(default_factory=list)
 
 
 class Index:
@@ -75,7 +50,7 @@ class Index:
         self.ready = False
 
     def build(self) -> None:
-        """Derive codes, walks and samples; done once in each worker, from a fixed seed."""
+        """Derive codes and the tables of pieces; done once in each worker."""
         self.ready = True
         every = np.concatenate(self.hashes) if self.hashes else np.zeros(0, np.uint64)
         self.vocabulary = np.unique(every)
@@ -83,62 +58,51 @@ class Index:
         self.limits = [int(EDITS * len(c) + 1e-9) for c in self.codes]
         self.distinct = [np.unique(c) for c in self.codes]
         self.present = np.zeros(len(self.vocabulary) + 1, bool)
-        self.bitmap = np.zeros(1 << 20, bool)
-        self.bitmap[self.vocabulary >> np.uint64(44)] = True
-        lengths = sorted({len(c) for c in self.codes})
-        self.classes: list[LengthClass] = []
-        while lengths:
-            low = lengths[0]
-            own = [n for n in lengths if n <= max(low * CLASS_RATIO, low + 2)]
-            lengths = lengths[len(own) :]
-            items = [k for k, c in enumerate(self.codes) if low <= len(c) <= own[-1]]
-            self.classes.append(LengthClass(low, own[-1], items))
-        steps = max([c.low for c in self.classes], default=1)
-        rng = np.random.default_rng(_SEED)
-        shape = (REPETITIONS, steps, len(self.vocabulary) + 1)
-        self.moves = rng.integers(0, 2, shape, dtype=np.int8)
-        self.gap = 2 * max([c.high for c in self.classes], default=1) + 2
-        for c in self.classes:
-            c.steps = np.sort(
-                np.array([rng.choice(c.low, SAMPLES, replace=False) for _ in range(REPETITIONS)])
-            )
-            padded = np.zeros((len(c.items), c.high + 1), np.int64)
-            for row, k in enumerate(c.items):
-                padded[row, : len(self.codes[k])] = self.codes[k]
-            flat, starts = padded.ravel(), np.arange(len(c.items)) * padded.shape[1]
-            for r in range(REPETITIONS):
-                keys, _ = self._walk(c, r, flat, starts, None)
-                c.prefixes.append([np.unique(k) for k in keys])
-                found = defaultdict(list)
-                for k, key in zip(c.items, keys[-1].tolist(), strict=True):
-                    found[key].append(k)
-                c.full.append(dict(found))
-
-    def _walk(self, c: LengthClass, r: int, codes: np.ndarray, starts: np.ndarray, known):
-        """Keys after each sample of a repetition, and the starts that got so far.
-
-        With ``known``, the keys of the items, walks end at the first sample that no item has.
-        """
-        at, key, keys, step = starts.copy(), np.zeros(len(starts), np.int64), [], 0
-        base = len(self.vocabulary) + 1
-        for sample, stop in enumerate(c.steps[r].tolist()):
-            while step < stop:
-                at += self.moves[r, step][codes[at]]
-                step += 1
-            key = key * base + codes[at]
-            if known is not None:
-                place = np.minimum(np.searchsorted(known[sample], key), len(known[sample]) - 1)
-                alive = known[sample][place] == key
-                at, key, starts = at[alive], key[alive], starts[alive]
-            keys.append(key)
-        return keys, starts
+        self.bitmap = _bitmap(self.vocabulary)
+        self.sizes = np.array([len(c) for c in self.codes], np.int64)
+        self.allowed = np.array(self.limits, np.int64)
+        self.gap = 2 * int(self.sizes.max(initial=1)) + 2
+        pieces: dict[int, list[tuple[np.uint64, int, int]]] = defaultdict(list)
+        for k, (hashes, limit) in enumerate(zip(self.hashes, self.limits, strict=True)):
+            edges = [len(hashes) * i // (limit + 1) for i in range(limit + 2)]
+            for low, high in zip(edges[:-1], edges[1:], strict=True):
+                piece = joined(hashes[low:high], high - low, 1)[0]
+                pieces[high - low].append((piece, k, low))
+        #: By length: the sorted distinct hashes of pieces, their bitmap, where the entries of each
+        #: begin, and the entries: item, and the piece's place in it.
+        self.pieces = {}
+        for length, own in sorted(pieces.items()):
+            keys, item, offset = (np.array(x) for x in zip(*own, strict=True))
+            order = np.argsort(keys, kind="stable")
+            distinct, begin = np.unique(keys[order], return_index=True)
+            begin = np.append(begin, len(keys))
+            self.pieces[length] = distinct, _bitmap(distinct), begin, item[order], offset[order]
+
+    def _candidates(self, words: Words, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Items and the places where they may start, give or take their limit."""
+        starts, items = [], []
+        for length, (keys, bitmap, begin, item, offset) in self.pieces.items():
+            n = len(words) - length + 1
+            if n <= 0:
+                continue
+            hashes = joined(words.hash, length, n)
+            where = np.flatnonzero(bitmap[hashes >> np.uint64(44)])
+            where = where[words.row[where] == words.row[where + length - 1]]
+            found = np.minimum(np.searchsorted(keys, hashes[where]), len(keys) - 1)
+            same = keys[found] == hashes[where]
+            where, found = where[same], found[same]
+            counts = begin[found + 1] - begin[found]
+            entry = np.repeat(begin[found] - np.cumsum(counts) + counts, counts) + np.arange(counts.sum())
+            items.append(item[entry])
+            starts.append(place[np.repeat(where, counts)] - offset[entry])
+        return np.concatenate(items), np.concatenate(starts)
 
     def search(self, body: np.ndarray, bounds: np.ndarray) -> Iterator[tuple[int, int, int, int, int]]:
         """(row, item, distance, first byte, last byte + 1) of the best stretch per row and item."""
         if not self.ready:
             self.build()
         words = Words(body, bounds, letters_only=True)
-        if not len(words) or not self.classes:
+        if not len(words) or not self.codes:
             return
         hit = self.bitmap[words.hash >> np.uint64(44)]
         found = np.searchsorted(self.vocabulary, words.hash[hit])
@@ -151,19 +115,15 @@ class Index:
         codes[place[where]] = found[exact] + 1
         inner = np.zeros(len(codes) + 1, np.int32)
         np.cumsum(codes > 0, out=inner[1:])
-        candidates: set[tuple[int, int]] = set()
-        for c in self.classes:
-            foreign = c.low - (inner[place + c.low] - inner[place])
-            starts = place[foreign <= int(EDITS * c.high + 1e-9)]
-            for r in range(REPETITIONS):
-                keys, alive = self._walk(c, r, codes, starts, c.prefixes[r])
-                for key, start in zip(keys[-1].tolist(), alive.tolist(), strict=True):
-                    candidates.update((start, item) for item in c.full[r][key])
-        pairs = sorted(candidates)
-        rows = words.row[np.searchsorted(place, [start for start, _ in pairs])].tolist()
+        item, start = self._candidates(words, place)
+        size, limit = self.sizes[item], self.allowed[item]
+        known = inner[start + size + limit] - inner[start - limit]
+        item, start = item[known >= size - limit], start[known >= size - limit]
+        # A start may lie before its text, in the gap; the gap belongs to the text after it.
+        row = words.row[np.minimum(np.searchsorted(place, start), len(place) - 1)]
         groups: dict[tuple[int, int], list[int]] = defaultdict(list)
-        for (start, item), row in zip(pairs, rows, strict=True):
-            groups[row, item].append(start)
+        for found in sorted(set(zip(row.tolist(), item.tolist(), start.tolist(), strict=True))):
+            groups[found[:2]].append(found[2])
         for (row, item), own in sorted(groups.items()):
             best = self._best(codes, item, own)
             if best:
@@ -196,6 +156,13 @@ class Index:
         return best
 
 
+def _bitmap(hashes: np.ndarray) -> np.ndarray:
+    """Whether there is a hash with given upper bits."""
+    bits = np.zeros(1 << 20, bool)
+    bits[hashes >> np.uint64(44)] = True
+    return bits
+
+
 def edit_search(item: np.ndarray, text: np.ndarray, anchored: bool = False) -> tuple[int, int]:
     """Least edit distance of ``item`` to a stretch of ``text``, and the stretch's last place.
 

@@ -95,7 +95,8 @@ class Words:
         return len(self.start)
 
 
-def _joined(hashes: np.ndarray, width: int, n: int) -> np.ndarray:
+def joined(hashes: np.ndarray, width: int, n: int) -> np.ndarray:
+    """The hashes of the first ``n`` sequences of ``width`` words."""
     factors = _constants()[1 : width + 1]
     total = np.full(n, width, np.uint64) * factors[0]
     for k in range(width):
@@ -111,7 +112,7 @@ def shingles(words: Words, width: int = WIDTH) -> tuple[np.ndarray, np.ndarray]:
     """
     counts = np.diff(words.first)
     n = len(words) - width + 1
-    values = _joined(words.hash, width, n) if n > 0 else np.zeros(0, np.uint64)
+    values = joined(words.hash, width, n) if n > 0 else np.zeros(0, np.uint64)
     found, sizes = [], np.zeros(len(counts), np.int64)
     for r, count in enumerate(counts.tolist()):
         if not count:
@@ -120,7 +121,7 @@ def shingles(words: Words, width: int = WIDTH) -> tuple[np.ndarray, np.ndarray]:
         if count >= width:
             own = np.unique(values[at : at + count - width + 1])
         else:
-            own = _joined(words.hash[at : at + count], count, 1)
+            own = joined(words.hash[at : at + count], count, 1)
         found.append(own)
         sizes[r] = len(own)
     bounds = np.concatenate([[0], np.cumsum(sizes)])

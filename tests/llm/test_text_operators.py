@@ -186,6 +186,31 @@ def test_edited_items_are_found():
     assert found <= truth and len(found) >= 0.97 * len(truth) and len(truth) >= 140
 
 
+@pytest.mark.parametrize("size", [15, 30, 59])
+def test_edits_at_the_limit_are_found_wherever_they_are(size):
+    rng = random.Random(size)
+    items = [(k, prose(rng, size)) for k in range(50)]
+    limit, texts, truth = int(0.2 * size), [], set()
+    for k, item in items:
+        words = item.split()
+        for at in (0, size // 2, size - limit):
+            for new in (["zzz"] * limit, []):  # foreign words in their place, or none
+                own = [*words[:at], *new, *words[at + limit :]]
+                for text in (own, prose(rng, 30).split() + own + prose(rng, 30).split()):
+                    truth.add((len(texts), k))
+                    texts.append(" ".join(text))
+        spread = list(words)
+        for at in rng.sample(range(size // 2), limit):
+            spread[at] = "zzz"
+        truth.add((len(texts), k))
+        texts.append(" ".join(spread))
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"])
+    index, found = contamination.Index(items), set()
+    for _, body, bounds in slices([batch], "text", 1 << 40):
+        found = {(row, index.ids[item]) for row, item, *_ in index.search(body, bounds)}
+    assert found == truth
+
+
 def test_contamination_of_rough_rows(spark):
     item = "the seven grey herons stood along the frozen river until the evening bell rang out"
     items = spark.createDataFrame([(1, item), (2, None), (3, ""), (4, "too short"), (5, item)], "item_id long, text string")
