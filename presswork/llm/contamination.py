@@ -1,7 +1,8 @@
 """Benchmark items within texts, verbatim or edited, found by pieces that no edit has touched.
 
-Texts and items are sequences of words (A-Z in lower case; ASCII punctuation separates words). A
-text is contaminated by an item of m words if some stretch of it is within k = ``EDITS`` * m word
+Texts and items are sequences of words (A-Z in lower case; ASCII punctuation separates words). Each
+character of a script that puts no spaces between words is a word of its own. Items of any length
+count; below five words no edit is allowed, so they must stand in the text word by word. A text is contaminated by an item of m words if some stretch of it is within k = ``EDITS`` * m word
 edits of the item. To find such stretches:
 
 1. An item is cut into k + 1 pieces of about equal length. As k edits touch k pieces at most, every
@@ -27,8 +28,6 @@ from presswork.llm.words import Words, joined
 
 #: Word edits allowed per word of an item.
 EDITS = 0.2
-#: An item of fewer words says too little; texts may well have it by chance.
-LEAST_WORDS = 8
 #: Items of one pass over the corpus. More items make more passes, each with an index of this size.
 BLOCK_ITEMS = 5000
 
@@ -40,11 +39,11 @@ class Index:
         rows = [(i, t) for i, t in rows if t]
         body = [t.encode() for _, t in rows]
         bounds = np.cumsum([0, *map(len, body)])
-        words = Words(np.frombuffer(b"".join(body), np.uint8), bounds, letters_only=True)
+        words = Words(np.frombuffer(b"".join(body), np.uint8), bounds, letters_only=True, unspaced=True)
         parts = [words.hash[a:b] for a, b in zip(words.first[:-1], words.first[1:], strict=True)]
         self.ids, self.hashes = [], []
         for (item, _), part in zip(rows, parts, strict=True):
-            if len(part) >= LEAST_WORDS:
+            if len(part):
                 self.ids.append(item)
                 self.hashes.append(part)
         self.ready = False
@@ -101,7 +100,7 @@ class Index:
         """(row, item, distance, first byte, last byte + 1) of the best stretch per row and item."""
         if not self.ready:
             self.build()
-        words = Words(body, bounds, letters_only=True)
+        words = Words(body, bounds, letters_only=True, unspaced=True)
         if not len(words) or not self.codes:
             return
         hit = self.bitmap[words.hash >> np.uint64(44)]
@@ -196,8 +195,9 @@ def matches(
 ) -> DataFrame:
     """(key, item_id, edits, start, end): the best stretch of each text for each item in it.
 
-    ``start`` and ``end`` are character offsets. A null or empty text, or null item, matches
-    nothing; repeated rows, null keys and equal items match each for itself. Texts are read in
+    ``start`` and ``end`` are character offsets. A null or empty text, or an item that is null or
+    has no word, matches nothing. An item of one or two words may well be in a text by chance; it
+    counts all the same, with its number of edits, which is 0. Repeated rows, null keys and equal items match each for itself. Texts are read in
     place: there is no shuffle.
     """
     source = df.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"))

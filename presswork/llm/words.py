@@ -56,13 +56,28 @@ def mix(values: np.ndarray) -> np.ndarray:
     return values ^ (values >> np.uint64(32))
 
 
+def _unspaced(body: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First bytes and lengths of the characters of scripts without spaces between words."""
+    first = np.flatnonzero(body >= 0xE0)
+    lead, second = body[first], body[first + 1]
+    among = lambda low, high: (second >= low) & (second <= high)
+    found = (lead >= 0xE3) & (lead <= 0xE9)  # U+3000 to U+9FFF
+    found |= (lead == 0xE0) & (second >= 0xB8)  # Thai, Lao, Tibetan: U+0E00 to U+0FFF
+    found |= (lead == 0xE1) & (among(0x80, 0x81) | among(0x9E, 0x9F))  # Burmese, Khmer
+    found |= (lead == 0xE2) & (second >= 0xBA)  # radicals: U+2E80 to U+2FFF
+    found |= (lead == 0xEF) & (among(0xA4, 0xAB) | among(0xBC, 0xBF))  # compatibility, wide forms
+    found |= (lead == 0xF0) & among(0xA0, 0xB3)  # U+20000 to U+33FFF
+    return first[found], np.where(lead[found] == 0xF0, 4, 3)
+
+
 class Words:
     """The words of a slice of texts: byte ``start`` and ``end``, ``row``, ``hash``.
 
-    ``first[r]:first[r + 1]`` are the words of row ``r``.
+    ``first[r]:first[r + 1]`` are the words of row ``r``. With ``unspaced``, each character of
+    Chinese, Japanese, Thai, Lao, Tibetan, Burmese or Khmer writing is a word.
     """
 
-    def __init__(self, body: np.ndarray, bounds: np.ndarray, letters_only: bool = False):
+    def __init__(self, body: np.ndarray, bounds: np.ndarray, letters_only: bool = False, unspaced: bool = False):
         codes = byte_map(letters_only)[body]
         inside = codes != 0
         before = np.zeros(len(inside), bool)
@@ -72,6 +87,12 @@ class Words:
         edges = bounds[(bounds > 0) & (bounds < len(inside))]
         before[edges] = False
         after[edges - 1] = False
+        if unspaced:
+            first, size = _unspaced(body)
+            last = first + size - 1
+            before[first] = after[last] = False
+            after[first[first > 0] - 1] = False
+            before[last[last + 1 < len(inside)] + 1] = False
         self.start = np.flatnonzero(inside & ~before)
         self.end = np.flatnonzero(inside & ~after) + 1
         self.first = np.searchsorted(self.start, bounds)

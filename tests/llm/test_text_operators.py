@@ -211,6 +211,24 @@ def test_edits_at_the_limit_are_found_wherever_they_are(size):
     assert found == truth
 
 
+def test_short_items_and_scripts_without_spaces():
+    items = [(1, "Zebra crossing"), (2, "four words in order"), (3, "one more than four words"), (4, "?!"),
+             (5, "昔々ある所に、お爺さんとお婆さんが住んでいました。"), (6, "กาลครั้งหนึ่งนานมาแล้ว"), (7, "Quagga"),
+             (8, "𠀀𠀁")]
+    texts = ["the zebra crossing", "zebra and crossing", "four, words; in order!", "four words not in order",
+             "one more than six words", "話は昔々ある所に、お爺さんとお姫さんが住んでいましたと続く", "xกาลครั้งหนึ่งนานมาแล้วจบ", "?!",
+             "a quagga.", "quaggas", "昔々", "漢𠀀𠀁字", "zebra", "crossing"]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"])
+    index, found = contamination.Index(items), set()
+    for _, body, bounds in slices([batch], "text", 1 << 40):
+        for row, item, edits, start, end in index.search(body, bounds):
+            found.add((row, index.ids[item], edits, body[start:end].tobytes().decode()))
+    assert found == {
+        (0, 1, 0, "zebra crossing"), (2, 2, 0, "four, words; in order"), (4, 3, 1, texts[4]),
+        (5, 5, 2, texts[5][2:-3]), (6, 6, 0, texts[6][1:-2]), (8, 7, 0, "quagga"), (11, 8, 0, "𠀀𠀁"),
+    }
+
+
 def test_contamination_of_rough_rows(spark):
     item = "the seven grey herons stood along the frozen river until the evening bell rang out"
     items = spark.createDataFrame([(1, item), (2, None), (3, ""), (4, "too short"), (5, item)], "item_id long, text string")
