@@ -1,8 +1,9 @@
 """Licence notices in texts: a trained paragraph classifier, confirmed by comparison with templates.
 
 Training examples are made from notice templates: whole, without one word each, and in parts. Notices
-whose identifying words are replaced make the class ``unknown``; a bounded sample of the corpus's own
-paragraphs makes the class ``none``. A multinomial logistic regression on hashed word n-grams tells
+whose identifying words are replaced, and notices of rights and licences outside the families, make
+the class ``unknown``; a bounded sample of the corpus's own paragraphs, without those that speak of
+licences or rights, makes the class ``none``. A multinomial logistic regression on hashed word n-grams tells
 the families apart. Its probabilities are calibrated by a temperature, and the probability that a
 paragraph must reach to count as a notice at all by paragraphs of the corpus that training did not
 see. A family is confirmed if the paragraph shares enough word pairs with one of its templates;
@@ -66,6 +67,34 @@ TEMPLATES = {
         "SPDX-License-Identifier: MPL-2.0",
     ],
 }
+#: Notices of rights, or of licences outside the families.
+OTHERS = [
+    "All rights reserved.",
+    "Copyright 2020 by the authors. All rights reserved.",
+    "Copyright (c) 2015 the contributors",
+    "This is free and unencumbered software released into the public domain.",
+    "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software.",
+    "This work is dedicated to the public domain.",
+    "Proprietary and confidential. Unauthorized copying of this file is strictly prohibited.",
+    "No part of this publication may be reproduced or distributed without the prior written permission"
+    " of the publisher.",
+    "Reproduction is permitted provided that the source is acknowledged.",
+    "Used with permission of the copyright holder.",
+    "Use of this software is subject to the terms of the license agreement.",
+    "Alle Rechte vorbehalten.",
+    "Dieses Werk steht unter einer freien Lizenz.",
+    "Tous droits réservés.",
+    "Cette œuvre est distribuée sous licence libre.",
+    "Todos los derechos reservados.",
+    "Esta obra está bajo una licencia libre.",
+    "Tutti i diritti riservati.",
+]
+#: Wording by which a paragraph may be a notice: no example of ``none``.
+_RIGHTS = (
+    r"(?i)licen[cs]|lizenz|licenza|copyright|copyleft|©|\(c\) *\d|public domain|rights? reserved"
+    r"|unauthori[sz]ed (copying|use)|permission|spdx|redistribut|may (not )?be (reproduced|copied|distributed)"
+    r"|rechte vorbehalten|urheberrecht|droits r|derechos reservados|diritti riservati|direitos reservados"
+)
 #: Words that tell one family from another; without them a notice is one of an unknown licence.
 _NAMES = (
     "apache|mit|gnu|general|public|gpl|mozilla|mpl|bsd|clause|creative|commons|attribution|"
@@ -76,8 +105,8 @@ BINS = 1 << 13
 SAMPLE = 6_000
 #: Characters from which a paragraph is taken sentence by sentence.
 LONG = 400
-#: Shares of a template's word pairs that confirm a family, and a notice of no known family.
-CONFIRM, CONFIRM_UNKNOWN = 0.7, 0.25
+#: Share of a template's word pairs that confirms a family.
+CONFIRM = 0.7
 TEMPERATURES = (0.5, 1.0, 2.0)
 LABELS = ["none", "unknown", *TEMPLATES]
 
@@ -146,7 +175,13 @@ def _examples(spark: SparkSession) -> DataFrame:
         ).alias("body"),
     )
     made = known.select(F.col("family").alias("label"), body.alias("body")).union(other)
-    return made.withColumn("part", F.pmod(F.xxhash64("body"), F.lit(5)).cast("int"))
+    parted = made.withColumn("part", F.pmod(F.xxhash64("body"), F.lit(5)).cast("int"))
+    rights = spark.createDataFrame([(x,) for x in OTHERS], "body string").select(
+        F.lit("unknown").alias("label"),
+        F.explode(F.array_repeat("body", 8)).alias("body"),
+        F.lit(1).alias("part"),
+    )
+    return parted.union(rights)
 
 
 def _similarity(spark: SparkSession) -> DataFrame:
@@ -197,7 +232,8 @@ def _featurizer() -> Pipeline:
 def train(corpus: DataFrame, key: str = "doc_id", text: str = "text", sample: int = SAMPLE) -> Scanner:
     """Fit and calibrate on the templates and a bounded sample of the corpus's paragraphs.
 
-    Paragraphs much like a template are no examples of ``none``. An empty corpus leaves the
+    Paragraphs much like a template, or with wording of licences or rights, are no examples of
+    ``none``. An empty corpus leaves the
     templates as the only examples.
     """
     spark = corpus.sparkSession
@@ -210,7 +246,7 @@ def train(corpus: DataFrame, key: str = "doc_id", text: str = "text", sample: in
     rest = materialize(
         paragraphs(corpus, key, text).select("body").distinct().orderBy(order, "body").limit(2 * sample)
         .withColumn("grams", _pairs(_words("body"))).crossJoin(F.broadcast(templates))
-        .filter(~near)
+        .filter(~near & ~F.col("body").rlike(_RIGHTS))
         .select(
             F.lit("none").alias("label"), "body",
             F.pmod(F.xxhash64("body", F.lit(6)), F.lit(2)).cast("int").alias("part"),
@@ -285,7 +321,6 @@ def scan(df: DataFrame, scanner: Scanner, key: str = "doc_id", text: str = "text
         found.withColumn("own", own)
         .withColumn("similarity", F.when(F.col("own") >= CONFIRM, F.col("own")).otherwise(any_))
         .withColumn("family", F.when(F.col("own") >= CONFIRM, F.col("guess")).otherwise("unknown"))
-        .filter((F.col("own") >= CONFIRM) | (F.col("similarity") >= CONFIRM_UNKNOWN))
         .select(
             F.col("key").alias(key), "paragraph", "family",
             F.col("notice").alias("probability"), "similarity", "body",

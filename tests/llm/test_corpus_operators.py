@@ -311,3 +311,15 @@ def test_licences(spark):
     assert licenses.scan(df.limit(0), scanner).count() == 0
     plan = licenses.scan(df, scanner)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_notices_unlike_all_templates_are_unknown(spark):
+    rng = random.Random(17)
+    odd = ["All rights reserved.", "Unauthorized copying of this file is prohibited.",
+           "This software is released into the public domain.", "Alle Rechte vorbehalten."]
+    rows = [(i, f"{prose(rng, 40)}\n{odd[i % 4]}\n{prose(rng, 10)}") for i in range(80)]
+    rows += [(100 + i, f"{prose(rng, 30)}\n{prose(rng, 12)}") for i in range(80)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = licenses.scan(df, licenses.train(df)).toPandas()
+    got = sorted((r.doc_id, r.family, r.body) for r in found.itertuples())
+    assert got == [(i, "unknown", odd[i % 4]) for i in range(80)]
