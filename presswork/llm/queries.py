@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from presswork.llm import (
+    audit,
     bpe,
     contamination,
     jaccard,
@@ -17,6 +18,7 @@ from presswork.llm import (
     sharding,
     tokenstore,
     toxicity,
+    whitening,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,9 +36,14 @@ QUERIES: dict[str, Query] = {
         neighbours.op8_nearest,
         licenses.op9_license_scan,
         jaccard.op10_ngram_jaccard,
+        whitening.op12_whitening,
+        audit.op13_filter_audit,
     )
 }
 
-#: Operators 2, 3, 4, 5, 6, 7, 8, 9 and 10 have no SQL that ends on whole tables; their tests compare
-#: them with brute force, exact round trips or held-out labels.
-ORACLES: dict[str, str] = {"op1_sharding": sharding.ORACLE}
+#: The other operators have no SQL that ends on whole tables; their tests compare them with brute
+#: force, exact round trips or held-out labels.
+ORACLES: dict[str, str] = {
+    "op1_sharding": sharding.ORACLE,
+    "op13_filter_audit": audit.ORACLE,
+}
