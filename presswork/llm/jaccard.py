@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from presswork.llm.components import connected_components
 from presswork.llm.frames import prepare, read, sized, slices
-from presswork.llm.words import Words, shingles
+from presswork.llm.words import WIDTH, Words, shingles
 from presswork.session import materialize
 
 #: Similarity in hundredths.

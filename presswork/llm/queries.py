@@ -12,6 +12,7 @@ from presswork.llm import (
     contamination,
     jaccard,
     licenses,
+    minhash,
     neighbours,
     quality,
     repeats,
@@ -36,6 +37,7 @@ QUERIES: dict[str, Query] = {
         neighbours.op8_nearest,
         licenses.op9_license_scan,
         jaccard.op10_ngram_jaccard,
+        minhash.op11_minhash_dedup,
         whitening.op12_whitening,
         audit.op13_filter_audit,
     )
@@ -45,5 +47,7 @@ QUERIES: dict[str, Query] = {
 #: force, exact round trips or held-out labels.
 ORACLES: dict[str, str] = {
     "op1_sharding": sharding.ORACLE,
+    "op10_ngram_jaccard": minhash.similarity_sql(jaccard.WIDTH, kept=False),
+    "op11_minhash_dedup": minhash.ORACLE,
     "op13_filter_audit": audit.ORACLE,
 }

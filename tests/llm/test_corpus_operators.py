@@ -44,12 +44,12 @@ def test_rows_with_equal_keys_meet(spark):
 
 
 # --- Similarity join --------------------------------------------------------------------------
-def brute_classes(rows):
+def brute_classes(rows, width=5):
     lower = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     sets = []
     for key, text in rows:
         words = re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate(lower))
-        wide = {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+        wide = {tuple(words[i : i + width]) for i in range(max(1, len(words) - width + 1))} if words else set()
         sets.append((key, wide))
     parent = list(range(len(sets)))
 
