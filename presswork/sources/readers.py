@@ -13,6 +13,7 @@ from presswork import schemas as S
 from presswork.functions.columns import is_filled
 from presswork.session import materialize
 from presswork.sources.order import KEPT_ORDER, ORDER, file_order, with_file_order
+from presswork.sources.records import read_records
 
 # --- Fixed values: spellings of a missing value in posts files, and the split of each file -----
 NA_WORDS = (
@@ -39,47 +40,27 @@ NA_WORDS = (
 ORIGIN_FILES = {"train.tsv": "train", "valid.tsv": "validation", "test.tsv": "test"}
 # ----------------------------------------------------------------------------------------------
 
-_LINE = "_line"
 
-
-def _with_line(schema: T.StructType) -> T.StructType:
-    return T.StructType([*schema.fields, T.StructField(_LINE, T.StringType())])
-
-
-def read_header_tsv(
-    spark: SparkSession, path: str | list[str], schema: T.StructType, multi_line: bool = False
-) -> DataFrame:
-    """Header TSV as text columns plus ``_seq``.
+def read_header_tsv(spark: SparkSession, path: str | list[str], schema: T.StructType) -> DataFrame:
+    """Header TSV as text columns plus ``_seq``; quoted fields may span lines.
 
     Rows with too many fields are skipped and short rows are padded with NULL. The usual spellings
-    of a missing value become NULL. Quoted fields that span lines need ``multi_line``, which makes
-    a file unsplittable.
+    of a missing value become NULL.
     """
-    width = len(schema.fields)
-    lines = (
-        spark.read.schema(_with_line(schema))
-        .option("sep", "\t")
-        .option("header", True)
-        .option("escape", '"')
-        .option("multiLine", multi_line)
-        .option("columnPruning", False)  # a parser of some columns does not see that a row is long
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", _LINE)
-        .csv(path)
-    )
-    # Only a quote at the start of a field opens a quoted one, whose tabs part no fields.
-    unquoted = F.regexp_replace(_LINE, r'(^|\t)"(?:[^"]|"")*"', "$1")
-    fields = F.length(unquoted) - F.length(F.translate(unquoted, "\t", "")) + 1
-    kept = with_file_order(lines).where(F.col(_LINE).isNull() | (fields <= width))
-    return kept.select(
-        *[F.when(~F.col(c).isin(*NA_WORDS), F.col(c)).alias(c) for c in schema.fieldNames()],
+    rows = read_records(spark, path).where(F.size("fields") <= len(schema.fields))
+    cells = [F.get("fields", F.lit(k)) for k in range(len(schema.fields))]
+    return rows.select(
+        *[
+            F.when(~cell.isin(*NA_WORDS), cell).alias(c)
+            for c, cell in zip(schema.fieldNames(), cells, strict=True)
+        ],
         "_seq",
     )
 
 
-def read_posts(spark: SparkSession, path: str | list[str], multi_line: bool = False) -> DataFrame:
+def read_posts(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Posts with an image address."""
-    posts = read_header_tsv(spark, path, S.RAW_POST, multi_line)
+    posts = read_header_tsv(spark, path, S.RAW_POST)
     return posts.where(is_filled(F.col("image_url")))
 
 

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import json
 import os
+import random
 from datetime import UTC, datetime
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -52,6 +54,42 @@ class TestPosts:
         df = self.read(spark, tmp_path, post_line(clean_title='"a\tb ""c"""'), post_line(clean_title='say "hi"'))
         assert [r["clean_title"] for r in df.orderBy("_seq").collect()] == ['a\tb "c"', 'say "hi"']
 
+    def test_any_column_alone_sees_long_rows(self, spark, tmp_path):
+        df = self.read(spark, tmp_path, post_line(id="a"), post_line(id="b") + '\t"' + "y" * 100_000 + '"')
+        assert df.count() == 1 and [r["id"] for r in df.select("id").collect()] == ["a"]
+
+    @pytest.mark.parametrize("seed", range(4))
+    def test_quoted_fields_over_many_blocks(self, spark, tmp_path, seed):
+        """Equal to a single reader of the whole file, however the file is cut into blocks."""
+        rng = random.Random(seed)
+        names = ["a", "b", "c"]
+
+        def field():
+            inner = "".join(rng.choice(["x", "\t", "\n", '""', "yé", "\r\n", " "]) for _ in range(rng.choice([0, 3, 40])))
+            plain = "".join(rng.choice("xyz ") for _ in range(rng.choice([1, 5, 30])))
+            return rng.choice([plain, plain, plain + '"', f'"{inner}"', f'"{inner}"tail"', 'q"' + plain])
+
+        lines = ["\t".join(names), "first\trow\there"]
+        lines += ["\t".join(field() for _ in range(rng.choice([1, 2, 3, 3, 3, 4]))) for _ in range(300)]
+        lines[100] = '"' + "long\n" * 200 + '"\tafter\tit'
+        text = rng.choice(["\n", "\r\n"]).join(lines) + "\n"
+        path = tmp_path / "r.tsv"
+        path.write_bytes(text.encode())
+        expected = pd.read_csv(path, sep="\t", dtype=str, on_bad_lines="skip")
+        schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
+        before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+        spark.conf.set("spark.sql.files.maxPartitionBytes", rng.choice([100, 400, 3000]))
+        try:
+            found = readers.read_header_tsv(spark, str(path), schema).orderBy("_seq").collect()
+        finally:
+            spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        wanted = [tuple(None if pd.isna(v) else v for v in row) for row in expected.itertuples(index=False)]
+        assert [tuple(r)[:3] for r in found] == wanted
+
+    def test_a_quote_without_an_end_is_an_error(self, spark, tmp_path):
+        with pytest.raises(ValueError, match="p.tsv"):
+            self.read(spark, tmp_path, post_line(id="a"), post_line(id='"b'))
+
     def test_only_posts_with_an_image(self, spark, tmp_path):
         text = "\n".join(
             ["\t".join(S.RAW_POST.fieldNames()), post_line(id="a"), post_line(id="b", image_url=""), post_line(id="c", image_url="NA")]
