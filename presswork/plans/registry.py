@@ -119,7 +119,7 @@ def scan_tsv(spark: SparkSession, folder: str) -> DataFrame:
     )
     uneven = (
         F.when(F.col("_seq") % 10 == 6, F.concat(cells, F.array(extra)))
-        .when(F.col("_seq") % 10 == 4, F.slice(cells, 1, 1))
+        .when(F.col("_seq") % 10 == 4, F.slice(cells, 1, 2))
         .otherwise(cells)
     )
     header = "\t".join(S.RAW_POST.fieldNames())
