@@ -22,8 +22,9 @@ FALLBACK = "css_fallback"
 # ----------------------------------------------------------------------------------------------
 
 # Comments and scripts in document order: whichever opens first swallows the other.
-# A tag goes on past a ">" within quotes; a quote without a partner is an ordinary character.
-_IN_TAG = r"""(?:[^>"']++|"[^"]*+"|'[^']*+'|["'])*+"""
+# A tag goes on past a ">" within a quoted value. A quote opens a value only after "=", any other
+# one, and one without a partner, is an ordinary character.
+_IN_TAG = r"""(?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+')|=)*+"""
 _COMMENT_OR_SCRIPT = rf"(?is)<!--.*?-->|<script\b{_IN_TAG}>.*?</script\s*>"
 _COMMENT_OR_RAW_TEXT = rf"(?is)<!--.*?-->|<(script|style)\b{_IN_TAG}>.*?</\1\s*>"
 _SCRIPT_BODY = rf"(?is)^<script\b{_IN_TAG}>(.*)</script\s*>$"
@@ -31,20 +32,30 @@ _META_TAG = rf"(?is)<meta\b{_IN_TAG}>"
 _HEADING = rf"(?is)<h1\b{_IN_TAG}>(.*?)(?:</h1\s*>|\z)"
 
 
-def _attribute_is(tag: str, name: str, value: str) -> str:
-    """SQL: the tag has the attribute with exactly this value."""
-    escaped = value.replace("+", r"\+").replace(".", r"\.")
-    pattern = rf"""[\s"'](?i:{name})\s*=\s*(?:"{escaped}"|'{escaped}'|{escaped}(?=[\s/>]))"""
-    return f"rlike({tag}, {quote(pattern)})"
+# An attribute, and those of a tag before the first of a name. A value ends with its own quote, or
+# with white space where it has none.
+_ATTRIBUTE = r"""[^\s>/=]++(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|(?!["'])[^\s>]++)?+)?+"""
+
+
+def _attribute_pattern(name: str) -> str:
+    named = rf"(?i:{name})(?=[\s=/>])"
+    earlier = rf"(?:[\s/]++(?!{named}){_ATTRIBUTE})*+"
+    value = r"""(?:"([^"]*+)"|'([^']*+)'|((?!["'])[^\s>]++))"""
+    return rf"^<[^\s/>]++{earlier}[\s/]++(?i:{name})\s*+=\s*+{value}"
 
 
 def _attribute(tag: str, name: str) -> str:
-    """SQL: value of an attribute as written, NULL when the tag does not have it."""
-    pattern = quote(rf"""[\s"'](?i:{name})\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
+    """SQL: value of a tag's attribute as written, NULL when the tag does not have it."""
+    pattern = quote(_attribute_pattern(name))
     groups = ", ".join(f"regexp_extract({tag}, {pattern}, {i})" for i in (1, 2, 3))
     return f"CASE WHEN rlike({tag}, {pattern}) THEN concat({groups}) END"
 
 
+def _attribute_is(tag: str, name: str, value: str) -> str:
+    """SQL: the tag has the attribute with exactly this value."""
+    return f"coalesce({_attribute(tag, name)} = {quote(value)}, false)"
+
+
 def jsonld_block_array(html: str = "html") -> str:
     """SQL: bodies of the page's JSON-LD scripts in document order; blank ones are left out.
 

@@ -68,11 +68,13 @@ FROM {pages}""",
     "page_html": """
 SELECT page_id, url,
   replace(replace(html, '</head>', concat(
-    CASE WHEN page_id % 4 = 1 THEN '' ELSE concat('<meta property="og:title" content="OG ', CAST(page_id AS STRING), '">') END,
+    CASE WHEN page_id % 4 = 1 THEN '' ELSE concat('<meta data-x="a > b" property="og:title" content="OG ', CAST(page_id AS STRING), '">') END,
+    CASE WHEN page_id % 3 = 0 THEN concat('<meta content=''https://img.example.org/o', CAST(page_id AS STRING), '.png'' property=og:image>') ELSE '' END,
+    CASE WHEN page_id % 7 = 2 THEN concat('<meta data-x=it''s name="description" content="don''t > ', CAST(page_id AS STRING), ' &amp; more">') ELSE '' END,
     CASE page_id % 5
       WHEN 0 THEN ''
       WHEN 1 THEN '<script type="application/ld+json">{{not json</script>'
-      WHEN 2 THEN concat('<script type="application/ld+json">{{"@type":"ClaimReview","claimReviewed":"C', CAST(page_id AS STRING), '","reviewRating":{{"alternateName":"False","ratingValue":"1"}}}}</script>')
+      WHEN 2 THEN concat('<script data-x=it''s title="a > b" type="application/ld+json">{{"@type":"ClaimReview","claimReviewed":"C', CAST(page_id AS STRING), '","reviewRating":{{"alternateName":"False","ratingValue":"1"}}}}</script>')
       WHEN 3 THEN concat('<script type="application/ld+json">{{"@graph":[{{"@type":"WebPage"}},{{"@type":"ClaimReview","claimReviewed":"C', CAST(page_id AS STRING), '","reviewRating":{{"ratingValue":"5"}}}}]}}</script>')
       ELSE concat('<script type="application/ld+json">[{{"@type":"Person"}},{{"@type":"ClaimReview","claimReviewed":"C', CAST(page_id AS STRING), '","reviewRating":{{"alternateName":"Mixture"}}}}]</script>') END,
     '</head>')),

@@ -150,3 +150,36 @@ def test_feed_claims(spark, feed, fetched):
 def test_feed_counts(feed, fetched):
     row = pages.feed_counts(feed, fetched).first()
     assert (row["seen"], row["skipped"]) == (3, 2)
+
+
+def test_a_quote_opens_a_value_only_after_an_equals_sign(spark):
+    review = script(REVIEW, """data-x=it's type="application/ld+json\"""")
+    html = [
+        "<h1 data-x=it's>Head</h1><p>they don't know</p>" + review + "<p>it's</p>",
+        "<h1 title='a > b' data-y=5\">Head</h1>" + script(REVIEW, "title='x>y' type='application/ld+json'"),
+        "<h1 'odd>Head</h1><p>'</p>" + script(REVIEW, "type=application/ld+json async"),
+    ]
+    df = spark.createDataFrame(list(enumerate(html)), "page_id long, html string")
+    assert [r["title"] for r in pages.page_meta(df).collect()] == ["Head"] * 3
+    assert pages.claim_reviews(df).count() == 3
+
+
+def test_attributes_are_read_as_a_whole(spark):
+    metas = [
+        """<meta content="property='og:title'" property="og:image">""",
+        """<meta data-content="no" property="og:title" content="yes" content="again">""",
+        """<meta property = og:title content = plain/x >""",
+        """<meta title="content='no' > property='x'" PROPERTY='og:title' content="it's > that">""",
+    ]
+    df = spark.createDataFrame(list(enumerate(metas)), "page_id long, html string")
+    rows = pages.page_meta(df).orderBy("page_id").collect()
+    assert [r["title"] for r in rows] == ["", "yes", "plain/x", "it's > that"]
+    assert rows[0]["image_url"] == "property='og:title'"
+
+
+def test_long_tags_do_not_exhaust_the_stack(spark):
+    tag = "<meta " + " ".join(f"a{k}='{k}'" for k in range(3000)) + ' property="og:title" content="T">'
+    long_value = f'<meta content="{"x" * 300_000}" property="og:image">'
+    df = spark.createDataFrame([(1, tag + long_value)], "page_id long, html string")
+    row = pages.page_meta(df).first()
+    assert row["title"] == "T" and len(row["image_url"]) == 300_000
