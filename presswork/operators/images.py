@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -9,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from presswork.functions.columns import is_filled, strip
-from presswork.operators.dedup import keep_first
+from presswork.operators.dedup import keep_first, keep_first_in_place
 
 # --- Fixed values: file extensions by media type, and those accepted from an address ----------
 MEDIA_EXTENSIONS = {
@@ -94,6 +95,21 @@ def image_outcomes(records: DataFrame, responses: DataFrame) -> DataFrame:
     ).select(*records.columns, "outcome", "image_path")
 
 
+def image_bodies(outcomes: DataFrame, responses: DataFrame) -> DataFrame:
+    """(name, body) of the downloaded images, for :func:`presswork.sources.bodies.write_bodies`.
+
+    Which response of an address counts is settled on slim rows (:func:`response_facts`); bodies
+    move once, to meet their records. A record has one file, also where several share an address.
+    """
+    wanted = outcomes.where("outcome = 'downloaded'").select(
+        F.col("image_path").alias("name"), F.col("image_url").alias("url")
+    )
+    good = responses.where(is_image(F.col("content_type"), F.length("body")))
+    order = F.struct("content_type", F.md5("body").alias("digest"))
+    first = keep_first_in_place(good.select("url", "body", order.alias("_order")), "url", "_order")
+    return wanted.join(first.select("url", "body"), "url").select("name", "body")
+
+
 def image_summary(outcomes: DataFrame) -> DataFrame:
     """Downloaded, failed, skipped and all records per split, and over all splits."""
     counts = [
@@ -105,18 +121,63 @@ def image_summary(outcomes: DataFrame) -> DataFrame:
     )
 
 
-def fetch_responses(records: DataFrame, fetch: Fetcher) -> DataFrame:
+#: Seconds between two requests to one host, and bytes of bodies that a task holds at a time.
+HOST_PAUSE, HELD_BYTES = 1.0, 32 << 20
+
+
+class Pacer:
+    """Waits before a request until the host's last one is long enough ago."""
+
+    def __init__(self, pause: float, clock: Callable[[], float], sleep: Callable[[float], None]):
+        self.pause, self.clock, self.sleep = pause, clock, sleep
+        self.free: dict[str, float] = {}
+
+    def wait(self, host: str) -> None:
+        early = self.free.get(host, 0.0) - self.clock()
+        if early > 0:
+            self.sleep(early)
+        self.free[host] = self.clock() + self.pause
+
+
+def host_of(url: Column) -> Column:
+    """Host of an address in lower case; empty where it has none."""
+    return F.lower(F.regexp_extract(url, r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
+
+
+def fetch_responses(
+    records: DataFrame, fetch: Fetcher, pause: float = HOST_PAUSE, held_bytes: int = HELD_BYTES,
+    clock: Callable[[], float] = time.monotonic, sleep: Callable[[float], None] = time.sleep,
+) -> DataFrame:
     """Fetch each distinct address once and return the responses table.
 
     ``fetch`` maps an address to ``(body, content type)``, or to None when it fails; failures give
-    no row. Write the result before using it: recomputing it would fetch again.
+    no row. Addresses are dealt by host, so that one task asks a host and can keep the pause between
+    its requests; the hosts of a task take turns as their addresses come, and bodies leave it as
+    soon as they reach ``held_bytes``. Write the result before using it: recomputing it would fetch
+    again.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        pacer, held, size = Pacer(pause, clock, sleep), [], 0
         for batch in batches:
-            got = [(url, fetch(url)) for url in batch["image_url"]]
-            rows = [(url, hit[1], hit[0]) for url, hit in got if hit is not None]
-            yield pd.DataFrame(rows, columns=["url", "content_type", "body"])
+            for url, host in zip(batch["image_url"], batch["host"], strict=True):
+                pacer.wait(host)
+                hit = fetch(url)
+                if hit is None:
+                    continue
+                held.append((url, hit[1], hit[0]))
+                size += len(hit[0])
+                if size >= held_bytes:
+                    yield pd.DataFrame(held, columns=["url", "content_type", "body"])
+                    held, size = [], 0
+        if held:
+            yield pd.DataFrame(held, columns=["url", "content_type", "body"])
 
     addresses = records.where(is_filled(F.col("image_url"))).select("image_url").distinct()
-    return addresses.mapInPandas(run, RESPONSE)
+    # In pseudo-random order, the addresses of a task's hosts are mixed.
+    dealt = (
+        addresses.withColumn("host", host_of(F.col("image_url")))
+        .repartition("host")
+        .sortWithinPartitions(F.xxhash64("image_url"))
+    )
+    return dealt.mapInPandas(run, RESPONSE)

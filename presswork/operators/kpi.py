@@ -117,6 +117,7 @@ MIN_VALID_RATE = 0.80
 MIN_IMAGE_COVERAGE = 0.70
 MIN_RECORDS = 10
 LABEL_BALANCE = (0.3, 0.7)
+STAGE_SECONDS = {"extract": 120.0, "transform": 60.0}
 # ----------------------------------------------------------------------------------------------
 
 
@@ -159,16 +160,26 @@ def freshness_alerts(runs: DataFrame, now: Column) -> DataFrame:
     )
 
 
-def volume_alerts(daily: DataFrame) -> DataFrame:
+def volume_alerts(daily: DataFrame, until: Column | None = None) -> DataFrame:
     """Compare each day's volume (``source, day, n``) with the mean of the seven days before.
 
-    Days without rows are absent from the mean. A first day has nothing to compare with.
+    A source counts from its first day to the last day of any source, or to ``until``. A day of
+    these without rows is a day of volume 0, which is critical, and part of later means. A first
+    day has nothing to compare with. Only days and counts are handled.
     """
+    spans = daily.groupBy("source").agg(F.min("day").alias("first"), F.max("day").alias("last"))
+    end = F.max("last").over(Window.partitionBy(F.lit(0))) if until is None else until
+    days = spans.withColumn("end", end).select(
+        "source", F.explode(F.sequence("first", F.greatest("first", "end"))).alias("day")
+    )
+    whole = days.join(daily, ["source", "day"], "left").select(
+        "source", "day", F.coalesce("n", F.lit(0)).alias("n")
+    )
     day_number = F.unix_date("day")
     week = Window.partitionBy("source").orderBy(day_number).rangeBetween(-7, -1)
-    drop = F.lit(1.0) - F.col("n") * F.col("days") / F.col("previous")
+    drop = F.lit(1.0) - F.col("n") * F.col("days") / F.nullif("previous", F.lit(0))
     return (
-        daily.select("*", F.sum("n").over(week).alias("previous"), F.count("n").over(week).alias("days"))
+        whole.select("*", F.sum("n").over(week).alias("previous"), F.count("n").over(week).alias("days"))
         .select(
             "source",
             "day",
@@ -176,7 +187,6 @@ def volume_alerts(daily: DataFrame) -> DataFrame:
             "previous",
             "days",
             F.when(F.col("n") == 0, "critical")
-            .when(F.col("previous").isNull(), "ok")
             .when(drop >= VOLUME_DROPS[1], "critical")
             .when(drop >= VOLUME_DROPS[0], "warn")
             .otherwise("ok")
@@ -185,6 +195,17 @@ def volume_alerts(daily: DataFrame) -> DataFrame:
     )
 
 
+def duration_alerts(runs: DataFrame) -> DataFrame:
+    """Seconds of each run (``stage, source, started_at, finished_at``), and whether that is too
+    long for its stage; a stage without a limit never alerts."""
+    limits = F.create_map(*[F.lit(v) for pair in STAGE_SECONDS.items() for v in pair])
+    seconds = (F.unix_millis("finished_at") - F.unix_millis("started_at")) / 1000
+    late = seconds > F.try_element_at(limits, F.col("stage"))
+    return runs.select(
+        "stage", "source", "started_at", seconds.alias("seconds"), F.coalesce(late, F.lit(False)).alias("alert")
+    )
+
+
 def run_alerts(rejection: DataFrame, records: DataFrame) -> DataFrame:
     """Run-level checks in long form: ``(check, numerator, denominator, alert)``."""
     valid = overall_rejection(rejection).select(

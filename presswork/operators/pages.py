@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from presswork.functions.columns import quote, stripped
 from presswork.functions.markup import element_text_udf, rating_udf, review_udf, unescape_udf
-from presswork.operators.dedup import keep_first
+from presswork.operators.dedup import keep_first_in_place
 
 # --- Fixed values -----------------------------------------------------------------------------
 JSONLD_TYPE = "application/ld+json"
@@ -264,6 +264,7 @@ def attach_pages(feed: DataFrame, pages: DataFrame) -> DataFrame:
     """Feed items with the page fetched for their address; ``html`` is NULL where none was.
 
     Of several fetches of an address the latest counts, by ``fetched_at`` where the pages have it.
+    Only addresses, times and digests are ranked; pages move only to meet their feed items.
     """
     items = feed.select(
         F.col("link").alias("url"),
@@ -274,7 +275,7 @@ def attach_pages(feed: DataFrame, pages: DataFrame) -> DataFrame:
     fetched = F.col("fetched_at") if "fetched_at" in pages.columns else F.lit(None)
     age = -F.unix_micros(fetched.cast("timestamp"))
     ordered = pages.select("url", "html", F.struct(age.isNull(), age, F.md5("html")).alias("_order"))
-    latest = keep_first(ordered, "url", "_order").drop("_order")
+    latest = keep_first_in_place(ordered, "url", "_order").drop("_order")
     return items.join(latest, "url", "left")
 
 

@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+import json
+import uuid
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from presswork import schemas as S
+from presswork.sources import files
+
+MANIFEST = "current.json"
 
 
 def flatten_articles(df: DataFrame) -> DataFrame:
@@ -27,14 +33,38 @@ def flatten_articles(df: DataFrame) -> DataFrame:
 def full_refresh(df: DataFrame, target: str, fmt: str = "parquet") -> int:
     """Replace the table at ``target`` by the flattened records; return the number written.
 
-    The rows are counted while they are written. Running it again leaves the same rows. The
-    target must not be one of the inputs of ``df``.
+    The rows go to a version folder of their own, and a manifest that names it is replaced last, in
+    one step: readers (:func:`read_current`) find the old rows or the new ones, and a write that
+    fails leaves the old ones. The version before stays for readers at work, older ones are
+    removed. Running it again leaves the same rows.
     """
+    spark = df.sparkSession
+    version = f"version={uuid.uuid4().hex}"
     rows = Observation()
     stamped = flatten_articles(df).withColumn("loaded_at", F.current_timestamp())
     observed = stamped.observe(rows, F.count(F.lit(1)).alias("rows"))
-    observed.write.mode("overwrite").format(fmt).save(target)
-    return rows.get["rows"]
+    observed.write.format(fmt).save(f"{target}/{version}")
+    count, before = rows.get["rows"], _manifest(spark, target)
+    manifest = json.dumps({"version": version, "format": fmt, "rows": count})
+    files.replace_text(spark, f"{target}/{MANIFEST}", manifest, f"{target}/.{MANIFEST}-{uuid.uuid4().hex}")
+    kept = {version, before["version"] if before else version}
+    for name in files.names(spark, target):
+        if name.startswith("version=") and name not in kept:
+            files.delete(spark, f"{target}/{name}")
+    return count
+
+
+def _manifest(spark: SparkSession, target: str) -> dict | None:
+    text = files.read_text(spark, f"{target}/{MANIFEST}")
+    return None if text is None else json.loads(text)
+
+
+def read_current(spark: SparkSession, target: str) -> DataFrame:
+    """The rows of the last refresh that ended."""
+    manifest = _manifest(spark, target)
+    if manifest is None:
+        raise FileNotFoundError(f"no refresh of {target} has ended")
+    return spark.read.format(manifest["format"]).load(f"{target}/{manifest['version']}")
 
 
 def full_refresh_jdbc(df: DataFrame, url: str, table: str, properties: dict[str, str]) -> None:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from presswork import schemas as S
 from presswork.operators import images, kpi, stats
-from presswork.operators.dedup import keep_first
+from presswork.operators.dedup import keep_first_in_place
 from presswork.operators.filters import filter_articles, first_rows
 from presswork.operators.normalize import Moment, normalize
 from presswork.operators.pages import feed_claims
@@ -83,7 +83,7 @@ def ingest_statements(
 # --- Transform: raw batches to one unified batch ----------------------------------------------
 def transform_source(df: DataFrame, source: str, collected_at: Moment) -> DataFrame:
     """De-duplicate, normalise and validate the raw rows of one source."""
-    first = keep_first(df, S.NATURAL_KEYS[source])
+    first = keep_first_in_place(df, S.NATURAL_KEYS[source])
     return valid_rows(normalize(first, source, collected_at))
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from presswork import schemas as S
 from presswork.functions.columns import content_key
 from presswork.operators import images, kpi, pages, splits, stats, validate
-from presswork.operators.dedup import keep_first
+from presswork.operators.dedup import keep_first_in_place
 from presswork.operators.filters import (
     filter_articles,
     first_rows,
@@ -20,11 +20,11 @@ from presswork.operators.filters import (
     wanted_article,
 )
 from presswork.operators.normalize import normalize
-from presswork.operators.publish import flatten_articles, full_refresh
+from presswork.operators.publish import flatten_articles, full_refresh, read_current
 from presswork.plans import flow, views
 from presswork.plans.oracle import COLLECTED_AT
 from presswork.session import materialize, scratch_root, tune
-from presswork.sources import readers, writers
+from presswork.sources import bodies, readers, writers
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -58,7 +58,7 @@ def _flat(df: DataFrame, *extra: str) -> DataFrame:
 
 def _normalized(spark: SparkSession, folder: str, source: str) -> DataFrame:
     raw = views.RAW[source](spark, folder)
-    return normalize(keep_first(raw, S.NATURAL_KEYS[source]), source, _moment())
+    return normalize(keep_first_in_place(raw, S.NATURAL_KEYS[source]), source, _moment())
 
 
 def _unified(spark: SparkSession, folder: str) -> DataFrame:
@@ -298,7 +298,7 @@ def skipped_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def dedup_first(spark: SparkSession, folder: str) -> DataFrame:
-    first = keep_first(views.raw_posts(spark, folder), "id")
+    first = keep_first_in_place(views.raw_posts(spark, folder), "id")
     return first.select("_seq", "id", "clean_title", "image_url")
 
 
@@ -474,6 +474,19 @@ def image_outcomes(spark: SparkSession, folder: str) -> DataFrame:
     return outcomes.select("id", "image_url", "outcome", flag, "image_path")
 
 
+@query
+def image_bodies(spark: SparkSession, folder: str) -> DataFrame:
+    """Files of the downloaded images, read back: id of the record, path, length."""
+    target = _file_folder(spark, "images")
+    body = F.when(F.col("body_length") > 0, F.encode(F.concat(F.lit("body of "), "url"), "UTF-8"))
+    responses = views.view(spark, folder, "image_responses").withColumn("body", body)
+    outcomes = images.image_outcomes(_normalized(spark, folder, "fakeddit"), responses)
+    bodies.write_bodies(images.image_bodies(outcomes, responses), target)
+    name = F.regexp_extract("path", "[^/]+$", 0)
+    found = spark.read.format("binaryFile").load(target).select(name.alias("path"), "length")
+    return found.select(F.regexp_extract("path", r"^(.*)\.", 1).alias("id"), "path", "length")
+
+
 @query
 def image_extension(spark: SparkSession, folder: str) -> DataFrame:
     responses = views.view(spark, folder, "image_responses")
@@ -500,7 +513,7 @@ def full_refresh_(spark: SparkSession, folder: str) -> DataFrame:
     final = _final(spark, folder)
     full_refresh(final, target)
     full_refresh(final, target)
-    table = spark.read.parquet(target).drop("loaded_at")
+    table = read_current(spark, target).drop("loaded_at")
     return table.withColumn("collected_at", F.date_format("collected_at", "yyyy-MM-dd HH:mm:ss"))
 
 
@@ -528,10 +541,45 @@ def freshness_alerts(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def volume_alerts(spark: SparkSession, folder: str) -> DataFrame:
-    """Daily event volumes against the week before."""
+    """Daily event volumes against the week before; one type is silent on some days."""
+    silent = "event_type = 'click' AND unix_date(to_date(ts)) % 6 = 3"
     daily = (
         views.table(spark, folder, "events")
+        .where(f"NOT ({silent})")
         .groupBy(F.col("event_type").alias("source"), F.to_date("ts").alias("day"))
         .agg(F.count("*").alias("n"))
     )
     return kpi.volume_alerts(daily).withColumn("day", F.col("day").cast("string"))
+
+
+@query
+def image_failure_alerts(spark: SparkSession, folder: str) -> DataFrame:
+    """Share of failed downloads over all posts."""
+    outcomes = _outcomes(spark, folder, _normalized(spark, folder, "fakeddit"))
+    counts = outcomes.agg(
+        F.count_if(F.col("outcome") == "downloaded").alias("downloaded"),
+        F.count_if(F.col("outcome") == "failed").alias("failed"),
+    )
+    return kpi.image_failure_alert(counts)
+
+
+@query
+def leakage_alerts(spark: SparkSession, folder: str) -> DataFrame:
+    """Contents on both sides of the statements' own split."""
+    return kpi.leakage_alert(leakage_of_origin_split(spark, folder))
+
+
+@query
+def duration_alerts(spark: SparkSession, folder: str) -> DataFrame:
+    """Runs that took too long; an event stands for a run of as many seconds as its value."""
+    stage = F.element_at(F.array(*map(F.lit, ("extract", "transform", "load"))), (F.col("event_id") % 3 + 1).cast("int"))
+    started = F.to_utc_timestamp(F.col("ts").cast("timestamp"), "UTC")
+    seconds = F.col("event_id") % 181
+    runs = views.table(spark, folder, "events").select(
+        stage.alias("stage"), F.col("event_type").alias("source"), started.alias("started_at"),
+        F.timestamp_seconds(F.unix_seconds(started) + seconds).alias("finished_at"),
+    ).withColumn("started_at", F.timestamp_seconds(F.unix_seconds("started_at")))
+    alerts = kpi.duration_alerts(runs)
+    return alerts.groupBy("stage", "source").agg(
+        F.count("*").alias("runs"), F.count_if("alert").alias("late"), F.max("seconds").alias("longest")
+    )

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from presswork.operators import images
+from presswork.sources import bodies
 
 RECORDS = "id string, source string, image_url string, metadata struct<source_credibility:string,has_image:boolean,label_method:string>, split string"
 
@@ -27,9 +28,9 @@ def outcome(spark, rows, answers):
 
 
 URLS = [
-    "https://cdn/x",
-    "https://cdn/photo.png",
-    "https://cdn/photo",
+    "https://pictures.example.net/",
+    "https://pictures.example.net/ferry/17.gif",
+    "https://pictures.example.net/ferry-17",
     "https://cdn/a.b/photo",
     "https://cdn/photo.PNG?x=.gif",
     "https://cdn/photo.webp#f.gif",
@@ -125,3 +126,68 @@ def test_fetcher(spark):
     rows = [("a", "https://cdn/ok", True), ("b", "https://cdn/ok", True), ("c", "https://cdn/bad", True), ("d", None, False)]
     got = images.fetch_responses(records(spark, *rows), fetch).collect()
     assert [(r["url"], r["content_type"], bytes(r["body"])) for r in got] == [("https://cdn/ok", "image/jpeg", b"\xff\xd8")]
+
+
+class TestFetch:
+    def test_hosts_are_paced_and_bodies_leave_by_bytes(self, spark):
+        class Clock:
+            now = 0.0
+
+        def sleep(seconds):
+            Clock.now += seconds
+
+        asked = []
+
+        def fetch(url):
+            asked.append((Clock.now, url))
+            return None if url.endswith("7") else (b"x" * 100, "image/png")
+
+        urls = [f"https://{host}.example.net/{k}" for k in range(10) for host in ("a", "b")]
+        pacer = images.Pacer(1.0, lambda: Clock.now, sleep)
+        for url in urls:
+            pacer.wait(url.split("/")[2])
+            fetch(url)
+        per_host = {}
+        for at, url in asked:
+            per_host.setdefault(url.split("/")[2], []).append(at)
+        assert all(b - a >= 1.0 for times in per_host.values() for a, b in zip(times, times[1:], strict=False))
+        assert Clock.now == 9.0  # the hosts take turns
+
+    def test_each_address_once(self, spark):
+        def fetch(url):
+            return None if url.endswith("7") else (url.encode(), "image/png")
+
+        rows = [(str(k), f"https://h{k % 3}.example.net/{k % 20}", True) for k in range(60)] + [("x", None, True), ("y", "", True)]
+        found = images.fetch_responses(records(spark, *rows), fetch, pause=0.0, held_bytes=50).collect()
+        expected = {u for _, u, _ in rows if u and not u.endswith("7")}
+        assert {r["url"] for r in found} == expected and len(found) == len(expected)
+        assert all(bytes(r["body"]).decode() == r["url"] for r in found)
+
+    def test_hosts(self, spark):
+        urls = ["https://A.example.net:8080/x", "http://user@b.example.net?q", "c.png", "ftp://d/"]
+        df = spark.createDataFrame([(u,) for u in urls], "u string").select(images.host_of(F.col("u")).alias("h"))
+        assert [r["h"] for r in df.collect()] == ["a.example.net", "b.example.net", "", "d"]
+
+
+class TestBodies:
+    def test_good_bodies_are_written_under_the_record(self, spark, tmp_path):
+        rows = [("1", "u/a.png", True), ("2", "u/b.png", True), ("3", "u/a.png", True), ("4", None, False), ("5", "u/c", True)]
+        answers = [
+            ("u/a.png", "text/html", b"no"), ("u/a.png", "image/png", b"yes"), ("u/a.png", "image/png", b"yes"),
+            ("u/b.png", "image/gif", b"gif"), ("u/c", "image/png", b""),
+        ]
+        answered = responses(spark, *answers)
+        outcomes = images.image_outcomes(records(spark, *rows), answered)
+        target = tmp_path / "images"
+        bodies.write_bodies(images.image_bodies(outcomes, answered), str(target))
+        assert {p.name: p.read_bytes() for p in target.iterdir()} == {"1.png": b"yes", "2.gif": b"gif", "3.png": b"yes"}
+        bodies.write_bodies(spark.createDataFrame([("9.png", None)], "name string, body binary"), str(target))
+        assert {p.name: p.read_bytes() for p in target.iterdir()} == {"9.png": b""}
+        assert [p.name for p in tmp_path.iterdir()] == ["images"]
+
+    def test_a_failed_job_leaves_nothing(self, spark, tmp_path):
+        rows = [(f"{k}.png" if k != 150 else "../x", b"b") for k in range(200)]
+        df = spark.createDataFrame(rows, "name string, body binary").repartition(4)
+        with pytest.raises(Exception, match="not a file name"):
+            bodies.write_bodies(df, str(tmp_path / "images"))
+        assert list(tmp_path.iterdir()) == []

@@ -184,8 +184,24 @@ class TestAlerts:
         days = [("a", f"2026-01-{d:02d}", n) for d, n in ((1, 100), (2, 100), (3, 65), (4, 30), (5, 0), (20, 5))]
         df = spark.createDataFrame(days, "source string, day string, n bigint").withColumn("day", F.to_date("day"))
         rows = kpi.volume_alerts(df).orderBy("day").collect()
-        assert [r["level"] for r in rows] == ["ok", "ok", "warn", "critical", "critical", "ok"]
-        assert [r["days"] for r in rows] == [0, 1, 2, 3, 4, 0]
+        assert [r["level"] for r in rows] == ["ok", "ok", "warn", "critical", *["critical"] * 15, "ok"]
+        assert [r["days"] for r in rows] == [0, 1, 2, 3, 4, 5, 6, *[7] * 13]
+        assert [r["n"] for r in rows] == [100, 100, 65, 30, *[0] * 15, 5]
+
+    def test_a_source_that_falls_silent(self, spark):
+        days = [("a", f"2026-01-{d:02d}", 10) for d in range(1, 11)] + [("b", f"2026-01-{d:02d}", 10) for d in (1, 2, 3)]
+        df = spark.createDataFrame(days, "source string, day string, n bigint").withColumn("day", F.to_date("day"))
+        silent = kpi.volume_alerts(df).where("source = 'b' AND n = 0")
+        assert silent.count() == 7 and {r["level"] for r in silent.collect()} == {"critical"}
+        later = kpi.volume_alerts(df, F.to_date(F.lit("2026-01-12"))).where("source = 'a' AND n = 0")
+        assert later.count() == 2
+        assert kpi.volume_alerts(df.limit(0)).count() == 0
+
+    def test_durations(self, spark):
+        runs = spark.createDataFrame(
+            [("extract", 121), ("extract", 120), ("transform", 61), ("load", 9999), ("transform", None)], "stage string, s int"
+        ).selectExpr("stage", "'x' AS source", "timestamp_seconds(0) AS started_at", "timestamp_seconds(s) AS finished_at")
+        assert [r["alert"] for r in kpi.duration_alerts(runs).collect()] == [True, False, True, False, False]
 
     def test_run_checks(self, spark):
         records = spark.createDataFrame(

@@ -13,9 +13,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from presswork import schemas as S
-from presswork.operators.publish import flatten_articles, full_refresh
+from presswork.operators import kpi
+from presswork.operators.publish import flatten_articles, full_refresh, read_current
 from presswork.session import materialize, scratch_root
-from presswork.sources import readers, writers
+from presswork.sources import ledger, readers, writers
 
 AT = datetime(2026, 5, 15, tzinfo=UTC)
 META = ("high", False, "human_expert")
@@ -243,9 +244,36 @@ class TestPublish:
         df = articles(spark).withColumn("split", F.lit("train"))
         assert full_refresh(df, target) == 3
         assert full_refresh(df.limit(2), target) == 2
-        back = spark.read.parquet(target)
+        back = read_current(spark, target)
         assert back.count() == 2 and back.where("loaded_at IS NULL").count() == 0
 
+    def test_a_failed_refresh_leaves_the_old_rows(self, spark, tmp_path):
+        target = str(tmp_path / "t")
+        df = articles(spark).withColumn("split", F.lit("train"))
+        with pytest.raises(FileNotFoundError):
+            read_current(spark, target)
+        full_refresh(df, target)
+        broken = df.withColumn("title", F.raise_error(F.lit("lost")).cast("string"))
+        with pytest.raises(Exception, match="lost"):
+            full_refresh(broken, target)
+        assert read_current(spark, target).count() == 3
+        # The table may be one of the inputs of its own refresh, and old versions go.
+        for _ in range(3):
+            full_refresh(read_current(spark, target).drop("loaded_at"), target)
+        assert read_current(spark, target).count() == 3
+        assert sum(name.startswith("version=") for name in os.listdir(target)) == 2
+
+    def test_runs_are_recorded(self, spark, tmp_path):
+        book = str(tmp_path / "runs")
+        with ledger.recorded(spark, book, "extract", "posts") as run:
+            run.rows = 7
+        with pytest.raises(KeyError), ledger.recorded(spark, book, "transform"):
+            raise KeyError("x")
+        rows = {r["stage"]: r for r in ledger.read_runs(spark, book).collect()}
+        assert (rows["extract"]["rows"], rows["extract"]["ok"], rows["extract"]["source"]) == (7, True, "posts")
+        assert (rows["transform"]["rows"], rows["transform"]["ok"]) == (None, False)
+        assert kpi.duration_alerts(ledger.read_runs(spark, book)).where("alert").count() == 0
+
 
 class _Session:
     """Stands in for a session with the given settings."""
