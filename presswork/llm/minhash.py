@@ -8,10 +8,11 @@ token names. Two documents at the wanted similarity thus keep meeting in one chi
 average, less similar ones part within a few levels. The members of a small node are compared
 exhaustively, larger nodes branch on, and independent trees are repeated until the recall is reached.
 
-Links are wanted for the classes that they form, so dense groups are joined first: tree by tree, a
-node's members are compared with one leader of theirs, and what links becomes one class. Only pairs
-in different classes are compared afterwards. A comparison estimates the similarity from the
-signatures, and confirms what may be similar on the full sets.
+Links are wanted for the classes that they form. A node's members are compared by their signatures
+first; the full sets of those that may be similar to one of another class then meet in the node's
+task, which confirms pairs until their classes have become one. So a dense
+group is not expanded into its pairs: a node gives at most one link per member. The first trees join
+the dense groups, and all trees then find what is left between different classes.
 """
 
 from __future__ import annotations
@@ -33,17 +34,19 @@ from presswork.session import materialize
 
 #: Words of a shingle, and the least similarity in hundredths.
 WIDTH, PERCENT = 4, 80
-#: Coordinates of a signature, trees, and the levels after which the rest is compared in full. A
-#: pair at the least similarity meets on the third level of a tree with a chance of 0.37, so 28
-#: trees miss it in two of a million cases; on the first level no pair is missed.
-COORDINATES, TREES, DEPTH = 64, 28, 8
+#: Coordinates of a signature, trees, and the levels after which the rest is cut into blocks. On the
+#: first level no pair is missed. A pair at the least similarity meets on the second level of a tree
+#: with a chance of 0.47, on the third with 0.37: 16 trees miss it in 4 or 60 of 100,000 cases.
+COORDINATES, TREES, DEPTH = 64, 16, 8
 #: Agreeing coordinates that a pair needs to be looked at in full. One at the least similarity has
 #: 51 on average; it has fewer than 33 in one of ten million cases.
 LEAST_AGREEING = 33
-#: The trees of each round of comparisons with leaders; a round without links is the last one.
-ROUNDS = ((0, 2), (2, 8), (8, TREES))
-#: A node is small while it has at most this many pairs of different classes per member.
-PAIRS_PER_MEMBER = 8
+#: The trees of each round; dense groups become one class in the first.
+ROUNDS = (2, TREES)
+#: A node is small up to this many documents and shingles: its comparisons are done in one task.
+NODE_DOCUMENTS, NODE_SHINGLES = 2_000, 4_000_000
+#: Comparisons of a member up to which each is done on its own.
+FEW = 8
 
 
 @cache
@@ -53,12 +56,13 @@ def _orders() -> tuple[np.ndarray, np.ndarray]:
 
 
 def chosen_at_root() -> list[tuple[int, int]]:
-    """(tree, coordinate) of all trees; a tree without any gets one."""
+    """(tree, coordinate) of all trees. A tree gets one at least, and no two get the same."""
     rng = random.Random(11)
     chance = 100 / (PERCENT * COORDINATES)
-    chosen = []
+    left, chosen = list(range(COORDINATES)), []
     for tree in range(TREES):
-        own = [c for c in range(COORDINATES) if rng.random() < chance] or [rng.randrange(COORDINATES)]
+        own = [c for c in left if rng.random() < chance] or [rng.choice(left)]
+        left = [c for c in left if c not in own]
         chosen += [(tree, c) for c in own]
     return chosen
 
@@ -110,99 +114,170 @@ def _full_sets(df: DataFrame, wanted: DataFrame, key: str, text: str) -> DataFra
     return named.dropDuplicates(["cid"])  # a row may stand in the input twice
 
 
-def _compared(pairs: DataFrame, columns: DataFrame, similar) -> DataFrame:
-    """The pairs (a, b, score) that ``similar`` finds in batches of two byte columns of theirs."""
-    first, second = columns.toDF("a", "left"), columns.toDF("b", "right")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            score = np.array([similar(x.as_buffer(), y.as_buffer()) for x, y in zip(*batch.columns[2:], strict=True)], np.int32)
-            kept = pa.array(np.flatnonzero(score >= 0))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(kept), batch.column(1).take(kept), pa.array(score).take(kept)],
-                names=["a", "b", "score"],
-            )
-
-    met = pairs.select("a", "b").join(first, "a").join(second, "b").select("a", "b", "left", "right")
-    return met.mapInArrow(run, "a long, b long, score int")
-
-
-def _agreeing(left: pa.Buffer, right: pa.Buffer) -> int:
-    equal = int((np.frombuffer(left, "<u4") == np.frombuffer(right, "<u4")).sum())
-    return equal if equal >= LEAST_AGREEING else -1
-
-
-def _similar(left: pa.Buffer, right: pa.Buffer) -> int:
-    x, y = np.frombuffer(left, np.uint64), np.frombuffer(right, np.uint64)
-    if 100 * min(len(x), len(y)) < PERCENT * max(len(x), len(y)):
-        return -1
-    both = len(np.intersect1d(x, y, assume_unique=True))
-    return both if 100 * both >= PERCENT * (len(x) + len(y) - both) else -1
+def _by_node(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[tuple[int, int]]]]:
+    """Rows sorted by their first column, with the stretches of equal ones, each whole."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        last = batch.column(0)[-1].as_py()
+        if held and held[-1].column(0)[-1].as_py() == last:
+            held.append(batch)
+            continue
+        yield from _stretches([*held, batch.slice(0, (cut := _last_start(batch)))])
+        held = [batch.slice(cut)]
+    yield from _stretches(held)
+
+
+def _last_start(batch: pa.RecordBatch) -> int:
+    nodes = batch.column(0).to_numpy(zero_copy_only=False)
+    return int(np.flatnonzero(nodes == nodes[-1])[0])
+
+
+def _stretches(parts: list[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[tuple[int, int]]]]:
+    for rows in pa.Table.from_batches(parts).combine_chunks().to_batches() if parts else []:
+        nodes = rows.column(0).to_numpy(zero_copy_only=False)
+        edges = [0, *(np.flatnonzero(np.diff(nodes)) + 1).tolist(), len(nodes)]
+        yield rows, list(zip(edges[:-1], edges[1:], strict=True))
+
+
+class _Node:
+    """The rows (node, cid, component, signature, coordinate, compared, ...) of some nodes."""
+
+    def __init__(self, rows: pa.RecordBatch):
+        self.keys, self.classes = (rows.column(k).to_numpy(zero_copy_only=False) for k in (1, 2))
+        self.signed = np.frombuffer(b"".join(rows.column(3).to_pylist()), "<u4").reshape(-1, COORDINATES)
+        self.coordinate = rows.column(4).to_numpy(zero_copy_only=False)
+        bits = rows.column(5).to_numpy(zero_copy_only=False)
+        self.compared = (bits[:, None] >> np.arange(COORDINATES)) & 1 != 0
+
+    def alike(self, low: int, high: int) -> Iterator[tuple[int, np.ndarray]]:
+        """Of each row from ``low``, the later rows up to ``high`` of other classes that may be
+        similar. A pair that meets in several small nodes of first levels counts in that of the
+        least coordinate only, and in no node below."""
+        for k in range(low, high - 1):
+            same = self.signed[k + 1 : high] == self.signed[k]
+            near = (same.sum(1) >= LEAST_AGREEING) & (self.classes[k + 1 : high] != self.classes[k])
+            if near.any():
+                at = np.flatnonzero(near)
+                met = same[at] & self.compared[k]
+                first = np.where(met.any(1), met.argmax(1), COORDINATES)
+                yield k, at[first == self.coordinate[k]] + k + 1
+
+
+def _alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The members that may be similar to one of another class in their node, by their signatures."""
+    for rows, nodes in _by_node(batches):
+        node, found = _Node(rows), np.zeros(rows.num_rows, bool)
+        for low, high in nodes:
+            for k, others in node.alike(low, high):
+                found[others] = True
+                found[k] |= len(others) > 0
+        yield rows.take(pa.array(np.flatnonzero(found)))
+
+
+class _Sets:
+    """The full sets of a node's members, and their overlaps."""
+
+    def __init__(self, column: pa.Array, low: int, high: int):
+        self.sets = [np.frombuffer(column[k].as_buffer(), np.uint64) for k in range(low, high)]
+        self.sizes = np.array([len(s) for s in self.sets])
+        self.owners: np.ndarray | None = None
+
+    def _overlaps(self, k: int) -> np.ndarray:
+        """Shingles that member ``k`` shares with each, by the lists of members of its shingles."""
+        if self.owners is None:
+            _, self.numbers = np.unique(np.concatenate(self.sets), return_inverse=True)
+            member = np.repeat(np.arange(len(self.sets)), self.sizes)
+            self.owners = member[np.argsort(self.numbers, kind="stable")]
+            self.ends = np.cumsum(np.bincount(self.numbers))
+            self.firsts = np.cumsum(self.sizes) - self.sizes
+        own = self.numbers[self.firsts[k] : self.firsts[k] + self.sizes[k]]
+        lists = [self.owners[self.ends[t - 1] if t else 0 : self.ends[t]] for t in own.tolist()]
+        return np.bincount(np.concatenate(lists), minlength=len(self.sets))
+
+    def similar(self, k: int, others: np.ndarray) -> np.ndarray:
+        """Which of the members ``others`` are similar to member ``k``, exactly."""
+        if len(others) > FEW:
+            met = self._overlaps(k)[others]
+        else:
+            met = np.array([len(np.intersect1d(self.sets[k], self.sets[o], assume_unique=True)) for o in others])
+        return 100 * met >= PERCENT * (self.sizes[k] + self.sizes[others] - met)
+
+
+def _links_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links that join the classes of each node: every pair that may be similar is compared on the
+    full sets, unless its two classes have become one meanwhile."""
+    for rows, nodes in _by_node(batches):
+        node, links = _Node(rows), []
+        for low, high in nodes:
+            sets, classes = _Sets(rows.column(6), low, high), node.classes[low:high].copy()
+            for k, others in node.alike(low, high):
+                own, others = k - low, others - low
+                others = others[classes[others] != classes[own]]
+                for other in others[sets.similar(own, others)].tolist() if len(others) else ():
+                    if classes[own] != classes[other]:
+                        classes[classes == classes[other]] = classes[own]
+                        links.append((int(node.keys[k]), int(node.keys[low + other])))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([link[k] for link in links], pa.int64()) for k in (0, 1)], names=["a", "b"]
+        )
 
 
 def _child(node: list[Column], coordinate: Column) -> Column:
     return F.xxhash64(*node, coordinate, F.substring("signature", coordinate * 4 + 1, F.lit(4)))
 
 
-def _roots_children(documents: DataFrame) -> DataFrame:
-    """(tree, node, cid) on the first level of all trees, without nodes of one document."""
-    chosen = F.array(*[F.struct(F.lit(t).alias("tree"), F.lit(c).alias("c")) for t, c in chosen_at_root()])
-    members = documents.select("cid", "signature", F.explode(chosen).alias("at")).select(
-        "cid", "at.tree", _child([F.col("at.tree")], F.col("at.c")).alias("node")
-    )
-    several = members.groupBy("node").agg(F.count("*").alias("n")).filter("n > 1").select("node")
-    return members.join(several, "node").select("tree", "node", "cid")
+def _sized(members: DataFrame) -> DataFrame:
+    """Members (node, cid, n) of nodes of two at least, with the node's size and shingles."""
+    sizes = members.groupBy("node").agg(F.count("*").alias("size"), F.sum("n").alias("weight"))
+    return members.join(sizes.filter("size > 1"), "node")
 
 
-def _children(members: DataFrame, documents: DataFrame) -> DataFrame:
-    """(node, cid) one level below the nodes of ``members``."""
+def _leaves(documents: DataFrame) -> DataFrame:
+    """(tree, coordinate, node, cid) of the small nodes of all trees. The coordinate is that of a
+    node on the first level, and :data:`COORDINATES` below."""
+    chosen = F.array(*[F.struct(F.lit(t).alias("tree"), F.lit(c).alias("c")) for t, c in chosen_at_root()])
+    members = documents.select("cid", "n", "signature", F.explode(chosen).alias("at")).select(
+        "at.tree", F.col("at.c").alias("coordinate"), "cid", "n", _child([F.col("at.tree")], F.col("at.c")).alias("node")
+    )
+    small = (F.col("size") <= NODE_DOCUMENTS) & (F.col("weight") <= NODE_SHINGLES)
     chance = int(1_000_000 * 100 / (PERCENT * COORDINATES))
     coordinates = F.filter(
         F.sequence(F.lit(0), F.lit(COORDINATES - 1)),
         lambda c: F.pmod(F.xxhash64("node", c, F.lit("chosen")), F.lit(1_000_000)) < chance,
     )
-    chosen = members.select("node", "cid", F.explode(coordinates).alias("c"))
-    signed = chosen.join(documents.select("cid", "signature"), "cid")
-    return signed.select(_child([F.col("node")], F.col("c")).alias("node"), "cid")
-
+    leaves, below = None, F.lit(COORDINATES).alias("coordinate")
+    for _ in range(DEPTH):
+        current = materialize(_sized(members), "tree-nodes")
+        found = current.filter(small).select("tree", "coordinate", "node", "cid")
+        leaves = found if leaves is None else leaves.union(found)
+        large = current.filter(~small)
+        if large.isEmpty():
+            return leaves
+        branches = large.select("tree", "node", "cid", "n", F.explode(coordinates).alias("c"))
+        members = branches.join(documents.select("cid", "signature"), "cid").select(
+            "tree", below, "cid", "n", _child([F.col("node")], F.col("c")).alias("node")
+        )
+    # What is still large is cut into blocks, and every two of its blocks make a node.
+    blocks = F.greatest(F.ceil(F.col("size") * 2 / NODE_DOCUMENTS), F.ceil(F.col("weight") * 2 / NODE_SHINGLES))
+    cut = _sized(members).withColumn("blocks", F.when(small, F.lit(1)).otherwise(blocks).cast("int"))
+    own = F.pmod(F.xxhash64("cid"), F.col("blocks"))
+    paired = cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    node = F.xxhash64("node", F.least(own, "other"), F.greatest(own, "other"))
+    return leaves.union(paired.select("tree", below, node.alias("node"), "cid"))
 
-def _with_classes(members: DataFrame, components: DataFrame) -> DataFrame:
-    """Members with their class and, per node, its size and pairs of different classes.
 
-    Nodes that lie in one class are left out. The nodes are counted by class first, so a node with
-    a third of all rows leaves each task as one row per class.
-    """
+def _open(members: DataFrame, components: DataFrame) -> DataFrame:
+    """Members, with their class, of the nodes that hold more than one class."""
     current = members.join(components, "cid")
-    per_class = current.groupBy("node", "component").agg(F.count("*").alias("n"))
-    sizes = (
-        per_class.groupBy("node")
-        .agg(F.sum("n").alias("size"), F.sum(F.col("n") * F.col("n")).alias("within"), F.count("*").alias("classes"))
-        .filter("classes > 1")
-        .select("node", "size", ((F.col("size") * F.col("size") - F.col("within")) / 2).alias("pairs"))
-    )
-    return current.join(sizes, "node")
-
-
-def _ordered(a: str, b: str) -> list[Column]:
-    return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
-
-
-def _leader_pairs(members: DataFrame) -> DataFrame:
-    """Each member with a leader of its node in another class."""
-    leaders = members.groupBy("node").agg(
-        F.min(F.struct(F.xxhash64("cid", "node"), "cid", "component")).alias("leader")
-    )
-    led = members.join(leaders, "node").filter("component <> leader.component")
-    return led.select("cid", F.col("leader.cid").alias("other")).distinct()
+    mixed = current.groupBy("node").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    return current.join(mixed.filter("low < high").select("node"), "node")
 
 
-def _all_pairs(members: DataFrame) -> DataFrame:
-    """All pairs of different classes in each node."""
-    left, right = (
-        members.select("node", F.col("cid").alias(s), F.col("component").alias(f"c{s}")) for s in ("x", "y")
-    )
-    met = left.join(right, "node").filter("x < y and cx <> cy")
-    return met.select(F.col("x").alias("a"), F.col("y").alias("b")).distinct()
+def _in_nodes(members: DataFrame) -> DataFrame:
+    """Members dealt out by node; nodes are small, so a task holds whole ones."""
+    return members.repartition("node").sortWithinPartitions("node")
 
 
 def _merged(components: DataFrame, links: DataFrame) -> DataFrame:
@@ -227,48 +302,27 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text") -> D
     documents = materialize(
         sets.filter("digest is not null and key is not null")
         .groupBy("digest")
-        .agg(F.min("key").alias("min_key"), F.min("signature").alias("signature"))
+        .agg(F.min("key").alias("min_key"), F.min("n").alias("n"), F.min("signature").alias("signature"))
         .withColumn("cid", F.monotonically_increasing_id()),
         "signed-documents",
     )
-    nodes = materialize(_roots_children(documents), "tree-nodes")
+    leaves = materialize(_leaves(documents.select("cid", "n", "signature")), "tree-leaves")
     signed = documents.select("cid", "signature")
-
-    def links(pairs: DataFrame) -> DataFrame:
-        ends = pairs.select(F.col("a").alias("cid")).union(pairs.select("b")).distinct()
-        wanted = materialize(
-            documents.select("cid", "digest", "min_key").join(ends, "cid", "left_semi"), "wanted-documents"
-        )
-        tokens = materialize(_full_sets(df, wanted, key, text), "full-sets")
-        return materialize(_compared(pairs, tokens, _similar).select("a", "b"), "links")
-
-    components = nodes.select("cid").distinct().select("cid", F.col("cid").alias("component"))
+    components = leaves.select("cid").distinct().select("cid", F.col("cid").alias("component"))
     components = materialize(components, "joined-classes")
-    for low, high in ROUNDS:
-        own = nodes.filter((F.col("tree") >= low) & (F.col("tree") < high)).select("node", "cid")
-        led = _leader_pairs(_with_classes(own, components)).toDF("a", "b")
-        likely = materialize(_compared(led, signed, _agreeing), "likely-pairs")
-        # One partner each: the most alike of the leaders that a document met.
-        best = likely.groupBy("a").agg(F.max_by("b", F.struct("score", "b")).alias("b"))
-        pairs = materialize(best.select(*_ordered("a", "b")).distinct(), "best-pairs")
-        between = links(pairs)
-        if between.isEmpty():
-            break
-        components = _merged(components, between)
-    members, found = nodes.select("node", "cid"), None
-    for depth in range(1, DEPTH + 1):
-        members = materialize(_with_classes(members, components), "open-nodes")
-        small = F.lit(depth == DEPTH) | (F.col("pairs") <= PAIRS_PER_MEMBER * F.col("size"))
-        pairs = _all_pairs(members.filter(small))
-        found = pairs if found is None else found.union(pairs)
-        large = members.filter(~small)
-        if large.isEmpty():
-            break
-        members = _children(large.select("node", "cid"), documents)
-    likely = materialize(_compared(found.distinct(), signed, _agreeing), "likely-pairs")
-    between = links(likely)
-    if not between.isEmpty():
-        components = _merged(components, between)
+    columns = "node cid component signature coordinate compared".split()
+    for trees in ROUNDS:
+        own = leaves.filter(F.col("tree") < trees).select("coordinate", "node", "cid")
+        first = F.when(F.col("coordinate") < COORDINATES, F.expr("shiftleft(1L, coordinate)")).otherwise(F.lit(0))
+        compared = own.groupBy("cid").agg(F.bit_or(first.cast("long")).alias("compared"))
+        members = _open(own, components).join(compared.join(signed, "cid"), "cid").select(*columns)
+        alike = materialize(_in_nodes(members).mapInArrow(_alike, members.schema), "alike-members")
+        wanted = documents.select("cid", "digest", "min_key").join(alike.select("cid").distinct(), "cid", "left_semi")
+        wanted = materialize(wanted, "wanted-documents")
+        dealt = _in_nodes(alike.join(_full_sets(df, wanted, key, text), "cid").select(*columns, "tokens"))
+        links = materialize(dealt.mapInArrow(_links_of, "a long, b long"), "links")
+        if not links.isEmpty():
+            components = _merged(components, links)
     keyed = components.join(documents.select("cid", "min_key"), "cid")
     smallest = keyed.groupBy("component").agg(F.min("min_key").alias("component_id"))
     least = keyed.join(smallest, "component").select("cid", "component_id")

@@ -24,9 +24,10 @@ def test_near_duplicates_equal_brute_force(spark, seed):
     assert as_rows(found) == sorted(expected(rows))
 
 
-def test_groups_of_copies_and_a_common_passage(spark, monkeypatch):
+@pytest.mark.parametrize("limit", [1000, 60])
+def test_groups_of_copies_and_a_common_passage(spark, monkeypatch, limit):
     """A dense group, a chain of small edits, and many texts that share a third of their words."""
-    monkeypatch.setattr(minhash, "PAIRS_PER_MEMBER", 1)  # nodes branch before they are compared
+    monkeypatch.setattr(minhash, "NODE_DOCUMENTS", limit)  # nodes branch, or are cut into blocks
     rng, rows = random.Random(9), []
     base = prose(rng, 100).split()
     for _ in range(250):
