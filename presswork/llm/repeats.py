@@ -30,6 +30,10 @@ from presswork.session import materialize
 MIN_WORDS = 12
 #: A line is cut before a word that is the least of this many on either side.
 RADIUS = 4
+#: Bits of the table that tells which units may repeat (8 MB, whatever the corpus).
+FILTER_BITS = 26
+#: Documents with repeats up to which their spans are sent to the texts.
+SENT_ROWS = 300_000
 _NO_ID = 2**63 - 1
 
 _UNITS = pa.schema(
@@ -68,7 +72,10 @@ def _characters(body: np.ndarray, bounds: np.ndarray, row: np.ndarray, at: np.nd
     return leads[at] - leads[bounds[row]]
 
 
-def _units_of(batches: Iterator[pa.RecordBatch], min_words: int) -> Iterator[pa.RecordBatch]:
+def _units_of(
+    batches: Iterator[pa.RecordBatch], min_words: int, wanted: np.ndarray | None = None
+) -> Iterator[pa.RecordBatch]:
+    """The units of a task's texts; with ``wanted`` only those whose hash has its bit there."""
     for rows, body, bounds in slices(batches, "text"):
         words = Words(body, bounds, letters_only=True)
         if not len(words):
@@ -98,7 +105,7 @@ def _units_of(batches: Iterator[pa.RecordBatch], min_words: int) -> Iterator[pa.
         own = np.zeros(len(first), bool)
         a, b = order[1:], order[:-1]
         own[a] = (row[a] == row[b]) & (h1[a] == h1[b]) & (h2[a] == h2[b])
-        values = [
+        columns = [
             rows.column(0).to_numpy(zero_copy_only=False)[row],
             rows.column(1).to_numpy(zero_copy_only=False)[row],
             number.astype(np.int32),
@@ -110,7 +117,13 @@ def _units_of(batches: Iterator[pa.RecordBatch], min_words: int) -> Iterator[pa.
             own,
             parts.astype(np.int32),
         ]
-        yield pa.RecordBatch.from_arrays([pa.array(v) for v in values], schema=_UNITS)
+        kept = slice(None) if wanted is None else _held(wanted, h1)
+        yield pa.RecordBatch.from_arrays([pa.array(v[kept]) for v in columns], schema=_UNITS)
+
+
+def _held(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    place = hashes >> np.uint64(64 - (len(bits) * 64).bit_length() + 1)
+    return (bits[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63))) & np.uint64(1) != 0
 
 
 def _sequence(hashes: np.ndarray, first: np.ndarray, salt: int) -> np.ndarray:
@@ -125,12 +138,12 @@ def _sequence(hashes: np.ndarray, first: np.ndarray, salt: int) -> np.ndarray:
 
 
 def units(
-    df: DataFrame, key: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS
+    df: DataFrame, key: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS, wanted=None
 ) -> DataFrame:
     """The units of every text: rank (its id; a null id comes last), text_key, unit, start, end
     (character offsets), words, two hashes, whether the text had the unit before, and line, which
     is 0. A line of fewer than ``min_words`` words has another row, where line counts its units and
-    unit is the first of them."""
+    unit is the first of them. ``wanted`` is a broadcast filter (:func:`_filter`) of their hashes."""
     rank = F.coalesce(F.col(f"`{key}`").cast("long"), F.lit(_NO_ID))
     source = df.select(
         rank.alias("rank"), F.xxhash64(f"`{text}`").alias("text_key"), F.col(f"`{text}`").alias("text")
@@ -139,7 +152,25 @@ def units(
         "rank long, text_key long, unit int, start int, end int, words int,"
         " h1 long, h2 long, own boolean, line int"
     )
-    return source.mapInArrow(lambda batches: _units_of(batches, min_words), schema)
+    return source.mapInArrow(
+        lambda batches: _units_of(batches, min_words, None if wanted is None else wanted.value), schema
+    )
+
+
+def _filter(repeated: DataFrame) -> np.ndarray:
+    """A bit table of fixed size with the bits of the hashes that occur.
+
+    It only spares units a way: the more hashes there are, the more others pass it, and the join
+    that follows tells them apart.
+    """
+    place = F.shiftrightunsigned("h1", 64 - FILTER_BITS)
+    rows = (
+        repeated.select(F.shiftright(place, 6).alias("word"), F.expr(f"shiftleft(1L, CAST(shiftrightunsigned(h1, {64 - FILTER_BITS}) & 63 AS INT))").alias("bit"))
+        .groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
+    )
+    table = np.zeros(1 << (FILTER_BITS - 6), np.int64)
+    table[np.asarray(rows.column("word"))] = np.asarray(rows.column("bits"))
+    return table.view(np.uint64)
 
 
 def repeated_spans(
@@ -151,23 +182,28 @@ def repeated_spans(
     text before, has as whole lines.
     ``first_rank`` is the smallest rank that holds the run's first unit. Rows with one id and one
     text are occurrences of the same rank: they are treated alike, and their runs are listed once.
-    A null or empty text has no units. The groups are reduced before the shuffle to their smallest
-    rank, so a unit that a third of all texts holds leaves each task as one row; the join back to
-    its occurrences is a sort-merge join that Spark splits where it is skewed.
+    A null or empty text has no units. Hashes are grouped in the tasks that made them before they
+    are shuffled, so a unit that a third of all texts holds leaves each task as one row; those that
+    repeat are written. The texts are then cut again, and only units that pass a bit table of the
+    repeated ones leave their task, so the many that occur once do not move. They meet the repeated
+    ones in a join that Spark splits where it is skewed.
     """
-    found = units(df, key, text, min_words)
-    dealt = found.repartition(F.col("h1"))
-    groups = (
-        dealt.groupBy("h1", "h2")
+    spark = df.sparkSession
+    groups = materialize(
+        units(df, key, text, min_words)
+        .groupBy("h1", "h2")
         .agg(
             F.min("rank").alias("first_rank"),
             F.max("rank").alias("last_rank"),
             F.max("own").alias("any_own"),
         )
         .filter("first_rank < last_rank or any_own")
-        .select("h1", "h2", "first_rank")
+        .select("h1", "h2", "first_rank"),
+        "repeated-units",
     )
-    repeats = dealt.join(groups, ["h1", "h2"]).filter("rank > first_rank or own")
+    wanted = spark.sparkContext.broadcast(_filter(groups))
+    found = units(df, key, text, min_words, wanted)
+    repeats = found.join(groups, ["h1", "h2"]).filter("rank > first_rank or own")
     # The units of a repeated line are repeats as well, so the line itself only marks them.
     marked = repeats.select(
         "rank", "text_key", F.explode(F.expr("sequence(unit, unit + greatest(line, 1) - 1)")).alias("unit"),
@@ -216,12 +252,17 @@ def without_repeats(
     """``df`` with the repeated runs cut out of its texts; what stood around a run stays.
 
     All rows and columns stay, also where a text becomes empty; a null text stays null. Spans are
-    written first, and texts meet them by id and text hash: most rows have none.
+    written first, and texts meet them by id and text hash. The spans of up to :data:`SENT_ROWS`
+    documents, counted first, go to the texts; beyond, both are shuffled by id.
     """
     spans = materialize(repeated_spans(df, key, text, min_words), "repeated-spans")
-    cut = spans.groupBy("rank", "text_key").agg(
-        F.array_sort(F.collect_list(F.struct("span_start", "span_end"))).alias("spans")
+    cut = materialize(
+        spans.groupBy("rank", "text_key").agg(
+            F.array_sort(F.collect_list(F.struct("span_start", "span_end"))).alias("spans")
+        ),
+        "document-spans",
     )
+    cut = F.broadcast(cut) if cut.count() <= SENT_ROWS else cut
     rank = F.coalesce(F.col(f"`{key}`").cast("long"), F.lit(_NO_ID))
     rows = df.select(  # the row as one column, whatever its own columns are called
         F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"),
