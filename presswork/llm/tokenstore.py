@@ -15,9 +15,11 @@ twice, leaves the same files.
 from __future__ import annotations
 
 import io
+import json
 import os
 import re
 import uuid
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 from zlib import crc32
@@ -30,9 +32,10 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from presswork.llm.frames import prepare, read
+from presswork.llm.frames import prepare, read, slices
 from presswork.llm.words import mix
 from presswork.session import materialize, scratch_root
+from presswork.sources.files import qualified
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 END_ID = 1
@@ -40,10 +43,20 @@ END_ID = 1
 BUCKET_KEYS = 50_000
 #: Bits per key on a level of the hash, and levels before the last, which is a sorted list.
 GAMMA, LEVELS = 2.0, 24
-_KEPT_WORDS = 300_000
+_KEPT_WORDS = 500_000
 #: Unlike ``str.split``, the tokenizer takes these four control characters for text.
 _CONTROL = re.compile("[\x1c-\x1f]").search
 _WORDS = re.compile(r"(?:[^\s]|[\x1c-\x1f])+").findall
+# --- Fixed values: how the vocabulary's tokenizer cuts texts, and the same for Latin letters -----
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_LETTERS = "a-zA-Z\u00aa\u00b5\u00ba\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
+_NUMBERS = "0-9\u00b2\u00b3\u00b9\u00bc-\u00be"
+# ------------------------------------------------------------------------------------------------
+_PIECES = re.compile(
+    rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[{_NUMBERS}]|[^\s{_LETTERS}{_NUMBERS}]+"
+).findall
+#: Characters beyond Latin letters, or of which ``\s`` tells something else than the tokenizer.
+_UNUSUAL = re.compile("[^\x00-\x1b\x20-\u024f]").search
 
 
 def id_type(vocabulary: int) -> str:
@@ -51,10 +64,12 @@ def id_type(vocabulary: int) -> str:
 
 
 class WordIds(dict):
-    """Ids of words between white space, encoded by the tokenizers library when first met.
+    """Ids of words and pieces of words, encoded by the tokenizers library when first met.
 
-    The tokenizer drops white space and merges within words only, so the ids of a text are those of
-    its words in turn. Full, the words move to an older generation, and come back when used.
+    The tokenizer drops white space and merges within pieces only, so the ids of a text are those of
+    its words in turn. Texts in Latin letters are cut into the tokenizer's own pieces, in small
+    letters as it makes them: of these there are fewer than of words with their signs. Full, the
+    words move to an older generation, and come back when used.
     """
 
     def __init__(self, definition: str):
@@ -64,8 +79,13 @@ class WordIds(dict):
 
         super().__init__()
         self.tool = Tokenizer.from_str(definition)
-        self.tool.encode_special_tokens = True
+        self.encode = getattr(self.tool, "encode_batch_fast", self.tool.encode_batch)
         self.kind = id_type(self.tool.get_vocab_size())
+        made = json.loads(definition)
+        steps = [step.get("type") for step in (made.get("normalizer") or {}).get("normalizers", [])]
+        cuts = (made.get("pre_tokenizer") or {}).get("pretokenizers", [{}])
+        own = cuts[0].get("pattern", {}).get("Regex")
+        self.pieces = steps == ["NFC", "Replace", "Lowercase"] and own == PATTERN
         self.older: dict[str, bytes] = {}
 
     def learn(self, words: set[str]) -> None:
@@ -77,19 +97,26 @@ class WordIds(dict):
             new = list(words)
         self.update((w, self.older[w]) for w in new if w in self.older)
         new = [w for w in new if w not in self]
-        found = self.tool.encode_batch(new, add_special_tokens=False)
-        self.update((w, np.array(e.ids, self.kind).tobytes()) for w, e in zip(new, found, strict=True))
-
-    def packed(self, text: str) -> bytes:
-        """Ids of a whole text, in the store's width."""
-        words = self.split(text)
-        try:
-            return b"".join(map(self.__getitem__, words))
-        except KeyError:
-            self.learn(set(words))
-            return b"".join(map(self.__getitem__, words))
+        found = self.encode(new, add_special_tokens=False)
+        kind = "H" if self.kind == "<u2" else "I"
+        self.update((w, array(kind, e.ids).tobytes()) for w, e in zip(new, found, strict=True))
+
+    def packed(self, texts: list[str]) -> list[bytes]:
+        """Ids of whole texts, in the store's width; new words of all of them are encoded at once."""
+        split, packed = [self.split(text) for text in texts], []
+        for k, words in enumerate(split):
+            try:
+                packed.append(b"".join(map(self.__getitem__, words)))
+            except KeyError:
+                self.learn(set().union(*split[k:]))
+                packed.append(b"".join(map(self.__getitem__, words)))
+        return packed
 
     def split(self, text: str) -> list[str]:
+        if self.pieces and "<|" not in text:  # a special token is told by its letters
+            small = text.lower()
+            if not _UNUSUAL(small):
+                return _PIECES(small)
         return _WORDS(text) if _CONTROL(text) else text.split()
 
 
@@ -99,9 +126,7 @@ def _word_ids(definition: str) -> WordIds:
 
 
 def _open(path: str) -> tuple[fs.FileSystem, str]:
-    return fs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (
-        fs.LocalFileSystem(), path
-    )
+    return fs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
 
 
 def _publish(folder: str, name: str, body: bytes) -> None:
@@ -197,14 +222,16 @@ def write_store(
 ) -> DataFrame:
     """Encode the texts and write shards and index; returns the catalogue of the documents.
 
-    The catalogue has key, shard, offset (of ids within the shard), n and start (ids before the
-    document over all shards). Texts are dealt out once, by ranges of keys that Spark's range
-    partitioner balances, and each range becomes a shard in the task that encodes it; only the
-    shards' sizes come to the driver. A null text counts as empty; every text has ``end_id`` after
-    it. A row without a key cannot be asked for and is not stored; of rows that repeat a key, the
-    one whose text sorts first is stored.
+    The catalogue has key, number, shard, offset (of ids within the shard), n and start (ids before
+    the document over all shards). Texts are dealt out once, by ranges of key and text hash that
+    Spark's range partitioner balances, and each range becomes a shard in the task that encodes it;
+    only a few values per shard come to the driver. A null text counts as empty; every text has
+    ``end_id`` after it. Every row is stored, nulls among the keys first. Rows that repeat a key
+    follow each other, by text hash, and ``number`` counts them from 0; a key with a third of all
+    rows is spread over shards by the rows' place in the input.
     """
     spark = df.sparkSession
+    folder = qualified(spark, folder)
     with open(vocabulary, encoding="utf-8") as file:
         definition = spark.sparkContext.broadcast(file.read())
     width = 2 if _word_ids(definition.value).kind == "<u2" else 4
@@ -218,58 +245,59 @@ def write_store(
         shard = TaskContext.get().partitionId()
         store, root = _open(folder)
         store.create_dir(root, recursive=True)
-        draft, at, last = f"{root}/.ids-{shard:05d}-{uuid.uuid4().hex}", 0, None
+        draft, at, last, number, some = f"{root}/.ids-{shard:05d}-{uuid.uuid4().hex}", 0, None, 0, False
         with store.open_output_stream(draft) as out:
-            for batch in batches:
-                keys, lengths = [], []
-                for own, value in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                    if own == last:
-                        continue
-                    body = tool.packed(value.as_py() or "") + end
+            for batch, _, _ in slices(batches, "text"):
+                keys, numbers = batch.column(0).to_pylist(), []
+                bodies = [b + end for b in tool.packed(batch.column(1).fill_null("").to_pylist())]
+                for own in keys:
+                    number = number + 1 if some and own == last else 0
+                    last, some = own, True
+                    numbers.append(number)
+                for body in bodies:
                     out.write(body)
-                    keys.append(own)
-                    lengths.append(len(body) // width)
-                    last = own
-                sizes = np.array(lengths, np.int64)
+                sizes = np.array([len(b) // width for b in bodies], np.int64)
                 offsets = at + np.cumsum(sizes) - sizes
                 at += int(sizes.sum())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys, pa.int64()), pa.array(np.full(len(sizes), shard, np.int32)),
-                     pa.array(offsets), pa.array(sizes)],
-                    names=["key", "shard", "offset", "n"],
+                    [pa.array(keys, pa.int64()), pa.array(numbers, pa.int64()),
+                     pa.array(np.full(len(sizes), shard, np.int32)), pa.array(offsets), pa.array(sizes)],
+                    names=["key", "number", "shard", "offset", "n"],
                 )
-        if last is None:
-            store.delete_file(draft)
-        else:
+        if some:
             store.move(draft, f"{root}/ids-{shard:05d}.bin")
+        else:
+            store.delete_file(draft)
 
     ordered = (
         df.select(F.col(f"`{key}`").cast("long").alias("key"), F.col(f"`{text}`").alias("text"))
-        .filter("key is not null")
-        .repartitionByRange(parts, "key")
-        .sortWithinPartitions("key", "text")
+        .withColumn("hash", F.xxhash64("text"))
+        .withColumn("place", F.monotonically_increasing_id())
+        .repartitionByRange(parts, "key", "hash", "place")
+        .sortWithinPartitions("key", "hash", "place")
+        .select("key", "text")
     )
-    catalogue = materialize(
-        ordered.mapInArrow(shards, "key long, shard int, offset long, n long"), "token-catalogue"
+    written = materialize(
+        ordered.mapInArrow(shards, "key long, number long, shard int, offset long, n long"), "token-catalogue"
     )
-    totals = catalogue.groupBy("shard").agg(F.sum("n").alias("n")).orderBy("shard").collect()
-    starts, at = [], 0
-    for row in totals:
-        starts.append((row["shard"], at))
-        at += row["n"]
-    before = spark.createDataFrame(starts, "shard int, before long")
-    catalogue = catalogue.join(F.broadcast(before), "shard").select(
-        "key", "shard", "offset", "n", (F.col("before") + F.col("offset")).alias("start")
-    )
-    buckets = max(1, -(-catalogue.count() // BUCKET_KEYS))
+    before = spark.createDataFrame(_before(written), "shard int, before long, first long, earlier long")
+    same = F.col("key").eqNullSafe(F.col("first"))
+    catalogue = written.join(F.broadcast(before), "shard").select(
+        "key", (F.col("number") + F.when(same, F.col("earlier")).otherwise(0)).alias("number"),
+        "shard", "offset", "n", (F.col("before") + F.col("offset")).alias("start"),
+    )
+    buckets = max(1, -(-written.count() // BUCKET_KEYS))
 
     def index(group: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        columns = [rows[c].to_numpy() for c in ("key", "shard", "offset", "n")]
+        columns = [rows[c].to_numpy() for c in ("address", "shard", "offset", "n")]
+        if len(np.unique(columns[0])) < len(rows):
+            raise ValueError("two rows have one address: write the store with another ADDRESS_SEED")
         _publish(folder, f"index-{int(group[0]):05d}.bin", bucket_bytes(*columns))
         return pd.DataFrame({"bucket": [int(group[0])], "keys": [len(rows)]})
 
     written = (
-        catalogue.withColumn("bucket", _bucket("key", buckets))
+        catalogue.select(_address().alias("address"), "shard", "offset", "n")
+        .withColumn("bucket", _bucket("address", buckets))
         .groupBy("bucket")
         .applyInPandas(index, "bucket int, keys long")
     )
@@ -278,44 +306,88 @@ def write_store(
     return catalogue
 
 
+def _before(written: DataFrame) -> list[tuple]:
+    """(shard, ids before it, its first key, rows of that key in earlier shards), one per shard."""
+    totals = (
+        written.groupBy("shard")
+        .agg(
+            F.sum("n").alias("n"),
+            F.min_by("key", "offset").alias("first"),
+            F.max_by(F.struct("key", "number"), "offset").alias("last"),
+        )
+        .orderBy("shard")
+    )
+    found, at, held, count = [], 0, None, 0
+    for row in totals.collect():
+        earlier = count if found and row["first"] == held else 0
+        found.append((row["shard"], at, row["first"], earlier))
+        at += row["n"]
+        last = row["last"]
+        count = last["number"] + 1 + (earlier if last["key"] == row["first"] else 0)
+        held = last["key"]
+    return found
+
+
+#: Changes the addresses of rows that repeat a key.
+ADDRESS_SEED = 0
+
+
+def _address():
+    """Key of a row in the index: its own key, or a hash where that is null or not the first."""
+    further = F.xxhash64(F.col("key").isNull(), "key", "number", F.lit(ADDRESS_SEED))
+    return F.when(F.col("key").isNotNull() & (F.col("number") == 0), F.col("key")).otherwise(further)
+
+
 def _bucket(key: str, buckets: int):
     return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
 
 
-def lookup(keys: DataFrame, folder: str) -> DataFrame:
-    """(key, shard, offset, n) of the keys that the store has, by its index alone.
+def numbered(keys: DataFrame) -> DataFrame:
+    """(key, number) of all rows of a table with these keys, from the keys' counts."""
+    counts = keys.groupBy("key").agg(F.count("*").alias("rows"))
+    block, size = F.explode(F.expr(f"sequence(0L, (rows - 1) DIV {BUCKET_KEYS})")), F.lit(BUCKET_KEYS)
+    blocks = counts.select("key", "rows", block.alias("block"))
+    last = F.least(F.col("rows"), (F.col("block") + 1) * size) - 1
+    return blocks.select("key", F.explode(F.sequence(F.col("block") * size, last)).alias("number"))
+
+
+def lookup(rows: DataFrame, folder: str) -> DataFrame:
+    """(key, number, shard, offset, n) of the rows (key, number) that the store has, by its index
+    alone. Without a column ``number`` the first row of each key is meant.
 
-    Keys go to the task of their bucket, which reads one index file.
+    Rows go to the task of their bucket, which reads one index file.
     """
-    buckets = keys.sparkSession.read.json(f"{folder}/meta").first()["buckets"]
+    keys = rows if "number" in rows.columns else rows.where("key is not null").withColumn("number", F.lit(0))
+    folder = qualified(rows.sparkSession, folder)
+    buckets = rows.sparkSession.read.json(f"{folder}/meta").first()["buckets"]
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, root = _open(folder)
         number, bucket = -1, None
         for batch in batches:
-            own = batch.column(0).to_numpy(zero_copy_only=False)
-            groups = batch.column(1).to_numpy(zero_copy_only=False)
+            own = batch.column(2).to_numpy(zero_copy_only=False)
+            groups = batch.column(3).to_numpy(zero_copy_only=False)
             for low, high in _stretches(groups):
                 if groups[low] != number:
                     number = int(groups[low])
                     with store.open_input_stream(f"{root}/index-{number:05d}.bin") as file:
                         bucket = Bucket(file.read())
-                part = own[low:high]
-                there, at = bucket.find(part)
-                at = at[there]
+                there, at = bucket.find(own[low:high])
+                at, rows = at[there], batch.slice(low, high - low).take(pa.array(np.flatnonzero(there)))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(part[there]), pa.array(bucket.shard[at]), pa.array(bucket.offset[at]),
-                     pa.array(bucket.n[at])],
-                    names=["key", "shard", "offset", "n"],
+                    [rows.column(0), rows.column(1), pa.array(bucket.shard[at]),
+                     pa.array(bucket.offset[at]), pa.array(bucket.n[at])],
+                    names=["key", "number", "shard", "offset", "n"],
                 )
 
     dealt = (
-        keys.filter("key is not null")
-        .select(F.col("key").cast("long"), _bucket("key", buckets).alias("bucket"))
+        keys.select(F.col("key").cast("long"), F.col("number").cast("long"))
+        .withColumn("address", _address())
+        .withColumn("bucket", _bucket("address", buckets))
         .repartition("bucket")
         .sortWithinPartitions("bucket")
     )
-    return dealt.mapInArrow(find, "key long, shard int, offset long, n long")
+    return dealt.mapInArrow(find, "key long, number long, shard int, offset long, n long")
 
 
 def _stretches(values: np.ndarray) -> Iterator[tuple[int, int]]:
@@ -328,6 +400,7 @@ def read_store(places: DataFrame, folder: str) -> DataFrame:
 
     The ids come back as little-endian 32-bit integers, whatever the width in the store.
     """
+    folder = qualified(places.sparkSession, folder)
     width = places.sparkSession.read.json(f"{folder}/meta").first()["width"]
 
     def load(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -348,7 +421,9 @@ def read_store(places: DataFrame, folder: str) -> DataFrame:
                     names=["key", "shard", "offset", "ids"],
                 )
 
-    dealt = places.repartition("shard").sortWithinPartitions("shard", "offset")
+    dealt = (
+        places.select("key", "shard", "offset", "n").repartition("shard").sortWithinPartitions("shard", "offset")
+    )
     return dealt.mapInArrow(load, "key long, shard int, offset long, ids binary")
 
 
@@ -385,7 +460,7 @@ def op5_token_store(spark: SparkSession, folder: str) -> DataFrame:
     documents = read(spark, folder, "documents")
     target = f"{scratch_root(spark)}/presswork/token-store-{uuid.uuid4().hex}"
     write_store(documents, target)
-    places = lookup(documents.select(F.col("doc_id").alias("key")).distinct(), target)
+    places = lookup(numbered(documents.select(F.col("doc_id").cast("long").alias("key"))), target)
     found = materialize(digests(read_store(places, target)), "token-digests")
     return found.join(F.broadcast(shard_starts(found)), "shard").select(
         F.col("key").alias("doc_id"),

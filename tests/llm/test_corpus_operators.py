@@ -194,6 +194,29 @@ def test_short_lines_are_cut_but_not_short_fragments(spark):
     assert cut[0] == texts[0] and cut[40] == texts[40] and cut[41] == "unlike\n\nother\n!"
 
 
+@pytest.mark.parametrize("bits", [26, 6])
+def test_repeated_lines_equal_brute_force(spark, monkeypatch, bits):
+    """Lines drawn from a pool: each stays where it comes first, also if the bit table is crowded."""
+    monkeypatch.setattr(repeats, "FILTER_BITS", bits)
+    prepare(spark)
+    rng = random.Random(31)  # lines too long to be equal to a piece of another one
+    pool = [prose(rng, rng.choice([8, 11, 12, 40])) for _ in range(150)]
+    rows = [(k, "\n".join(rng.choice([line, line.upper()]) for line in rng.choices(pool, k=rng.choice([0, 1, 4, 9])))) for k in range(200)]
+    seen, expected = set(), {}
+    for k, text in rows:
+        kept = []
+        for line in text.split("\n"):
+            words = re.findall(r"[a-z0-9]+", line.lower())
+            if words and tuple(words) not in seen:
+                kept.append(words)
+            seen.add(tuple(words))
+        expected[k] = kept
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
+    found = {r["doc_id"]: r["text"] for r in repeats.without_repeats(df).collect()}
+    lines = {k: [w for line in t.split("\n") if (w := re.findall(r"[a-z0-9]+", line.lower()))] for k, t in found.items()}
+    assert lines == expected
+
+
 # --- Token store ------------------------------------------------------------------------------
 def test_perfect_hash_is_minimal_and_tells_strangers():
     keys = np.unique(np.random.default_rng(2).integers(-(2**62), 2**62, 20_000))
@@ -208,27 +231,42 @@ def test_perfect_hash_is_minimal_and_tells_strangers():
     assert tokenstore.PerfectHash.build(np.array([5])).slots(np.array([5])).tolist() == [0]
 
 
-def test_store_gives_back_what_the_tokenizer_makes(spark):
+def rough_store(spark):
+    more = [(11, "a <|endoftext|> b<|startoftext|>", "x", "x", 1), (11, "A <|ENDOFTEXT|> É", "x", "x", 1), (5, "other", "x", "x", 1)]
+    more += [(12, f"copy {k % 3}", "x", "x", 1) for k in range(200)] + [(None, "copy", "x", "x", 1)]
+    df = documents(spark)
+    return df.union(spark.createDataFrame(more, df.schema)).repartition(5)
+
+
+def test_store_gives_back_every_row(spark, monkeypatch):
     from tokenizers import Tokenizer
 
     prepare(spark)
-    df = documents(spark).withColumnRenamed("lang", "key").withColumnRenamed("source", "shard")
+    monkeypatch.setattr(tokenstore, "BUCKET_KEYS", 30)
+    df = rough_store(spark).withColumnRenamed("lang", "key").withColumnRenamed("source", "shard")
     folder = f"{scratch_root(spark)}/store-{random.random()}"
-    catalogue = tokenstore.write_store(df, folder)
-    asked = spark.createDataFrame([(k,) for k in [*range(1, 11), 77, None]], "key long")
-    found = tokenstore.digests(tokenstore.read_store(tokenstore.lookup(asked, folder), folder)).toPandas()
+    catalogue = tokenstore.write_store(df, folder).toPandas()
+    keys = df.select(F.col("doc_id").alias("key"))
+    places = tokenstore.lookup(tokenstore.numbered(keys), folder)
+    found = tokenstore.digests(tokenstore.read_store(places, folder)).toPandas()
     tool = Tokenizer.from_file(tokenstore.VOCABULARY)
-    tool.encode_special_tokens = True
-    texts, at = {}, 0
-    for row in df.orderBy("doc_id", "text").collect():
-        if row["doc_id"] is not None:
-            texts.setdefault(row["doc_id"], row["text"] or "")
-    starts = {r["key"]: r["start"] for r in catalogue.collect()}
-    assert sorted(found["key"]) == sorted(texts) == sorted(starts)
-    for row in found.sort_values("key").itertuples():
-        ids = [*tool.encode(texts[row.key], add_special_tokens=False).ids, 1]
-        assert (row.n, row.crc, starts[row.key]) == (len(ids), crc32(np.array(ids, "<u4").tobytes()), at)
-        at += len(ids)
+    expected = []
+    for row in df.collect():
+        ids = [*tool.encode(row["text"] or "", add_special_tokens=False).ids, 1]
+        expected.append((row["doc_id"], len(ids), crc32(np.array(ids, "<u4").tobytes())))
+    order = lambda r: (r[0] is not None, r[0] or 0, *r[1:])
+    rows = [(None if pd.isna(r.key) else int(r.key), r.n, r.crc) for r in found.itertuples()]
+    assert sorted(rows, key=order) == sorted(expected, key=order)
+    # Files hold the rows by ascending key, one after the other.
+    laid = catalogue.sort_values("start")
+    assert (laid["start"].to_numpy()[1:] == (laid["start"] + laid["n"]).to_numpy()[:-1]).all() and laid["start"].min() == 0
+    ids = [None if pd.isna(k) else int(k) for k in laid["key"]]
+    assert ids == sorted(ids, key=lambda k: (k is not None, k or 0))
+    assert not laid.assign(key=laid["key"].fillna(-1)).duplicated(["key", "number"]).any()
+    strangers = spark.createDataFrame([(77, 0), (12, 200), (None, 9)], "key long, number long")
+    assert tokenstore.lookup(strangers, folder).count() == 0
+    firsts = tokenstore.lookup(spark.createDataFrame([(12,), (None,), (78,)], "key long"), folder).collect()
+    assert [(r["key"], r["number"]) for r in firsts] == [(12, 0)]
 
 
 def test_empty_store(spark):
@@ -236,6 +274,9 @@ def test_empty_store(spark):
     assert tokenstore.write_store(documents(spark).limit(0), folder).count() == 0
 
 
+LETTERS = "aZ's'tré'llÀÿß²½1 9\n\t\xa0\x85_-.,!?\"İſȺŉǅªµºK\x1c\x00"
+
+
 def test_words_are_kept_within_bounds(monkeypatch):
     from tokenizers import Tokenizer
 
@@ -244,10 +285,12 @@ def test_words_are_kept_within_bounds(monkeypatch):
         words = tokenstore.WordIds(file.read())
     tool = Tokenizer.from_file(tokenstore.VOCABULARY)
     rng = random.Random(9)
-    for _ in range(60):
-        text = prose(rng, 30) + " \x1c é x <|endoftext|>"
-        tool.encode_special_tokens = True
-        assert np.frombuffer(words.packed(text), words.kind).tolist() == tool.encode(text, add_special_tokens=False).ids
+    for _ in range(30):
+        tails = [" \x1c é x <|endoftext|>", " ÉÀ İ ß", " <|EndOfText|>y", " UPPER Case's", ""]
+        texts = [prose(rng, 30) + rng.choice(tails) for _ in range(4)]
+        texts += ["".join(rng.choice(LETTERS) for _ in range(60)) for _ in range(60)]
+        for text, body in zip(texts, words.packed(texts), strict=True):
+            assert np.frombuffer(body, words.kind).tolist() == tool.encode(text, add_special_tokens=False).ids
 
 
 # --- Nearest neighbours -----------------------------------------------------------------------
