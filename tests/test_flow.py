@@ -8,6 +8,7 @@ from datetime import UTC, datetime
 import pytest
 
 from presswork import schemas as S
+from presswork.operators.publish import read_current
 from presswork.plans import flow, report
 from presswork.sources import readers
 
@@ -109,7 +110,7 @@ def test_load(spark, run):
     target = str(run["root"] / "articles")
     assert flow.load_articles(spark, run["corrected"], target) == 30
     assert flow.load_articles(spark, run["corrected"], target) == 30
-    table = spark.read.parquet(target)
+    table = read_current(spark, target)
     assert table.count() == 30 and table.select("id").distinct().count() == 30
 
 
