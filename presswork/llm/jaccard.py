@@ -5,11 +5,12 @@ among the first ``n - ceil(t n) + 1`` of each, so only those prefixes are indexe
 pairs the global order is cut into fragments; each fragment gives the overlap of the two sets within
 it, and the sum over the fragments is the size of the intersection.
 
-Links are wanted for the classes that they form, so equal sets are one node from the start, and a
-group of thousands of near copies is not expanded into all its pairs: in rounds, each posting list
-of the index proposes links between one member and the others; whatever is linked becomes one
-class. What is proposed last are all pairs of a posting list that still lie in different classes,
-so no link between classes is lost.
+Links are wanted for the classes that they form, so equal sets are one node from the start. Most
+posting lists are short: their pairs are counted, and a pair whose count leaves no room for enough
+overlap goes no further. Long lists are not expanded into all their pairs: in rounds, a few members
+of each are compared with the others, and whatever is linked becomes one class. Lists that still
+hold many classes are split by the second shingle that a similar pair must have in common, and the
+pairs of those lists that lie in different classes come last. So no link between classes is lost.
 """
 
 from __future__ import annotations
@@ -36,9 +37,13 @@ COUNT_BITS = 23
 _PACK = 1 << 31
 #: Shingles that a task counts at a time.
 _CHUNK = 4_000_000
-#: Rounds of proposals by a few members per list, three times as many each time, before all
-#: remaining pairs. They end early once those pairs are no more than a few per entry of the lists.
-ROUNDS, LEADERS, FEW = 4, 4, 4
+#: Members up to which a posting list is short, and all its pairs are counted.
+SHORT = 8
+#: Rounds of proposals by a few members per long list, three times as many each time, before the
+#: lists are split. They end early once all pairs are no more than a few per entry of the lists.
+ROUNDS, LEADERS, FEW = 2, 4, 4
+#: Shingles of the prefix, of a set of ``n``.
+_INDEXED = f"cast(n - (n * {PERCENT} + 99) div 100 + 1 as int)"
 
 
 def shingle_counts(df: DataFrame, text: str = "text") -> DataFrame:
@@ -99,7 +104,10 @@ def _prefix(n: int) -> int:
 
 
 def shingle_sets(df: DataFrame, levels, key: str, text: str) -> DataFrame:
-    """Per row: key, n (size of its set), digest (of the set, null if empty), prefix."""
+    """Per row: key, n (size of its set), digest (of the set, null if empty), prefix.
+
+    The prefix holds one shingle more than is indexed, for the lists that are split by a second one.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = levels.value
@@ -111,7 +119,7 @@ def shingle_sets(df: DataFrame, levels, key: str, text: str) -> DataFrame:
                 own = np.sort(values[low:high])
                 some = high > low
                 digests.append(blake2b(own.tobytes(), digest_size=16).digest() if some else None)
-                prefixes.append(own[: _prefix(high - low)] if some else own)
+                prefixes.append(own[: _prefix(high - low) + 1] if some else own)
             sizes = np.cumsum([0, *map(len, prefixes)], dtype=np.int32)
             flat = pa.array(np.concatenate(prefixes))
             yield pa.RecordBatch.from_arrays(
@@ -168,23 +176,72 @@ def _segments(df: DataFrame, wanted: DataFrame, levels, pivots: list[int], key:
     return named.dropDuplicates(["cid", "fragment"])  # a row may stand in the input twice
 
 
+def _enough(most: Column, both: Column) -> Column:
+    """Whether an overlap of ``most`` makes sets with ``both`` shingles, added up, similar."""
+    return most * (100 + PERCENT) >= PERCENT * both
+
+
+def _beyond(n: Column) -> Column:
+    """Shingles of a set of ``n`` beyond its prefix."""
+    return F.ceil(n * PERCENT / 100) - 1
+
+
+def _short_pairs(lists: DataFrame, entries: DataFrame) -> DataFrame:
+    """(a, b, both) of the pairs in short lists that can be similar; ``both`` adds their sizes.
+
+    A pair's overlap is what the prefixes share and, at most, all of one set beyond its prefix. The
+    prefixes share what the short lists count, and in long lists as much as the one with fewer entries.
+    """
+    kept = ["a", "b", "small", "large", "room"]
+    two = lists.filter("members = 2").select(
+        "a", "b",
+        F.least(_n("low"), _n("high")).alias("small"), F.greatest(_n("low"), _n("high")).alias("large"),
+        _room(_n("low"), _place("low"), _n("high"), _place("high")).alias("room"),
+    )
+    short = entries.filter(F.col("members") <= SHORT)
+    x, y = (short.select("token", *[F.col(c).alias(f"{s}_{c}") for c in ("cid", "n", "place")]) for s in "xy")
+    several = x.join(y, "token").filter("x_cid < y_cid").select(
+        F.col("x_cid").alias("a"), F.col("y_cid").alias("b"),
+        F.least("x_n", "y_n").alias("small"), F.greatest("x_n", "y_n").alias("large"),
+        _room(*map(F.col, ("x_n", "x_place", "y_n", "y_place"))).alias("room"),
+    )
+    counted = (
+        two.select(*kept).union(several.select(*kept))
+        .filter(F.col("small") * 100 >= PERCENT * F.col("large"))
+        .groupBy("a", "b", "small", "large")
+        .agg(F.count("*").alias("met"), F.max("room").alias("room"))
+        .filter("room")
+    )
+    both = F.col("small") + F.col("large")
+    long = materialize(
+        entries.filter(F.col("members") > SHORT).groupBy("cid").agg(F.count("*").alias("entries")), "long-entries"
+    )
+    long = sized(long)
+    more = F.least(F.coalesce("entries_a", F.lit(0)), F.coalesce("entries_b", F.lit(0)))
+    return (
+        counted.join(long.toDF("a", "entries_a"), "a", "left")
+        .join(long.toDF("b", "entries_b"), "b", "left")
+        .filter(_enough(F.col("met") + more + _beyond(F.col("large")), both))
+        .select("a", "b", both.alias("both"))
+    )
+
+
 def _likely(pairs: DataFrame, members: DataFrame) -> DataFrame:
-    """The pairs (a, b, na, nb) whose first fragments leave room for enough overlap.
+    """The pairs (a, b, both) of long lists whose prefixes leave room for enough overlap.
 
     Let a's prefix end before b's in the global order. What a's prefix shares with b lies in b's
     prefix too, so the overlap is what the prefixes share and, at most, all of a beyond its prefix.
     """
-    a = members.select(F.col("cid").alias("a"), F.col("edge").alias("ea"), F.col("shared").alias("sa"))
-    b = members.select(F.col("cid").alias("b"), F.col("edge").alias("eb"), F.col("shared").alias("sb"))
-    beyond = [F.ceil(F.col(n) * PERCENT / 100) - 1 for n in ("na", "nb")]
-    most = F.size(F.array_intersect("sa", "sb")) + F.when(
-        F.col("ea") <= F.col("eb"), beyond[0]
-    ).otherwise(beyond[1])
+    columns = ("cid", "edge", "shared", "others")
+    a, b = (members.select(*[F.col(c).alias(f"{s}_{c}") for c in columns]) for s in "ab")
+    beyond = F.when(F.col("a_edge") <= F.col("b_edge"), _beyond(F.col("na"))).otherwise(_beyond(F.col("nb")))
+    most = F.size(F.array_intersect("a_shared", "b_shared")) + F.least("a_others", "b_others") + beyond
+    both = F.col("na") + F.col("nb")
     return (
-        pairs.join(a, "a")
-        .join(b, "b")
-        .filter(most * (100 + PERCENT) >= PERCENT * (F.col("na") + F.col("nb")))
-        .select("a", "b", "na", "nb")
+        pairs.join(a.withColumnRenamed("a_cid", "a"), "a")
+        .join(b.withColumnRenamed("b_cid", "b"), "b")
+        .filter(_enough(most, both))
+        .select("a", "b", both.alias("both"))
     )
 
 
@@ -197,9 +254,9 @@ def _verified(pairs: DataFrame, segments: DataFrame) -> DataFrame:
         pairs.join(left, "a")
         .join(right, ["b", "fragment"])
         .withColumn("partial", overlap)
-        .groupBy("a", "b", "na", "nb")
-        .agg(F.sum("partial").alias("both"))
-        .filter(F.col("both") * 100 >= PERCENT * (F.col("na") + F.col("nb") - F.col("both")))
+        .groupBy("a", "b", "both")
+        .agg(F.sum("partial").alias("met"))
+        .filter(F.col("met") * 100 >= PERCENT * (F.col("both") - F.col("met")))
         .select("a", "b")
         .distinct()
     )
@@ -213,7 +270,15 @@ def _room(na: Column, i: Column, nb: Column, j: Column) -> Column:
     """
     rest = F.least(na - i, nb - j)
     sizes = (na * 100 >= PERCENT * nb) & (nb * 100 >= PERCENT * na)
-    return sizes & (rest * (100 + PERCENT) >= PERCENT * (na + nb))
+    return sizes & _enough(rest, na + nb)
+
+
+def _n(packed: str) -> Column:
+    return F.shiftright(packed, 31)
+
+
+def _place(packed: str) -> Column:
+    return F.col(packed) % _PACK
 
 
 def _star_pairs(lists: DataFrame, turn: int) -> DataFrame:
@@ -258,6 +323,19 @@ def _all_pairs(lists: DataFrame) -> DataFrame:
     )
 
 
+def _split(lists: DataFrame, classes: DataFrame) -> DataFrame:
+    """The lists by a second shingle, which comes after the first in the prefix or next to its end.
+
+    Different sets that are similar share two shingles or more. At least two of them lie within the
+    prefix and one shingle more of either set, so a pair meets under its first two.
+    """
+    after = F.expr(f"slice(prefix, place + 2, greatest({_INDEXED} - place, 0))")
+    pairs = lists.join(classes.select("cid", "prefix"), "cid").select(
+        "cid", "n", "place", "token", F.explode(after).alias("second")
+    )
+    return pairs.select(F.xxhash64("token", "second").alias("token"), "cid", "n", "place")
+
+
 def _open_lists(lists: DataFrame, components: DataFrame) -> DataFrame:
     """Posting lists with each member's class, without those that lie in one class."""
     current = lists.join(components, "cid")
@@ -308,47 +386,52 @@ def similarity_classes(df: DataFrame, key: str = "doc_id", text: str = "text") -
         sets.filter("digest is not null and key is not null")
         .groupBy("digest")
         .agg(F.min("key").alias("min_key"), F.first("n").alias("n"), F.first("prefix").alias("prefix"))
-        .withColumn("edge", F.element_at("prefix", -1))
+        .withColumn("edge", F.expr(f"element_at(prefix, {_INDEXED})"))
         .withColumn("cid", F.monotonically_increasing_id()),
         "shingle-classes",
     )
     # Size and place as one number, so that a hash aggregate gives both entries of a list of two.
     packed = (F.col("n") * _PACK + F.col("place")).alias("packed")
-    postings = classes.select("cid", "n", F.posexplode("prefix").alias("place", "token"))
-    dealt = postings.select("token", "cid", packed).repartition("token")
-    unpacked = lambda c: (F.shiftright(c, 31), F.col(c) % _PACK)
-    shared = (
-        dealt.groupBy("token")
+    indexed = F.posexplode(F.expr(f"slice(prefix, 1, {_INDEXED})")).alias("place", "token")
+    postings = classes.select("cid", "n", indexed).select("token", "cid", packed)
+    shared = materialize(
+        postings.groupBy("token")
         .agg(
             F.count("*").alias("members"),
+            F.min("cid").alias("a"),
+            F.max("cid").alias("b"),
             F.min("packed").alias("low"),
             F.max("packed").alias("high"),
         )
-        .filter("members > 1")
-        .select(
-            "token", ((F.col("members") > 2) | _room(*unpacked("low"), *unpacked("high"))).alias("open")
-        )
+        .filter("members > 1"),
+        "shingle-lists",
     )
+    several = sized(shared.filter("members > 2").select("token", "members"))
     entries = materialize(
-        dealt.join(shared, "token").select(
-            "token", "cid", unpacked("packed")[0].alias("n"), unpacked("packed")[1].alias("place"), "open"
+        postings.join(several, "token").select(
+            "token", "cid", _n("packed").alias("n"), _place("packed").alias("place"), "members"
         ),
-        "shingle-lists",
+        "list-entries",
     )
-    lists = entries.filter("open").drop("open")
+    short = F.col("members") <= SHORT
+    lists = entries.filter(~short).drop("members")
+    twos = shared.filter("members = 2")
+    others = (
+        twos.select(F.col("a").alias("cid")).union(twos.select("b"))
+        .union(entries.filter(short).select("cid"))
+        .groupBy("cid").agg(F.count("*").alias("others"))
+    )
     members = materialize(
-        entries.groupBy("cid")
-        .agg(F.collect_list("token").alias("shared"), F.max("open").alias("any_open"))
-        .filter("any_open")
+        lists.groupBy("cid").agg(F.collect_list("token").alias("shared"))
         .join(classes.select("cid", "edge"), "cid")
-        .select("cid", "edge", "shared"),
+        .join(others, "cid", "left")
+        .select("cid", "edge", "shared", F.coalesce("others", F.lit(0)).alias("others")),
         "list-members",
-    )
-    pivots = lists.approxQuantile("token", [k / FRAGMENTS for k in range(1, FRAGMENTS)], 0.05)
+    )
+    pivots = shared.approxQuantile("token", [k / FRAGMENTS for k in range(1, FRAGMENTS)], 0.05)
     pivots = sorted({int(p) for p in pivots})
 
-    def verified(pairs: DataFrame) -> DataFrame:
-        likely = materialize(_likely(pairs, members), "pairs")
+    def verified(likely: DataFrame) -> DataFrame:
         ends = likely.select(F.col("a").alias("cid")).union(likely.select("b")).distinct()
         wanted = materialize(
             classes.select("cid", "digest", "min_key").join(
@@ -359,13 +442,22 @@ def similarity_classes(df: DataFrame, key: str = "doc_id", text: str = "text") -
         segments = materialize(_segments(df, wanted, levels, pivots, key, text), "segments")
         return materialize(_verified(likely, segments), "links")
 
-    components = members.select("cid", F.col("cid").alias("component"))
+    first = materialize(_short_pairs(shared, entries), "short-pairs")
+    ends = first.select(F.col("a").alias("cid")).union(first.select("b")).union(members.select("cid"))
+    components = materialize(ends.distinct().select("cid", F.col("cid").alias("component")), "first-classes")
+    links = verified(first)
+    if not links.isEmpty():
+        components = materialize(_merged(components, links), "merged-classes")
     for turn in range(ROUNDS + 1):
         current = materialize(_open_lists(lists, components), "open-lists")
         if current.isEmpty():
             break
-        last = turn == ROUNDS or _few_left(current)
-        links = verified(_all_pairs(current) if last else _star_pairs(current, turn))
+        few = _few_left(current)
+        if turn == ROUNDS and not few:
+            current = materialize(_open_lists(_split(current, classes), components), "split-lists")
+        last = few or turn == ROUNDS
+        pairs = _all_pairs(current) if last else _star_pairs(current, turn)
+        links = verified(materialize(_likely(pairs, members), "pairs"))
         if not links.isEmpty():
             components = materialize(_merged(components, links), "merged-classes")
         if last:
@@ -386,27 +478,43 @@ def similarity_classes(df: DataFrame, key: str = "doc_id", text: str = "text") -
 
 
 def one_per_class(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``df`` whose key names their class, all columns kept.
+    """One row of each class, all columns kept: of those with the smallest key, one by digest.
 
-    Of rows that repeat a key one stays. Rows with a null key stay: they are in no class.
+    Rows are told apart by key and text, so rows that repeat a key with different texts are judged
+    each for itself; of rows that repeat both, one stays. Rows with a null key stay: they are in no
+    class. Of rows with empty sets, which link with nothing, each different text under a key stays.
+    An empty table gives an empty one; other columns play no part, whatever their names.
     """
-    named = similarity_classes(df, key, text)
-    kept = materialize(
-        named.filter(F.col(key) == F.col("component_id")).groupBy(F.col(key).alias("key"))
-        .agg(F.count("*").alias("times")),
-        "kept-ids",
-    )
-    rows = df.select(
-        F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"),
-        F.col(f"`{key}`").cast("long").alias("key"),
+    row = F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row")
+    number = F.col(f"`{key}`").cast("long").alias("key")
+    body = F.col(f"`{text}`")
+    mark = F.xxhash64(F.coalesce(F.md5(body), F.lit("null"))).alias("mark")
+    rows = df.select(row, number, mark)
+    repeated = materialize(
+        rows.filter("key is not null").groupBy("key").agg(F.count("*").alias("times")).filter("times > 1"),
+        "repeated-keys",
     )
-    once = kept.filter("times = 1").select("key")
-    several = kept.filter("times > 1").select("key")
-    chosen = rows.join(sized(once), "key", "left_semi")
-    if not several.isEmpty():
-        again = rows.join(sized(several), "key", "left_semi")
-        chosen = chosen.unionByName(again.dropDuplicates(["key"]))
-    return chosen.unionByName(rows.filter("key is null")).select("row.*")
+    if repeated.isEmpty():
+        named = similarity_classes(df, key, text)
+        kept = named.filter(F.col(key) == F.col("component_id")).select(F.col(key).alias("key"))
+        chosen = rows.join(sized(materialize(kept, "kept-ids")), "key", "left_semi")
+    else:
+        # Every different (key, text) gets a number of its own, in the order of keys.
+        numbers = rows.filter("key is not null").select("key", "mark").distinct()
+        numbers = _numbered(materialize(numbers, "row-marks"))
+        bodies = rows.join(numbers, ["key", "mark"]).select("number", F.col(f"row.`{text}`").alias("text"))
+        bodies = materialize(bodies.dropDuplicates(["number"]), "numbered-texts")
+        named = similarity_classes(bodies, "number", "text").filter("number = component_id")
+        wanted = materialize(numbers.join(named.select("number"), "number", "left_semi"), "kept-rows")
+        chosen = rows.join(wanted.select("key", "mark"), ["key", "mark"], "left_semi")
+        chosen = chosen.dropDuplicates(["key", "mark"])
+    return chosen.select("row").unionByName(rows.filter("key is null").select("row")).select("row.*")
+
+
+def _numbered(marks: DataFrame) -> DataFrame:
+    """(key, mark, number): numbers that rise with (key, mark), by a range partitioning."""
+    ranged = marks.repartitionByRange("key", "mark").sortWithinPartitions("key", "mark")
+    return materialize(ranged.withColumn("number", F.monotonically_increasing_id()), "numbered-marks")
 
 
 def op10_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
