@@ -42,6 +42,8 @@ SHORT = 8
 #: Rounds of proposals by a few members per long list, three times as many each time, before the
 #: lists are split. They end early once all pairs are no more than a few per entry of the lists.
 ROUNDS, LEADERS, FEW = 2, 4, 4
+#: Members of different classes beyond which a list is then split by a second shingle.
+LONG = 1000
 #: Shingles of the prefix, of a set of ``n``.
 _INDEXED = f"cast(n - (n * {PERCENT} + 99) div 100 + 1 as int)"
 
@@ -336,6 +338,16 @@ def _split(lists: DataFrame, classes: DataFrame) -> DataFrame:
     return pairs.select(F.xxhash64("token", "second").alias("token"), "cid", "n", "place")
 
 
+def _bounded(lists: DataFrame, components: DataFrame, classes: DataFrame) -> DataFrame:
+    """The open lists, those beyond :data:`LONG` members split."""
+    long = lists.groupBy("token").agg(F.count("*").alias("members")).filter(F.col("members") > LONG)
+    long = materialize(long, "long-lists")
+    if long.isEmpty():
+        return lists
+    split = materialize(_open_lists(_split(lists.join(sized(long), "token"), classes), components), "split-lists")
+    return lists.join(sized(long), "token", "left_anti").unionByName(split)
+
+
 def _open_lists(lists: DataFrame, components: DataFrame) -> DataFrame:
     """Posting lists with each member's class, without those that lie in one class."""
     current = lists.join(components, "cid")
@@ -454,7 +466,7 @@ def similarity_classes(df: DataFrame, key: str = "doc_id", text: str = "text") -
             break
         few = _few_left(current)
         if turn == ROUNDS and not few:
-            current = materialize(_open_lists(_split(current, classes), components), "split-lists")
+            current = _bounded(current, components, classes)
         last = few or turn == ROUNDS
         pairs = _all_pairs(current) if last else _star_pairs(current, turn)
         links = verified(materialize(_likely(pairs, members), "pairs"))

@@ -108,6 +108,33 @@ def test_hot_group_of_near_copies(spark):
     assert as_rows(found) == sorted(brute_classes(rows))
 
 
+def test_split_lists_lose_no_link(spark, monkeypatch):
+    """Unlike texts that share long passages, and edited copies of some: no list is short."""
+    for name, value in (("SHORT", 1), ("ROUNDS", 0), ("LONG", 2), ("FEW", 0)):
+        monkeypatch.setattr(jaccard, name, value)
+    rng = random.Random(8)
+    passages, rows = [prose(rng, 40) for _ in range(6)], []
+    for _ in range(60):
+        text = [*rng.sample(passages, 3), prose(rng, rng.randrange(4, 20))]
+        rng.shuffle(text)
+        for _ in range(rng.choice([1, 1, 2, 3])):
+            words = " ".join(text).split()
+            for _ in range(rng.randrange(4)):
+                words[rng.randrange(len(words))] = f"w{rng.randrange(10**6)}"
+            rows.append((len(rows), " ".join(words)))
+    found = jaccard.similarity_classes(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert as_rows(found) == sorted(brute_classes(rows))
+
+
+def test_rows_of_one_key_are_judged_each(spark):
+    rng = random.Random(9)
+    a, b, c = (prose(rng, 30) for _ in "abc")
+    rows = [(1, a), (5, a), (5, b), (7, c), (7, b), (7, c), (9, None), (9, ""), (None, a)]
+    kept = jaccard.one_per_class(spark.createDataFrame(rows, "doc_id long, text string"))
+    expected = [(1, a), (5, b), (7, c), (9, None), (9, ""), (None, a)]
+    assert sorted(str(tuple(r)) for r in kept.collect()) == sorted(map(str, expected))
+
+
 def test_classes_of_rough_rows(spark):
     df = documents(spark)
     rows = [(r["doc_id"], r["text"]) for r in df.collect()]
