@@ -15,15 +15,23 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier, trained on the table of labels, accepts."""
+    """Documents that the classifier, trained on the table of labels, accepts.
+
+    A null text is graded as an empty one, and a repeated row like any other. Columns keep their
+    values, whatever their names. An empty table gives an empty one.
+    """
     prepare(spark)
     model = quality.train(docs, read(spark, sf_dir, "labels"), "quality")
-    graded = quality.grade(docs, model, 1.0)
-    return graded.filter("selected").select(*docs.columns)
+    return quality.accepted(docs, model, 1.0)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of similar ones, that with the smallest id."""
+    """One document of each class of similar ones, that with the smallest id.
+
+    Null and empty texts are like nothing and stay; so do rows with a null id. Of rows that repeat
+    id and text one stays; a different text under the same id is judged for itself. Other columns
+    play no part. An empty table gives an empty one.
+    """
     prepare(spark)
     return jaccard.one_per_class(docs).select(*docs.columns)
 

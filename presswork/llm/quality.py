@@ -247,6 +247,13 @@ def grade(df: DataFrame, model: Ordinal, acceptable: float, text: str = "text")
     return source.mapInArrow(run, schema)
 
 
+def accepted(df: DataFrame, model: Ordinal, acceptable: float, text: str = "text") -> DataFrame:
+    """The rows of ``df`` that the model selects, with exactly their own columns, whatever the names."""
+    names = [f"c{k}" for k in range(len(df.columns))]
+    graded = grade(df.toDF(*names), model, acceptable, names[df.columns.index(text)])
+    return graded.filter("selected").select(*names).toDF(*df.columns)
+
+
 def op7_ordinal_quality(spark: SparkSession, folder: str) -> DataFrame:
     """Every document's doc_id, expected_grade, tail_probability and selected.
 
