@@ -1,23 +1,27 @@
 """Licence notices in texts: a trained paragraph classifier, confirmed by comparison with templates.
 
-Training examples are made from notice templates: whole, without one word each, and in parts. Notices
-whose identifying words are replaced, and notices of rights and licences outside the families, make
-the class ``unknown``; a bounded sample of the corpus's own paragraphs, without those that speak of
-licences or rights, makes the class ``none``. A multinomial logistic regression on hashed word n-grams tells
-the families apart. Its probabilities are calibrated by a temperature, and the probability that a
-paragraph must reach to count as a notice at all by paragraphs of the corpus that training did not
-see. A family is confirmed if the paragraph shares enough word pairs with one of its templates;
-otherwise the notice stays ``unknown``. All steps are DataFrame or SQL functions and Spark's own
-machine learning on DataFrames; no Python runs on the executors.
+Texts are cut into lines, and lines at the ends of sentences. Training examples are made from notice
+templates: whole, without one word each, and in parts. Notices whose identifying words are replaced,
+and notices of rights and licences outside the families, make the class ``unknown``; a bounded sample
+of the corpus's own pieces, without those that speak of licences or rights, makes the class ``none``.
+
+Two logistic regressions on hashed words and word pairs share the features. The first tells notices
+from other text; it sees every piece of the corpus, as one sum over a constant array of weights. Its
+threshold is calibrated by pieces that training did not see. Neighbouring pieces it takes for parts of
+a notice are joined where no sentence ends between them, so a notice wrapped over several lines is
+one paragraph again. The second, multinomial with a calibrated temperature, tells the families apart
+in these paragraphs. A family is confirmed if the paragraph shares enough word pairs with one of its
+templates; otherwise the notice stays ``unknown``. All steps are DataFrame or SQL functions and
+Spark's own machine learning on DataFrames; no Python runs on the executors.
 """
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
-from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
-from pyspark.ml.feature import HashingTF, NGram, SQLTransformer
+from pyspark.ml.feature import CountVectorizerModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -88,61 +92,99 @@ OTHERS = [
     "Todos los derechos reservados.",
     "Esta obra está bajo una licencia libre.",
     "Tutti i diritti riservati.",
+    "Todos os direitos reservados.",
+    "Все права защищены.",
+    "Данная программа распространяется по свободной лицензии.",
+    "Копирование без письменного разрешения правообладателя запрещено.",
+    "Всі права захищено.",
+    "Με επιφύλαξη παντός δικαιώματος.",
+    "版权所有，保留所有权利。",
+    "版權所有，翻印必究。",
+    "未经许可，不得转载。",
+    "本软件按许可证条款发布。",
+    "無断転載を禁じます。",
+    "著作権者の許可なく複製することを禁じます。",
+    "모든 권리 보유. 무단 전재 금지.",
+    "جميع الحقوق محفوظة.",
+    "כל הזכויות שמורות.",
 ]
-#: Wording by which a paragraph may be a notice: no example of ``none``.
+#: Wording by which a piece may be a notice: no example of ``none``.
 _RIGHTS = (
     r"(?i)licen[cs]|lizenz|licenza|copyright|copyleft|©|\(c\) *\d|public domain|rights? reserved"
     r"|unauthori[sz]ed (copying|use)|permission|spdx|redistribut|may (not )?be (reproduced|copied|distributed)"
     r"|rechte vorbehalten|urheberrecht|droits r|derechos reservados|diritti riservati|direitos reservados"
+    r"|(?u)лиценз|ліценз|прав(а|о)|δικαιώματος|版权|版權|许可|許可|著作権|転載|转载|권리|الحقوق|זכויות"
 )
 #: Words that tell one family from another; without them a notice is one of an unknown licence.
 _NAMES = (
     "apache|mit|gnu|general|public|gpl|mozilla|mpl|bsd|clause|creative|commons|attribution|"
     "noncommercial|international|cc|by|nc|2|3|4|0"
 )
-BINS = 1 << 13
-#: Paragraphs of the corpus to learn ``none`` from, and as many again to calibrate with.
+BINS = 1 << 16
+#: How much more other text weighs than notices when the first model learns.
+PRIOR = 4.0
+#: Pieces of the corpus to learn ``none`` from, and as many again to calibrate with.
 SAMPLE = 6_000
-#: Characters from which a paragraph is taken sentence by sentence.
-LONG = 400
+#: Probability from which a piece may be part of a notice that goes on in the next one.
+PART = 0.2
 #: Share of a template's word pairs that confirms a family.
 CONFIRM = 0.7
 TEMPERATURES = (0.5, 1.0, 2.0)
 LABELS = ["none", "unknown", *TEMPLATES]
+#: Where a line is cut: white space after the end of a sentence and before a capital.
+_CUT = r"\n|(?<=[.!?])[ \t\r]+(?=\p{Lu})|(?<=[。！？])"
+_ENDS = r"[.!?。！？][\s\p{Pe}\p{Pf}\"']*$"
+#: Scripts without spaces: each character counts as a word.
+_UNSPACED = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}]"
 
 
-def paragraphs(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, paragraph, body): the lines of every text that hold a word; long ones by sentence."""
-    lines = F.split(F.col(f"`{text}`"), "\n")
-    parts = F.flatten(
-        F.transform(
-            lines,
-            lambda x: F.when(F.length(x) > LONG, F.split(x, r"(?<=[.;!?])\s+")).otherwise(F.array(x)),
-        )
-    )
-    return df.select(
-        F.col(f"`{key}`").alias("key"), F.posexplode(parts).alias("paragraph", "body")
-    ).filter(F.col("body").rlike("[A-Za-z]"))
+def _once(value: Column, use) -> Column:
+    """``use(value)`` with the value worked out once and not per use."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def pieces(text: Column) -> Column:
+    """The lines of a text, cut at the ends of sentences. Empty pieces stand for blank lines."""
+    return F.split(F.coalesce(text, F.lit("")), _CUT)
+
+
+def _words(body: Column) -> Column:
+    """Words of any script, A-Z and other capitals in lower case."""
+    wide = F.octet_length(body) > F.char_length(body)
+    apart = F.when(
+        wide & body.rlike(_UNSPACED), F.regexp_replace(body, f"({_UNSPACED})", " $1 ")
+    ).otherwise(body)
+    return F.filter(F.split(F.lower(apart), r"[^\p{L}\p{N}]+"), lambda w: w != "")
 
 
-def _words(body: str) -> Column:
-    clean = F.lower(F.regexp_replace(F.col(body), r"[^A-Za-z0-9]+", " "))
-    return F.filter(F.split(clean, " "), lambda w: w != "")
+def _neighbours(values: Column, join) -> Column:
+    """``join`` of each value and the next one."""
+    n = F.size(values)
+    return F.zip_with(
+        F.slice(values, F.lit(1), F.greatest(n - 1, F.lit(0))),
+        F.slice(values, F.lit(2), F.greatest(n - 1, F.lit(0))),
+        join,
+    )
 
 
 def _pairs(words: Column) -> Column:
     """The distinct pairs of neighbouring words, and a single word for itself."""
+    return _once(
+        words,
+        lambda w: F.array_distinct(
+            F.when(F.size(w) > 1, _neighbours(w, lambda x, y: F.concat_ws(" ", x, y))).otherwise(w)
+        ),
+    )
 
-    def of(w: Column) -> Column:
-        n = F.size(w)
-        both = F.zip_with(
-            F.slice(w, F.lit(1), F.greatest(n - 1, F.lit(0))), F.slice(w, F.lit(2), n),
-            lambda x, y: F.concat_ws(" ", x, y),
-        )
-        return F.array_distinct(F.when(n > 1, both).otherwise(w))
 
-    # Bound as the only element of an array, the words are worked out once and not per use.
-    return F.element_at(F.transform(F.array(words), of), 1)
+def _bins(body: Column) -> Column:
+    """The distinct bins of the words and the pairs of neighbouring words."""
+
+    def of(h: Column) -> Column:
+        two = _neighbours(h, lambda x, y: F.pmod(F.hash(x, y), F.lit(BINS)))
+        return F.array_distinct(F.concat(F.transform(h, lambda x: F.pmod(x, F.lit(BINS))), two))
+
+    return _once(F.transform(_words(body), lambda w: F.hash(w)), of)
 
 
 def _templates(spark: SparkSession) -> DataFrame:
@@ -152,7 +194,7 @@ def _templates(spark: SparkSession) -> DataFrame:
 
 def _examples(spark: SparkSession) -> DataFrame:
     """(label, body, part) made from the templates; ``part`` 0 is kept for calibration."""
-    words = _templates(spark).select("family", _words("notice").alias("w"))
+    words = _templates(spark).select("family", _words(F.col("notice")).alias("w"))
     n = F.size("w")
     window = F.greatest(F.ceil(n * 0.7).cast("int"), F.lit(2))
     whole = words.select("family", F.explode(F.array_repeat(F.col("w"), 8)).alias("w"))
@@ -185,22 +227,49 @@ def _examples(spark: SparkSession) -> DataFrame:
 
 
 def _similarity(spark: SparkSession) -> DataFrame:
-    """(family, grams): the templates' word pairs."""
-    return _templates(spark).select("family", _pairs(_words("notice")).alias("grams"))
+    """One row with ``templates``: the family and the word pairs of each."""
+    return _templates(spark).select("family", _pairs(_words(F.col("notice"))).alias("grams")).agg(
+        F.collect_list(F.struct("family", "grams")).alias("templates")
+    )
+
+
+def _shares(templates: Column, pairs: Column) -> Column:
+    """(family, share): how much of each template's word pairs are among the given ones."""
+    return _once(
+        pairs,
+        lambda g: F.transform(
+            templates,
+            lambda t: F.struct(
+                t["family"].alias("family"),
+                (F.size(F.array_intersect(t["grams"], g)) / F.size(t["grams"])).alias("share"),
+            ),
+        ),
+    )
 
 
 @dataclass
 class Scanner:
-    """The fitted pipeline, its temperature, and the probability from which a paragraph counts."""
+    """Both models, the second one's temperature, and the probability from which text is a notice."""
 
-    features: PipelineModel
-    classifier: LogisticRegressionModel
-    temperature: float
+    features: CountVectorizerModel
+    weights: list[float]
+    bias: float
     threshold: float
+    families: LogisticRegressionModel
+    temperature: float
+
+    def notice(self, body: Column) -> Column:
+        """Probability that ``body`` is a notice, or a part of one."""
+        # A folded constant: the optimiser parses the list once.
+        constant = F.split(F.lit(",".join(f"{w:.4g}" for w in self.weights)), ",").cast("array<double>")
+        total = F.aggregate(
+            _bins(body), F.lit(self.bias), lambda a, b: a + F.get(constant, b.cast("int"))
+        )
+        return 1 / (1 + F.exp(-total))
 
     def probabilities(self, df: DataFrame) -> DataFrame:
-        """``df`` (with ``body``) and ``p``, the calibrated probabilities in the order of LABELS."""
-        raw = self.classifier.transform(self.features.transform(df))
+        """``df`` (with ``body``) and ``p``, the calibrated probabilities of LABELS[1:]."""
+        raw = self.families.transform(_vectors(df, self.features))
 
         def softmax(scores: Column) -> Column:
             grown = lambda x: F.aggregate(
@@ -208,45 +277,48 @@ class Scanner:
             )
             return F.transform(scores, lambda x: 1 / grown(x))
 
-        # Bound as the only element of an array, the scores are worked out once and not per use.
-        p = F.element_at(F.transform(F.array(vector_to_array("rawPrediction")), softmax), 1)
-        return raw.select(*df.columns, p.alias("p"))
+        return raw.select(*df.columns, _once(vector_to_array("rawPrediction"), softmax).alias("p"))
 
 
-def _featurizer() -> Pipeline:
-    words = (
-        "SELECT *, filter(split(lower(regexp_replace(body, '[^A-Za-z0-9]+', ' ')), ' '),"
-        " w -> w <> '') AS words FROM __THIS__"
-    )
-    joined = "SELECT *, concat(words, pairs) AS grams FROM __THIS__"
-    return Pipeline(
-        stages=[
-            SQLTransformer(statement=words),
-            NGram(n=2, inputCol="words", outputCol="pairs"),
-            SQLTransformer(statement=joined),
-            HashingTF(numFeatures=BINS, binary=True, inputCol="grams", outputCol="features"),
-        ]
+def _vectors(df: DataFrame, features: CountVectorizerModel) -> DataFrame:
+    """``df`` and its bins as sparse vectors."""
+    return features.transform(
+        df.withColumn("bins", F.transform(_bins(F.col("body")), lambda b: b.cast("string")))
     )
 
 
+def _sample(corpus: DataFrame, text: str, size: int) -> DataFrame:
+    """The ``size`` distinct pieces of the corpus that are first in the order of their hashes.
+
+    A count of all pieces tells below which hash these lie; only pieces below it leave their tasks.
+    Where many repeat, so that too few are found, the bound is raised and the corpus read again.
+    """
+    column = pieces(F.col(f"`{text}`"))
+    total = corpus.agg(F.sum(F.size(column).cast("long"))).first()[0] or 0
+    order, share = F.xxhash64("body", F.lit(5)), 2.0 * size / max(total, 1)
+    while True:
+        own = corpus.select(F.explode(column).alias("body")).filter(F.col("body").rlike(r"[\p{L}\p{N}]"))
+        if share < 1:
+            own = own.filter(order < F.lit(int(-(2**63) + share * 2**64)))
+        found = materialize(own.distinct().orderBy(order, "body").limit(size), "licence-sample")
+        if share >= 1 or found.count() >= size:
+            return found
+        share *= 8
+
+
 def train(corpus: DataFrame, key: str = "doc_id", text: str = "text", sample: int = SAMPLE) -> Scanner:
-    """Fit and calibrate on the templates and a bounded sample of the corpus's paragraphs.
+    """Fit and calibrate on the templates and a bounded sample of the corpus's pieces.
 
-    Paragraphs much like a template, or with wording of licences or rights, are no examples of
-    ``none``. An empty corpus leaves the
-    templates as the only examples.
+    Pieces much like a template, or with wording of licences or rights, are no examples of ``none``.
+    An empty corpus leaves the templates as the only examples; then all text counts as a notice only
+    above 0.99.
     """
     spark = corpus.sparkSession
-    near = F.expr(
-        "element_at(transform(array(grams), g -> exists(templates,"
-        " t -> size(array_intersect(t, g)) >= 0.25 * size(t))), 1)"
-    )
-    templates = _similarity(spark).agg(F.collect_list("grams").alias("templates"))
-    order = F.xxhash64("body", F.lit(5))
+    templates = _similarity(spark)
+    like = F.exists(_shares(F.col("templates"), _pairs(_words(F.col("body")))), lambda a: a["share"] >= 0.25)
     rest = materialize(
-        paragraphs(corpus, key, text).select("body").distinct().orderBy(order, "body").limit(2 * sample)
-        .withColumn("grams", _pairs(_words("body"))).crossJoin(F.broadcast(templates))
-        .filter(~near & ~F.col("body").rlike(_RIGHTS))
+        _sample(corpus, text, 2 * sample).crossJoin(F.broadcast(templates))
+        .filter(~like & ~F.col("body").rlike(_RIGHTS))
         .select(
             F.lit("none").alias("label"), "body",
             F.pmod(F.xxhash64("body", F.lit(6)), F.lit(2)).cast("int").alias("part"),
@@ -254,78 +326,142 @@ def train(corpus: DataFrame, key: str = "doc_id", text: str = "text", sample: in
         "licence-none",
     )
     names = F.array(*[F.lit(x) for x in LABELS])
-    examples = _examples(spark).unionByName(rest).withColumn(
-        "number", (F.array_position(names, F.col("label")) - 1).cast("double")
+    features = CountVectorizerModel.from_vocabulary(
+        [str(b) for b in range(BINS)], inputCol="bins", outputCol="features"
     )
-    features = _featurizer().fit(examples)
-    counts = F.when(F.col("label") == "none", 1.0).otherwise(4.0)
-    learnt = features.transform(examples.filter("part > 0").withColumn("weight", counts))
-    classifier = LogisticRegression(
-        labelCol="number", weightCol="weight", family="multinomial", maxIter=25, regParam=1e-4
-    ).fit(materialize(learnt.select("number", "weight", "features").coalesce(4), "licence-examples"))
-    held = materialize(examples.filter("part = 0").select("body", "number"), "licence-held-out")
-    scanner = Scanner(features, classifier, 1.0, 0.5)
-    chance = F.greatest(F.element_at("p", (F.col("number") + 1).cast("int")), F.lit(1e-12))
-    foreign = F.when(F.col("number") == 0, 1 - F.col("p")[0])
+    examples = materialize(
+        _vectors(_examples(spark).unionByName(rest), features).select(
+            "body", "part", "features", F.col("label").alias("label"),
+            (F.array_position(names, F.col("label")) - 1).cast("double").alias("number"),
+        ).coalesce(4),
+        "licence-examples",
+    )
+    learnt = examples.filter("part > 0")
+    families = LogisticRegression(
+        labelCol="family", family="multinomial", maxIter=25, regParam=1e-4
+    ).fit(learnt.filter("number > 0").withColumn("family", F.col("number") - 1))
+    weights, bias = [0.0] * BINS, 0.0
+    notices, others = learnt.agg(
+        F.count_if(F.col("number") > 0), F.count_if(F.col("number") == 0)
+    ).first()
+    if others:
+        gate = LogisticRegression(
+            labelCol="notice", weightCol="weight", family="binomial", maxIter=25, regParam=1e-4
+        ).fit(
+            learnt.withColumn("notice", (F.col("number") > 0).cast("double"))
+            .withColumn("weight", F.when(F.col("number") > 0, 1.0).otherwise(PRIOR * notices / others))
+        )
+        weights, bias = gate.coefficients.toArray().tolist(), float(gate.intercept)
+    scanner = Scanner(features, weights, bias, 0.5, families, 1.0)
+    held = examples.filter("part = 0").select("body", "number")
+    if others:  # half way between the most notice-like other text and most notices, as log odds
+        odds = F.log(F.col("score") / (1 - F.col("score") + F.lit(1e-12)))
+        worst, usual = held.select("number", scanner.notice(F.col("body")).alias("score")).agg(
+            F.max(F.when(F.col("number") == 0, odds)),
+            F.percentile(F.when(F.col("number") > 0, odds), 0.1),
+        ).first()
+        worst, usual = worst or 0.0, usual or 0.0
+        middle = 1 / (1 + math.exp(-max(worst, (worst + usual) / 2)))
+        scanner.threshold = min(0.99, max(0.5, middle))
+    else:
+        scanner.threshold = 0.99
+    chance = F.greatest(F.element_at("p", F.col("number").cast("int")), F.lit(1e-12))
     tried = None
     for temperature in TEMPERATURES:
-        scored = Scanner(features, classifier, temperature, 0.5).probabilities(held).select(
-            F.lit(temperature).alias("temperature"), (-F.log(chance)).alias("loss"),
-            foreign.alias("foreign"),
-        )
+        scored = Scanner(features, weights, bias, 0.5, families, temperature).probabilities(
+            held.filter("number > 0")
+        ).select(F.lit(temperature).alias("temperature"), (-F.log(chance)).alias("loss"))
         tried = scored if tried is None else tried.union(scored)
-    rows = tried.groupBy("temperature").agg(
-        F.avg("loss").alias("loss"), F.max("foreign").alias("worst")
-    )
-    best = rows.orderBy("loss", "temperature").first()
+    best = tried.groupBy("temperature").agg(F.avg("loss").alias("loss")).orderBy("loss", "temperature").first()
     if best:
         scanner.temperature = best["temperature"]
-        scanner.threshold = min(0.99, max(0.5, best["worst"] or 0.0))
     return scanner
 
 
+def _joined(parts: Column) -> Column:
+    """Neighbouring parts made one paragraph: (at, last, body, best, ends) in order.
+
+    A part goes on with the one before it if that is the piece just before, ends no sentence, and
+    the part is not the notice of a template by itself.
+    """
+
+    def add(done: Column, part: Column) -> Column:
+        before = F.element_at(done, -1)
+        goes_on = (
+            (F.size(done) > 0) & (F.try_element_at(done, F.lit(-1))["last"] + 1 == part["at"])
+            & ~F.try_element_at(done, F.lit(-1))["ends"] & ~part["whole"]
+        )
+        fresh = F.struct(
+            part["at"].alias("at"), part["at"].alias("last"), part["body"].alias("body"),
+            part["score"].alias("best"), part["ends"].alias("ends"),
+        )
+        longer = F.struct(
+            before["at"].alias("at"), part["at"].alias("last"),
+            F.concat_ws(" ", before["body"], F.trim(part["body"])).alias("body"),
+            F.greatest(before["best"], part["score"]).alias("best"), part["ends"].alias("ends"),
+        )
+        return F.when(
+            F.coalesce(goes_on, F.lit(False)),
+            F.concat(F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.lit(0))), F.array(longer)),
+        ).otherwise(F.concat(done, F.array(fresh)))
+
+    kind = "array<struct<at:int,last:int,body:string,best:double,ends:boolean>>"
+    return F.aggregate(parts, F.array().cast(kind), lambda done, part: add(done, part).cast(kind))
+
+
 def scan(df: DataFrame, scanner: Scanner, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, paragraph, family, probability, similarity, body) of every paragraph that is a notice.
 
-    ``family`` is ``unknown`` where no template confirms the family found; ``probability`` is that
-    of a notice of any kind. Null and empty texts have no paragraphs; repeated rows give each their
-    own. Paragraphs are scored where they are read; nothing is shuffled.
+    ``paragraph`` is the place of its first piece in the text. ``family`` is ``unknown`` where no
+    template confirms the family found; ``probability`` is that of a notice of any kind, the highest
+    of the paragraph and its pieces. Null and empty texts have no paragraphs; repeated rows and rows
+    with a null key give each their own. Lines of any length and script are treated alike. Texts are
+    scored where they are read; nothing is shuffled.
     """
-    spark = df.sparkSession
-    templates = _similarity(spark).agg(
-        F.collect_list(F.struct("family", "grams")).alias("templates")
+    templates = _similarity(df.sparkSession)
+    scored = F.transform(
+        pieces(F.col("text")),
+        lambda x, i: F.struct(i.alias("at"), x.alias("body"), scanner.notice(x).alias("score")),
     )
-    scored = scanner.probabilities(paragraphs(df, key, text)).withColumn("notice", 1 - F.col("p")[0])
-    names = F.array(*[F.lit(x) for x in LABELS[2:]])
-    found = (
-        scored.filter(F.col("notice") >= scanner.threshold)
-        .withColumn("tops", F.slice("p", 3, len(LABELS)))
-        .withColumn(
-            "guess",
-            F.element_at(names, F.array_position("tops", F.array_max("tops")).cast("int")),
-        )
-        .withColumn("grams", _pairs(_words("body")))
-        .crossJoin(F.broadcast(templates))
-        .withColumn(
-            "alike",
-            F.expr(
-                "element_at(transform(array(grams), g -> transform(templates, t -> struct("
-                "size(array_intersect(t.grams, g)) / size(t.grams) AS share,"
-                " t.family AS family))), 1)"
+    likely = F.filter(
+        scored, lambda x: (x["score"] >= PART) & x["body"].rlike(r"[\p{L}\p{N}]")
+    )
+    rows = df.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"))
+    # The outer form keeps the optimiser from testing the array first, which would work it out twice.
+    few = rows.select("key", F.explode_outer(F.array(likely)).alias("parts")).filter("size(parts) > 0")
+    whole = few.crossJoin(F.broadcast(templates)).select(
+        "key", "templates",
+        F.transform(
+            "parts",
+            lambda x: F.struct(
+                x["at"].alias("at"), x["body"].alias("body"), x["score"].alias("score"),
+                x["body"].rlike(_ENDS).alias("ends"),
+                F.exists(
+                    _shares(F.col("templates"), _pairs(_words(x["body"]))),
+                    lambda a: a["share"] >= CONFIRM,
+                ).alias("whole"),
             ),
-        )
+        ).alias("parts"),
+    )
+    joined = whole.select("key", "templates", F.explode_outer(_joined(F.col("parts"))).alias("run"))
+    chance = F.greatest(F.col("run.best"), scanner.notice(F.col("run.body")))
+    names = F.array(*[F.lit(x) for x in LABELS[2:]])
+    known = joined.select(
+        "key", F.col("run.at").alias("paragraph"), F.col("run.body").alias("body"),
+        chance.alias("chance"),
+        _shares(F.col("templates"), _pairs(_words(F.col("run.body")))).alias("alike"),
+    ).filter(F.col("chance") >= scanner.threshold)
+    guessed = scanner.probabilities(known).withColumn("tops", F.slice("p", 2, len(LABELS))).withColumn(
+        "guess", F.element_at(names, F.array_position("tops", F.array_max("tops")).cast("int"))
     )
     own = F.array_max(F.expr("transform(filter(alike, a -> a.family = guess), a -> a.share)"))
     any_ = F.array_max(F.expr("transform(alike, a -> a.share)"))
     return (
-        found.withColumn("own", own)
+        guessed.withColumn("own", own)
         .withColumn("similarity", F.when(F.col("own") >= CONFIRM, F.col("own")).otherwise(any_))
         .withColumn("family", F.when(F.col("own") >= CONFIRM, F.col("guess")).otherwise("unknown"))
-        .select(
-            F.col("key").alias(key), "paragraph", "family",
-            F.col("notice").alias("probability"), "similarity", "body",
-        )
-    )
+        .select(F.col("key").alias(key), "paragraph", "family", F.col("chance").alias("probability"), "similarity", "body")
+    )
 
 
 def op9_license_scan(spark: SparkSession, folder: str) -> DataFrame:

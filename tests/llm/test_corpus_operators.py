@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import textwrap
 import re
 from zlib import crc32
 
@@ -393,3 +394,31 @@ def test_notices_unlike_all_templates_are_unknown(spark):
     found = licenses.scan(df, licenses.train(df)).toPandas()
     got = sorted((r.doc_id, r.family, r.body) for r in found.itertuples())
     assert got == [(i, "unknown", odd[i % 4]) for i in range(80)]
+
+
+def test_wrapped_notices_are_one_paragraph(spark):
+    rng = random.Random(23)
+    families = ["mit", "gpl-3.0", "bsd-3-clause", "apache-2.0"]
+    whole = [max(licenses.TEMPLATES[f], key=len) for f in families]
+    rows = []
+    for i in range(80):
+        lines = "\n".join(textwrap.wrap(whole[i % 4], 60 if i % 8 < 4 else 80))
+        rows.append((i, f"{prose(rng, 40)}.\n{lines}\n{prose(rng, 12)}"))
+    rows += [(100 + i, f"{prose(rng, 30)}\n{prose(rng, 12)}") for i in range(80)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = licenses.scan(df, licenses.train(df)).toPandas()
+    got = sorted((r.doc_id, r.family) for r in found.itertuples())
+    assert got == [(i, families[i % 4]) for i in range(80)]
+
+
+def test_notices_in_any_script_and_in_lines_of_any_length(spark):
+    rng = random.Random(29)
+    odd = ["Все права защищены.", "版权所有，保留所有权利。", "無断転載を禁じます。", "جميع الحقوق محفوظة."]
+    rows = [(i, f"{prose(rng, 40)}\n{odd[i % 4]}\n{prose(rng, 10)}") for i in range(40)]
+    notice = "This work is licensed under the GNU General Public License, version 3."
+    rows += [(50 + i, f"{prose(rng, n)}. {notice} The {prose(rng, n)}") for i, n in enumerate([5, 30, 100, 3000])]
+    rows += [(100 + i, f"The {prose(rng, 5)}. The {prose(rng, 60)}") for i in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = licenses.scan(df, licenses.train(df)).toPandas()
+    got = {(r.doc_id, r.family) for r in found.itertuples()}
+    assert got == {(i, "unknown") for i in range(40)} | {(50 + i, "gpl-3.0") for i in range(4)}
