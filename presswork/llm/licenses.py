@@ -310,8 +310,7 @@ def train(corpus: DataFrame, key: str = "doc_id", text: str = "text", sample: in
     """Fit and calibrate on the templates and a bounded sample of the corpus's pieces.
 
     Pieces much like a template, or with wording of licences or rights, are no examples of ``none``.
-    An empty corpus leaves the templates as the only examples; then all text counts as a notice only
-    above 0.99.
+    A corpus without such other text gives nothing to tell notices from; the scanner then finds none.
     """
     spark = corpus.sparkSession
     templates = _similarity(spark)
