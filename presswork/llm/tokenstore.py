@@ -87,9 +87,26 @@ class WordIds(dict):
         own = cuts[0].get("pattern", {}).get("Regex")
         self.pieces = steps == ["NFC", "Replace", "Lowercase"] and own == PATTERN
         self.older: dict[str, bytes] = {}
+        self.kept: dict[int, str] = {}
+        last = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": False}
+        if self.pieces and len(cuts) == 2 and last.items() <= cuts[1].items() and not made.get("post_processor"):
+            self.kept = self._kept()
+        self.alone = _single(self.kept)
+
+    def _kept(self) -> dict[int, str]:
+        """Characters that the tokenizer leaves as they are, and what its model sees of each."""
+        from tokenizers.pre_tokenizers import ByteLevel
+
+        seen = ByteLevel(add_prefix_space=False, use_regex=False)
+        found = [c for c in map(chr, [*range(0x21, 0x7F), *range(0xA1, 0x250)]) if self.tool.normalizer.normalize_str(c) == c]
+        return {ord(c): "".join(part for part, _ in seen.pre_tokenize_str(c)) for c in found}
 
     def learn(self, words: set[str]) -> None:
-        """Make sure that all of ``words`` are known, encoding new ones in one call."""
+        """Make sure that all of ``words`` are known, encoding new ones in one call.
+
+        A word that is one piece and stays as it is goes to the tokenizer's model at once: nothing is
+        left to normalise or to cut.
+        """
         new = [w for w in words if w not in self]
         if len(self) + len(new) > _KEPT_WORDS:
             self.older = dict(self)
@@ -97,8 +114,17 @@ class WordIds(dict):
             new = list(words)
         self.update((w, self.older[w]) for w in new if w in self.older)
         new = [w for w in new if w not in self]
-        found = self.encode(new, add_special_tokens=False)
         kind = "H" if self.kind == "<u2" else "I"
+        if self.kept:
+            merge, alone, kept, rest = self.tool.model.tokenize, self.alone, self.kept, []
+            for word in new:
+                if alone(word):
+                    found = merge(word if word.isascii() else word.translate(kept))
+                    self[word] = array(kind, [token.id for token in found]).tobytes()
+                else:
+                    rest.append(word)
+            new = rest
+        found = self.encode(new, add_special_tokens=False)
         self.update((w, array(kind, e.ids).tobytes()) for w, e in zip(new, found, strict=True))
 
     def packed(self, texts: list[str]) -> list[bytes]:
@@ -120,6 +146,22 @@ class WordIds(dict):
         return _WORDS(text) if _CONTROL(text) else text.split()
 
 
+def _single(kept: dict[int, str]):
+    """Whether a word of ``kept`` characters is a single piece, by a pattern's ``fullmatch``."""
+    letters, numbers, signs = [], [], []
+    for c in map(chr, kept):
+        if re.match(f"[{_LETTERS}]", c):
+            letters.append(c)
+        elif re.match(f"[{_NUMBERS}]", c):
+            numbers.append(c)
+        elif not c.isspace():
+            signs.append(c)
+    sets = [f"[{re.escape(''.join(s))}]" for s in (letters, numbers, signs) if s]
+    if len(sets) < 3:
+        return None
+    return re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|{sets[0]}+|{sets[1]}|{sets[2]}+").fullmatch
+
+
 @lru_cache(maxsize=2)
 def _word_ids(definition: str) -> WordIds:
     return WordIds(definition)

@@ -322,6 +322,27 @@ def test_words_are_kept_within_bounds(monkeypatch):
 
 
 # --- Nearest neighbours -----------------------------------------------------------------------
+def test_single_pieces_go_to_the_model(monkeypatch):
+    with open(tokenstore.VOCABULARY, encoding="utf-8") as file:
+        words = tokenstore.WordIds(file.read())
+    sent = []
+    encode = words.encode
+
+    def noted(batch, **options):
+        sent.extend(batch)
+        return encode(batch, **options)
+
+    monkeypatch.setattr(words, "encode", noted)
+    texts = ["Plain words, éèñß and 42 signs!! don't I'LL", "a'sb 'S ''s \x7f\xad²½ ŉ ǆ ſ", "<|endoftext|> It's", "漢字 e\u0301"]
+    rng = random.Random(4)
+    chars = [*map(chr, range(1, 0x250)), " ", " ", "'", "s"]
+    texts += ["".join(rng.choices(chars, k=40)) for _ in range(300)]
+    for text, ids in zip(texts, words.packed(texts), strict=True):
+        expected = words.tool.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(ids, words.kind).tolist() == expected, text
+    assert not {"plain", "words", "éèñß", "signs", "!!", "'s"} & set(sent)
+
+
 def brute_neighbours(vectors, k):
     ids = np.array([i for i, _ in vectors])
     m = np.array([v for _, v in vectors], float)
