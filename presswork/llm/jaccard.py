@@ -57,24 +57,31 @@ def shingle_counts(df: DataFrame, text: str = "text") -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1 << COUNT_BITS, np.uint32)
-        held: list[np.ndarray] = []
+        held, waiting = np.empty(_CHUNK, np.uint64), 0
 
         def add() -> None:
-            values, counts = np.unique(np.concatenate(held), return_counts=True)
-            held.clear()
-            bins = (values[counts > 1] >> np.uint64(64 - COUNT_BITS)).astype(np.int64)
-            np.add.at(total, bins, counts[counts > 1].astype(np.uint32))
+            own = held[:waiting]
+            own.sort()
+            same = own[1:] == own[:-1]
+            # The entries of a shingle that occurs twice or more: those like a neighbour.
+            again = np.zeros(waiting, bool)
+            again[1:] |= same
+            again[:-1] |= same
+            bins = (own[again] >> np.uint64(64 - COUNT_BITS)).astype(np.int64)
+            np.add.at(total, bins, np.uint32(1))
 
-        waiting = 0
         for _, body, bounds in slices(batches, "text"):
             values, _ = shingles(Words(body, bounds))
-            held.append(values)
-            waiting += len(values)
-            if waiting >= _CHUNK:
-                add()
-                waiting = 0
-        if held:
+            while len(values):
+                some = values[: _CHUNK - waiting]
+                held[waiting : waiting + len(some)] = some
+                waiting, values = waiting + len(some), values[len(some) :]
+                if waiting == _CHUNK:
+                    add()
+                    waiting = 0
+        if waiting:
             add()
+        del held
         bins = np.flatnonzero(total)
         for low in range(0, len(bins), 100_000):
             part = bins[low : low + 100_000]

@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import base64
 import random
+import tracemalloc
 from hashlib import sha256
+from types import SimpleNamespace
+from unittest.mock import MagicMock
 
 import numpy as np
 import pyarrow as pa
@@ -13,7 +16,7 @@ import tiktoken
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from presswork.llm import bpe, contamination, quality, toxicity
+from presswork.llm import bpe, contamination, jaccard, quality, toxicity
 from presswork.llm.frames import prepare, slices
 from tests.llm.samples import SENTENCES, documents, prose
 
@@ -102,6 +105,38 @@ def test_quality_of_rough_rows(spark):
     assert graded.columns.count("selected") == 1
 
 
+def _peak(run, batches) -> int:
+    """Most MB that Python holds at once while ``run`` goes through the batches."""
+    tracemalloc.start()
+    try:
+        for _ in run(iter(batches)):
+            pass
+        return tracemalloc.get_traced_memory()[1] >> 20
+    finally:
+        tracemalloc.stop()
+
+
+def test_features_are_made_of_few_texts_at_a_time(spark):
+    rng = random.Random(2)
+    texts = [" ".join(f"{rng.getrandbits(40):x}" for _ in range(200)) for _ in range(700)]
+    df = MagicMock()
+    df.sparkSession.sparkContext.broadcast.side_effect = lambda model: SimpleNamespace(value=model)
+    quality.grade(df, quality.Ordinal([0.0, 1.0], np.zeros(1), np.zeros(quality.BINS)), 1.0)
+    run = df.drop.return_value.mapInArrow.call_args[0][0]
+    run(iter([]))
+    assert _peak(run, [pa.RecordBatch.from_pydict({"text": texts})]) < 60
+
+
+def test_shingles_are_counted_in_place(spark):
+    rng = random.Random(3)
+    texts = [" ".join(f"{rng.getrandbits(30):x}" for _ in range(5000)) for _ in range(900)]
+    df = MagicMock()
+    jaccard.shingle_counts(df)
+    run = df.select.return_value.mapInArrow.call_args[0][0]
+    batches = [pa.RecordBatch.from_pydict({"text": texts[k : k + 10] + texts[k : k + 1]}) for k in range(0, 900, 10)]
+    assert _peak(run, batches) < 130
+
+
 def _language(texts):
     total = np.zeros(toxicity.CODES**3, np.int64)
     codes = toxicity.TABLE[np.frombuffer("".join(f" {t} " for t in texts).encode(), np.uint8)]
