@@ -291,12 +291,15 @@ def _place(packed: str) -> Column:
 
 
 def _star_pairs(lists: DataFrame, turn: int) -> DataFrame:
-    """In each posting list a few members, others each turn, with all members of other classes."""
-    sizes = lists.groupBy("token").agg(F.count("*").alias("size"))
-    chance = F.pmod(F.xxhash64("cid", F.lit(turn)), F.col("size"))
+    """In each posting list a few members, others each turn, with all members of other classes.
+
+    Those with the least hashes lead, so lists of the same members have the same leaders.
+    """
+    chance = F.shiftrightunsigned(F.xxhash64("cid", F.lit(turn)), 11) / F.lit(2.0**53)
+    sizes = lists.groupBy("token").agg(F.count("*").alias("size"), F.min(chance).alias("least"))
     leaders = (
         lists.join(sizes, "token")
-        .filter(chance < LEADERS * 3**turn)
+        .filter((chance == F.col("least")) | (chance * F.col("size") < LEADERS * 3**turn))
         .select("token", F.struct("cid", "n", "place", "component").alias("leader"))
     )
     first = F.col("cid") < F.col("leader.cid")

@@ -109,6 +109,16 @@ def test_hot_group_of_near_copies(spark):
     assert as_rows(found) == sorted(brute_classes(rows))
 
 
+def test_lists_of_the_same_members_have_the_same_leaders(spark):
+    lists = (
+        spark.range(20).withColumnRenamed("id", "token").crossJoin(spark.range(400).withColumnRenamed("id", "cid"))
+        .filter("cid < 380 + token")
+        .select("token", "cid", F.lit(100).alias("n"), F.lit(0).alias("place"), F.col("cid").alias("component"))
+    )
+    # Of 79,800 pairs; about LEADERS times 400 if all lists agree.
+    assert 0 < jaccard._star_pairs(lists, 0).count() < 4 * jaccard.LEADERS * 400
+
+
 def test_split_lists_lose_no_link(spark, monkeypatch):
     """Unlike texts that share long passages, and edited copies of some: no list is short."""
     for name, value in (("SHORT", 1), ("ROUNDS", 0), ("LONG", 2), ("FEW", 0)):
