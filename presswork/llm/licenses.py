@@ -249,7 +249,10 @@ def _shares(templates: Column, pairs: Column) -> Column:
 
 @dataclass
 class Scanner:
-    """Both models, the second one's temperature, and the probability from which text is a notice."""
+    """Both models, the second one's temperature, and the probability from which text is a notice.
+
+    ``features`` are the second model's: the bins that its examples have.
+    """
 
     features: CountVectorizerModel
     weights: list[float]
@@ -280,6 +283,10 @@ class Scanner:
         return raw.select(*df.columns, _once(vector_to_array("rawPrediction"), softmax).alias("p"))
 
 
+def _vocabulary(bins: list[str]) -> CountVectorizerModel:
+    return CountVectorizerModel.from_vocabulary(bins, inputCol="bins", outputCol="features")
+
+
 def _vectors(df: DataFrame, features: CountVectorizerModel) -> DataFrame:
     """``df`` and its bins as sparse vectors."""
     return features.transform(
@@ -325,20 +332,22 @@ def train(corpus: DataFrame, key: str = "doc_id", text: str = "text", sample: in
         "licence-none",
     )
     names = F.array(*[F.lit(x) for x in LABELS])
-    features = CountVectorizerModel.from_vocabulary(
-        [str(b) for b in range(BINS)], inputCol="bins", outputCol="features"
-    )
+    features = _vocabulary([str(b) for b in range(BINS)])
     examples = materialize(
         _vectors(_examples(spark).unionByName(rest), features).select(
-            "body", "part", "features", F.col("label").alias("label"),
+            "body", "part", "bins", "features", F.col("label").alias("label"),
             (F.array_position(names, F.col("label")) - 1).cast("double").alias("number"),
         ).coalesce(4),
         "licence-examples",
     )
     learnt = examples.filter("part > 0")
+    # Bins that no example has would keep the weight 0 in every class; left out, they take no room.
+    own = learnt.filter("number > 0").withColumn("family", F.col("number") - 1).drop("features")
+    seen = own.select(F.explode("bins").alias("bin")).distinct().orderBy(F.col("bin").cast("int"))
+    known = _vocabulary([row["bin"] for row in seen.collect()])
     families = LogisticRegression(
         labelCol="family", family="multinomial", maxIter=25, regParam=1e-4
-    ).fit(learnt.filter("number > 0").withColumn("family", F.col("number") - 1))
+    ).fit(known.transform(own))
     weights, bias = [0.0] * BINS, 0.0
     notices, others = learnt.agg(
         F.count_if(F.col("number") > 0), F.count_if(F.col("number") == 0)
@@ -351,7 +360,7 @@ def train(corpus: DataFrame, key: str = "doc_id", text: str = "text", sample: in
             .withColumn("weight", F.when(F.col("number") > 0, 1.0).otherwise(PRIOR * notices / others))
         )
         weights, bias = gate.coefficients.toArray().tolist(), float(gate.intercept)
-    scanner = Scanner(features, weights, bias, 0.5, families, 1.0)
+    scanner = Scanner(known, weights, bias, 0.5, families, 1.0)
     held = examples.filter("part = 0").select("body", "number")
     if others:  # half way between the most notice-like other text and most notices, as log odds
         odds = F.log(F.col("score") / (1 - F.col("score") + F.lit(1e-12)))
@@ -367,7 +376,7 @@ def train(corpus: DataFrame, key: str = "doc_id", text: str = "text", sample: in
     chance = F.greatest(F.element_at("p", F.col("number").cast("int")), F.lit(1e-12))
     tried = None
     for temperature in TEMPERATURES:
-        scored = Scanner(features, weights, bias, 0.5, families, temperature).probabilities(
+        scored = Scanner(known, weights, bias, 0.5, families, temperature).probabilities(
             held.filter("number > 0")
         ).select(F.lit(temperature).alias("temperature"), (-F.log(chance)).alias("loss"))
         tried = scored if tried is None else tried.union(scored)

@@ -415,6 +415,13 @@ def test_licences(spark):
     assert "Python" not in plan and "Arrow" not in plan
 
 
+def test_the_model_of_families_is_no_larger_than_its_examples(spark):
+    prepare(spark)
+    scanner = licenses.train(documents(spark), sample=300)
+    bins = licenses._examples(spark).select(F.explode(licenses._bins(F.col("body")))).distinct().count()
+    assert scanner.families.numFeatures == len(scanner.features.vocabulary) <= bins < licenses.BINS / 4
+
+
 def test_notices_unlike_all_templates_are_unknown(spark):
     rng = random.Random(17)
     odd = ["All rights reserved.", "Unauthorized copying of this file is prohibited.",
