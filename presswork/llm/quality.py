@@ -29,6 +29,8 @@ SAMPLE = 6000
 PASSES = 150
 #: Bytes of text that are made into features at a time: these take about a hundred times as much.
 FEATURE_BYTES = 1 << 18
+#: Entries of the sample that the fit works on at a time, so that it holds little besides them.
+FIT_ENTRIES = 1 << 18
 #: Weight of the penalty on squared weights.
 PENALTY = 2e-4
 #: Probability of the acceptable grade from which a text is selected.
@@ -135,6 +137,17 @@ def _sums(rows: np.ndarray, bins: np.ndarray, values: np.ndarray, weights: np.nd
     return np.bincount(rows, part, minlength=n)
 
 
+def _added(index: np.ndarray, of: np.ndarray, table: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
+    """``np.bincount(index, table[of] * values, n)``, in the same order of additions, part by part."""
+    total = np.zeros(n)
+    for low in range(0, len(index), FIT_ENTRIES):
+        some = slice(low, low + FIT_ENTRIES)
+        part = table[of[some]]
+        part *= values[some]
+        np.add.at(total, index[some].astype(np.intp), part)
+    return total
+
+
 def fit_ordinal(
     rows: np.ndarray, bins: np.ndarray, values: np.ndarray, ratings: np.ndarray,
     passes: int = PASSES, penalty: float = PENALTY,
@@ -160,7 +173,7 @@ def fit_ordinal(
         gaps = np.exp(free[1:])
         thresholds = free[0] + np.concatenate([[0], np.cumsum(gaps)])
         model = Ordinal(grades.tolist(), thresholds, weights)
-        tails = model.tails(_sums(rows, bins, values, weights, n))
+        tails = model.tails(_added(rows, bins, weights, values, n))
         # P(level) is the fall between neighbouring tails; its log's slope in each tail's argument.
         padded = np.concatenate([np.ones((n, 1)), tails, np.zeros((n, 1))], axis=1)
         chance = np.maximum(padded[np.arange(n), level] - padded[np.arange(n), level + 1], 1e-12)
@@ -171,10 +184,7 @@ def fit_ordinal(
         by_threshold = np.zeros(steps)
         np.add.at(by_threshold, level[level > 0] - 1, -up[level > 0] / n)
         np.add.at(by_threshold, level[level < steps], down[level < steps] / n)
-        part = by_score[rows]
-        part *= values
-        by_weight = np.bincount(bins, part, minlength=BINS)
-        del part
+        by_weight = _added(bins, rows, by_score, values, BINS)
         tail_sums = np.cumsum(by_threshold[::-1])[::-1]
         by_free = np.concatenate([tail_sums[:1], tail_sums[1:] * gaps])
         gradient = np.concatenate([by_weight - penalty * weights, by_free])
@@ -213,15 +223,25 @@ def train(
 
     held = chosen.mapInArrow(run, "rating double, bins binary, parts binary")
     found = held.toArrow()
-    bins = [np.frombuffer(b.as_py(), np.int16) for b in found.column("bins")]
-    parts = [np.frombuffer(b.as_py(), np.float32) for b in found.column("parts")]
-    rows = np.repeat(np.arange(len(bins)), [len(b) for b in bins])
-    if not bins:
-        return fit_ordinal(rows, np.zeros(0, int), np.zeros(0), np.zeros(0))
+    if not found.num_rows:
+        return fit_ordinal(np.zeros(0, int), np.zeros(0, int), np.zeros(0), np.zeros(0))
     ratings = np.array(found.column("rating"))
-    bins, parts = np.concatenate(bins), np.concatenate(parts)
+    (bins, counts), (parts, _) = _flat(found.column("bins"), np.int16), _flat(found.column("parts"), np.float32)
     del found  # the fit holds its own arrays, and not these a second time
-    return fit_ordinal(rows, bins.astype(np.int64), parts, ratings)
+    pa.default_memory_pool().release_unused()
+    return fit_ordinal(np.repeat(np.arange(len(counts), dtype=np.int32), counts), bins, parts, ratings)
+
+
+def _flat(column: pa.ChunkedArray, kind: type) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers that a column of binary values holds, in one array, and how many each row has."""
+    numbers, counts = [], []
+    for chunk in column.cast(pa.binary()).chunks:
+        _, offsets, data = chunk.buffers()
+        bounds = np.frombuffer(offsets, np.int32)[chunk.offset : chunk.offset + len(chunk) + 1]
+        body = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
+        numbers.append(body[bounds[0] : bounds[-1]].view(kind))
+        counts.append(np.diff(bounds) // np.dtype(kind).itemsize)
+    return np.concatenate(numbers), np.concatenate(counts)
 
 
 def grade(df: DataFrame, model: Ordinal, acceptable: float, text: str = "text") -> DataFrame:

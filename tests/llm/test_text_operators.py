@@ -289,3 +289,19 @@ def test_items_come_in_blocks(spark, monkeypatch):
     df = spark.createDataFrame([(i, "x " + t) for i, t in enumerate(texts)] + [(9, "y")], "doc_id long, text string")
     assert {(r["doc_id"], r["item_id"]) for r in contamination.matches(df, items).collect()} == {(i, i) for i in range(5)}
     assert [r["doc_id"] for r in contamination.decontaminated(df, items).collect()] == [9]
+
+
+def test_fit_holds_little_besides_its_entries():
+    rng = np.random.default_rng(3)
+    rows = np.repeat(np.arange(1000, dtype=np.int32), 1500)
+    bins = rng.integers(0, quality.BINS, len(rows)).astype(np.int16)
+    values = rng.random(len(rows), dtype=np.float32)
+    tracemalloc.start()
+    try:
+        model = quality.fit_ordinal(rows, bins, values, np.arange(1000) % 2.0, passes=1)
+        held = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert held < 9e6  # an array of numbers for all entries takes 12 MB
+    total = np.bincount(rows, model.weights[bins] * values)
+    assert (quality._added(rows, bins, model.weights, values, 1000) == total).all()
