@@ -20,7 +20,7 @@ from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from presswork.llm.components import connected_components
@@ -148,41 +148,43 @@ def shingle_sets(df: DataFrame, levels, key: str, text: str) -> DataFrame:
 def _segments(df: DataFrame, wanted: DataFrame, levels, pivots: list[int], key: str, text: str):
     """The sets of the ``wanted`` classes, cut at the pivots: (cid, fragment, tokens).
 
-    Only the texts of one row per class are read again. The digest tells it from a row that repeats
-    the id with another text.
+    Only the texts of one row per class are read again, and they bring the class along, so the sets
+    are shuffled once, to drop repeated rows. The digest tells the row from one that repeats the id
+    with another text.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, cuts = levels.value, np.array(pivots, np.int64)
-        for _, body, bounds in slices(batches, "text"):
+        for rows, body, bounds in slices(batches, "text"):
             values, limits = shingles(Words(body, bounds))
             values = _ordered(values, table)
-            digests, fragments, tokens = [], [], []
-            for low, high in zip(limits[:-1].tolist(), limits[1:].tolist(), strict=True):
+            cids, fragments, tokens = [], [], []
+            named = zip(rows.column(1).to_pylist(), rows.column(2).to_pylist(), strict=True)
+            for (cid, digest), low, high in zip(named, limits[:-1].tolist(), limits[1:].tolist(), strict=True):
                 own = np.sort(values[low:high])
-                digest = blake2b(own.tobytes(), digest_size=16).digest()
+                if blake2b(own.tobytes(), digest_size=16).digest() != digest:
+                    continue
                 for k, part in enumerate(np.split(own, np.searchsorted(own, cuts))):
                     if len(part):
-                        digests.append(digest)
+                        cids.append(cid)
                         fragments.append(k)
                         tokens.append(part)
             sizes = np.cumsum([0, *map(len, tokens)], dtype=np.int32)
             flat = np.concatenate(tokens) if tokens else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(digests, pa.binary()),
+                    pa.array(cids, pa.int64()),
                     pa.array(fragments, pa.int32()),
                     pa.ListArray.from_arrays(pa.array(sizes), pa.array(flat)),
                 ],
-                names=["digest", "fragment", "tokens"],
+                names=["cid", "fragment", "tokens"],
             )
 
-    keys = wanted.select(F.col("min_key").alias("key"))
+    keys = wanted.select(F.col("min_key").alias("key"), "cid", "digest")
     source = df.select(F.col(f"`{key}`").cast("long").alias("key"), F.col(f"`{text}`").alias("text"))
-    chosen = source.join(sized(keys), "key", "left_semi").select("text")
-    cut = chosen.mapInArrow(run, "digest binary, fragment int, tokens array<long>")
-    named = cut.join(wanted.select("cid", "digest"), "digest").select("cid", "fragment", "tokens")
-    return named.dropDuplicates(["cid", "fragment"])  # a row may stand in the input twice
+    chosen = source.join(sized(keys), "key").select("text", "cid", "digest")
+    cut = chosen.mapInArrow(run, "cid long, fragment int, tokens array<long>")
+    return cut.dropDuplicates(["cid", "fragment"])  # a row may stand in the input twice
 
 
 def _enough(most: Column, both: Column) -> Column:
@@ -291,15 +293,18 @@ def _place(packed: str) -> Column:
 
 
 def _star_pairs(lists: DataFrame, turn: int) -> DataFrame:
-    """In each posting list a few members, others each turn, with all members of other classes.
+    """In each posting list a few members, more each turn, with all members of other classes.
 
-    Those with the least hashes lead, so lists of the same members have the same leaders.
+    Those lead that stand in the most lists: of the copies of a text, they have few changes of their
+    own, and are similar to more of the others than these are among themselves. Hashes tell the rest
+    apart, so lists of the same members have the same leaders.
     """
-    chance = F.shiftrightunsigned(F.xxhash64("cid", F.lit(turn)), 11) / F.lit(2.0**53)
-    sizes = lists.groupBy("token").agg(F.count("*").alias("size"), F.min(chance).alias("least"))
+    counts = lists.groupBy("cid").agg(F.count("*").alias("lists"))
+    order = Window.partitionBy("token").orderBy(F.desc("lists"), F.xxhash64("cid", F.lit(turn)))
     leaders = (
-        lists.join(sizes, "token")
-        .filter((chance == F.col("least")) | (chance * F.col("size") < LEADERS * 3**turn))
+        lists.join(counts, "cid")
+        .withColumn("turn", F.row_number().over(order))
+        .filter(F.col("turn") <= LEADERS * 3**turn)
         .select("token", F.struct("cid", "n", "place", "component").alias("leader"))
     )
     first = F.col("cid") < F.col("leader.cid")

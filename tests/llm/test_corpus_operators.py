@@ -119,6 +119,33 @@ def test_lists_of_the_same_members_have_the_same_leaders(spark):
     assert 0 < jaccard._star_pairs(lists, 0).count() < 4 * jaccard.LEADERS * 400
 
 
+def test_the_member_of_most_lists_leads(spark):
+    rng = random.Random(6)
+    rows = [(t, c, 100, 0, c) for t in range(30) for c in {7, *rng.sample(range(200), 40)}]
+    lists = spark.createDataFrame(rows, "token long, cid long, n long, place int, component long")
+    pairs = {(r["a"], r["b"]) for r in jaccard._star_pairs(lists, 0).collect()}
+    assert all((min(c, 7), max(c, 7)) in pairs for _, c, *_ in rows if c != 7)
+
+
+def test_sets_to_compare_are_shuffled_once(spark):
+    """Also where the list of classes is above the planner's bound for broadcasts."""
+    rows = [(k, prose(random.Random(k), 30)) for k in range(6)]
+    df = spark.createDataFrame([*rows, rows[0], (1, rows[2][1])], "doc_id long, text string")
+    levels = spark.sparkContext.broadcast(jaccard._levels(jaccard.shingle_counts(df)))
+    sets = jaccard.shingle_sets(spark.createDataFrame(rows, df.schema), levels, "doc_id", "text")
+    wanted = sets.select(F.col("key").alias("cid"), "digest", F.col("key").alias("min_key")).localCheckpoint()
+    bound = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        cut = jaccard._segments(df, wanted, levels, [0], "doc_id", "text")
+        assert cut._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+        found = {(r["cid"], t) for r in cut.collect() for t in r["tokens"]}
+        assert sum(len(r["tokens"]) for r in cut.collect()) == len(found)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", bound)
+    assert {c: sum(x == c for x, _ in found) for c in range(6)} == {r["key"]: r["n"] for r in sets.collect()}
+
+
 def test_split_lists_lose_no_link(spark, monkeypatch):
     """Unlike texts that share long passages, and edited copies of some: no list is short."""
     for name, value in (("SHORT", 1), ("ROUNDS", 0), ("LONG", 2), ("FEW", 0)):
