@@ -274,24 +274,34 @@ class Scanner:
         """``df`` (with ``body``) and ``p``, the calibrated probabilities of LABELS[1:]."""
         raw = self.families.transform(_vectors(df, self.features))
 
-        def softmax(scores: Column) -> Column:
-            grown = lambda x: F.aggregate(
-                scores, F.lit(0.0), lambda a, y: a + F.exp((y - x) / F.lit(self.temperature))
-            )
-            return F.transform(scores, lambda x: 1 / grown(x))
-
+        softmax = lambda scores: _softmax(scores, F.lit(self.temperature))
         return raw.select(*df.columns, _once(vector_to_array("rawPrediction"), softmax).alias("p"))
 
 
+def _softmax(scores: Column, temperature: Column) -> Column:
+    grown = lambda x: F.aggregate(
+        scores, F.lit(0.0), lambda a, y: a + F.exp((y - x) / temperature)
+    )
+    return F.transform(scores, lambda x: 1 / grown(x))
+
+
+def _names(body: Column) -> Column:
+    return F.transform(_bins(body), lambda b: b.cast("string"))
+
+
+def _seen(examples: DataFrame) -> list[str]:
+    """The examples' bins in order. Others would keep the weight 0; left out, they take no room."""
+    seen = examples.select(F.explode("bins").alias("bin")).distinct().orderBy(F.col("bin").cast("int"))
+    return seen.toArrow().column("bin").to_pylist()
+
+
 def _vocabulary(bins: list[str]) -> CountVectorizerModel:
     return CountVectorizerModel.from_vocabulary(bins, inputCol="bins", outputCol="features")
 
 
 def _vectors(df: DataFrame, features: CountVectorizerModel) -> DataFrame:
     """``df`` and its bins as sparse vectors."""
-    return features.transform(
-        df.withColumn("bins", F.transform(_bins(F.col("body")), lambda b: b.cast("string")))
-    )
+    return features.transform(df.withColumn("bins", _names(F.col("body"))))
 
 
 def _sample(corpus: DataFrame, text: str, size: int) -> DataFrame:
@@ -332,19 +342,16 @@ def train(corpus: DataFrame, key: str = "doc_id", text: str = "text", sample: in
         "licence-none",
     )
     names = F.array(*[F.lit(x) for x in LABELS])
-    features = _vocabulary([str(b) for b in range(BINS)])
     examples = materialize(
-        _vectors(_examples(spark).unionByName(rest), features).select(
-            "body", "part", "bins", "features", F.col("label").alias("label"),
+        _examples(spark).unionByName(rest).select(
+            "body", "part", _names(F.col("body")).alias("bins"), F.col("label").alias("label"),
             (F.array_position(names, F.col("label")) - 1).cast("double").alias("number"),
         ).coalesce(4),
         "licence-examples",
     )
     learnt = examples.filter("part > 0")
-    # Bins that no example has would keep the weight 0 in every class; left out, they take no room.
-    own = learnt.filter("number > 0").withColumn("family", F.col("number") - 1).drop("features")
-    seen = own.select(F.explode("bins").alias("bin")).distinct().orderBy(F.col("bin").cast("int"))
-    known = _vocabulary([row["bin"] for row in seen.collect()])
+    own = learnt.filter("number > 0").withColumn("family", F.col("number") - 1)
+    known = _vocabulary(_seen(own))
     families = LogisticRegression(
         labelCol="family", family="multinomial", maxIter=25, regParam=1e-4
     ).fit(known.transform(own))
@@ -353,13 +360,16 @@ def train(corpus: DataFrame, key: str = "doc_id", text: str = "text", sample: in
         F.count_if(F.col("number") > 0), F.count_if(F.col("number") == 0)
     ).first()
     if others:
+        every = _vocabulary(_seen(learnt))
         gate = LogisticRegression(
             labelCol="notice", weightCol="weight", family="binomial", maxIter=25, regParam=1e-4
         ).fit(
-            learnt.withColumn("notice", (F.col("number") > 0).cast("double"))
+            every.transform(learnt).withColumn("notice", (F.col("number") > 0).cast("double"))
             .withColumn("weight", F.when(F.col("number") > 0, 1.0).otherwise(PRIOR * notices / others))
         )
-        weights, bias = gate.coefficients.toArray().tolist(), float(gate.intercept)
+        for b, weight in zip(every.vocabulary, gate.coefficients.toArray().tolist(), strict=True):
+            weights[int(b)] = weight
+        bias = float(gate.intercept)
     scanner = Scanner(known, weights, bias, 0.5, families, 1.0)
     held = examples.filter("part = 0").select("body", "number")
     if others:  # half way between the most notice-like other text and most notices, as log odds
@@ -373,13 +383,12 @@ def train(corpus: DataFrame, key: str = "doc_id", text: str = "text", sample: in
         scanner.threshold = min(0.99, max(0.5, middle))
     else:
         scanner.threshold = 0.99
-    chance = F.greatest(F.element_at("p", F.col("number").cast("int")), F.lit(1e-12))
-    tried = None
-    for temperature in TEMPERATURES:
-        scored = Scanner(known, weights, bias, 0.5, families, temperature).probabilities(
-            held.filter("number > 0")
-        ).select(F.lit(temperature).alias("temperature"), (-F.log(chance)).alias("loss"))
-        tried = scored if tried is None else tried.union(scored)
+    tries = F.explode(F.array(*[F.lit(t) for t in TEMPERATURES])).alias("temperature")
+    scored = families.transform(_vectors(held.filter("number > 0"), known)).select(
+        "number", vector_to_array("rawPrediction").alias("scores"), tries
+    )
+    chance = F.element_at(_softmax(F.col("scores"), F.col("temperature")), F.col("number").cast("int"))
+    tried = scored.select("temperature", (-F.log(F.greatest(chance, F.lit(1e-12)))).alias("loss"))
     best = tried.groupBy("temperature").agg(F.avg("loss").alias("loss")).orderBy("loss", "temperature").first()
     if best:
         scanner.temperature = best["temperature"]
@@ -451,12 +460,18 @@ def scan(df: DataFrame, scanner: Scanner, key: str = "doc_id", text: str = "text
             ),
         ).alias("parts"),
     )
-    joined = whole.select("key", "templates", F.explode_outer(_joined(F.col("parts"))).alias("run"))
-    chance = F.greatest(F.col("run.best"), scanner.notice(F.col("run.body")))
+    # The chance is worked out before the rows are: a filter on it would hold the weights once more.
+    chances = F.transform(
+        _joined(F.col("parts")),
+        lambda x: F.struct(x.alias("run"), F.greatest(x["best"], scanner.notice(x["body"])).alias("chance")),
+    )
+    joined = whole.select("key", "templates", F.explode_outer(chances).alias("found")).select(
+        "key", "templates", "found.run", "found.chance"
+    )
     names = F.array(*[F.lit(x) for x in LABELS[2:]])
     known = joined.select(
         "key", F.col("run.at").alias("paragraph"), F.col("run.body").alias("body"),
-        chance.alias("chance"),
+        "chance",
         _shares(F.col("templates"), _pairs(_words(F.col("run.body")))).alias("alike"),
     ).filter(F.col("chance") >= scanner.threshold)
     guessed = scanner.probabilities(known).withColumn("tops", F.slice("p", 2, len(LABELS))).withColumn(

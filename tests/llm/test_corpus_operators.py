@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 import random
-import textwrap
 import re
+import textwrap
 from zlib import crc32
 
 import numpy as np
@@ -449,6 +449,17 @@ def test_the_model_of_families_is_no_larger_than_its_examples(spark):
     assert scanner.families.numFeatures == len(scanner.features.vocabulary) <= bins < licenses.BINS / 4
 
 
+def test_weights_are_learnt_and_held_no_more_than_needed(spark, monkeypatch):
+    sizes, vocabulary = [], licenses._vocabulary
+    monkeypatch.setattr(licenses, "_vocabulary", lambda bins: sizes.append(len(bins)) or vocabulary(bins))
+    df = documents(spark)
+    scanner = licenses.train(df, sample=300)
+    assert len(sizes) == 2 and max(sizes) < licenses.BINS / 2  # of the families and of the first model
+    assert sum(w != 0 for w in scanner.weights) <= max(sizes)
+    plan = licenses.scan(df, scanner)._jdf.queryExecution().optimizedPlan().toString()
+    assert len(re.findall(r"\[[-.,E\d\s]{100000,}\]", plan)) == 2  # for the pieces and for the paragraphs
+
+
 def test_notices_unlike_all_templates_are_unknown(spark):
     rng = random.Random(17)
     odd = ["All rights reserved.", "Unauthorized copying of this file is prohibited.",
