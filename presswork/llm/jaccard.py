@@ -37,6 +37,10 @@ COUNT_BITS = 23
 _PACK = 1 << 31
 #: Shingles that a task counts at a time.
 _CHUNK = 4_000_000
+#: Of these, and of the bins, how many are worked on in one step.
+_STEP = 1 << 18
+#: Bytes of text that are made into shingles at a time: these take about 30 times as much.
+_TEXT_BYTES = 1 << 18
 #: Members up to which a posting list is short, and all its pairs are counted.
 SHORT = 8
 #: Rounds of proposals by a few members per long list, three times as many each time, before the
@@ -48,48 +52,54 @@ LONG = 1000
 _INDEXED = f"cast(n - (n * {PERCENT} + 99) div 100 + 1 as int)"
 
 
-def shingle_counts(df: DataFrame, text: str = "text") -> DataFrame:
-    """How often shingles repeat, added up by the top bits of their hash: (bin, n).
-
-    Every text is read. A task counts the shingles of its texts and passes on those that it met at
-    least twice, so that the many that occur once do not blur the counts.
-    """
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(1 << COUNT_BITS, np.uint32)
-        held, waiting = np.empty(_CHUNK, np.uint64), 0
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """What a task counts: (bin, n)."""
+    total = np.zeros(1 << COUNT_BITS, np.uint32)
+    # Of 32 MB at least: less than that, once freed, stays with the worker for all later stages.
+    held, waiting = np.empty(max(_CHUNK, 1 << 22), np.uint64), 0
 
-        def add() -> None:
-            own = held[:waiting]
-            own.sort()
-            same = own[1:] == own[:-1]
+    def add() -> None:
+        own = held[:waiting]
+        own.sort()
+        for low in range(0, waiting, _STEP):
             # The entries of a shingle that occurs twice or more: those like a neighbour.
-            again = np.zeros(waiting, bool)
-            again[1:] |= same
-            again[:-1] |= same
-            bins = (own[again] >> np.uint64(64 - COUNT_BITS)).astype(np.int64)
+            some = own[low : low + _STEP]
+            again = np.zeros(len(some), bool)
+            before = own[max(low - 1, 0) : low + len(some) - 1]
+            again[len(some) - len(before) :] = some[len(some) - len(before) :] == before
+            after = own[low + 1 : low + len(some) + 1]
+            again[: len(after)] |= some[: len(after)] == after
+            bins = (some[again] >> np.uint64(64 - COUNT_BITS)).astype(np.int64)
             np.add.at(total, bins, np.uint32(1))
 
-        for _, body, bounds in slices(batches, "text"):
-            values, _ = shingles(Words(body, bounds))
-            while len(values):
-                some = values[: _CHUNK - waiting]
-                held[waiting : waiting + len(some)] = some
-                waiting, values = waiting + len(some), values[len(some) :]
-                if waiting == _CHUNK:
-                    add()
-                    waiting = 0
-        if waiting:
-            add()
-        del held
-        bins = np.flatnonzero(total)
-        for low in range(0, len(bins), 100_000):
-            part = bins[low : low + 100_000]
+    for _, body, bounds in slices(batches, "text", _TEXT_BYTES):
+        values, _ = shingles(Words(body, bounds))
+        while len(values):
+            some = values[: _CHUNK - waiting]
+            held[waiting : waiting + len(some)] = some
+            waiting, values = waiting + len(some), values[len(some) :]
+            if waiting == _CHUNK:
+                add()
+                waiting = 0
+    if waiting:
+        add()
+    del held
+    for low in range(0, 1 << COUNT_BITS, _STEP):
+        part = np.flatnonzero(total[low : low + _STEP]) + low
+        if len(part):
             yield pa.RecordBatch.from_arrays(
                 [pa.array(part.astype(np.int32)), pa.array(total[part].astype(np.int64))], names=["bin", "n"]
             )
 
-    found = df.select(F.col(f"`{text}`").alias("text")).mapInArrow(run, "bin int, n long")
+
+def shingle_counts(df: DataFrame, text: str = "text") -> DataFrame:
+    """How often shingles repeat, added up by the top bits of their hash: (bin, n).
+
+    Every text is read. A task counts the shingles of its texts and passes on those that it met at
+    least twice, so that the many that occur once do not blur the counts.
+    """
+
+    found = df.select(F.col(f"`{text}`").alias("text")).mapInArrow(_counted, "bin int, n long")
     return found.groupBy("bin").agg(F.sum("n").alias("n"))
 
 
@@ -120,7 +130,7 @@ def shingle_sets(df: DataFrame, levels, key: str, text: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = levels.value
-        for rows, body, bounds in slices(batches, "text"):
+        for rows, body, bounds in slices(batches, "text", _TEXT_BYTES):
             values, limits = shingles(Words(body, bounds))
             values = _ordered(values, table)
             digests, prefixes = [], []
@@ -155,7 +165,7 @@ def _segments(df: DataFrame, wanted: DataFrame, levels, pivots: list[int], key:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, cuts = levels.value, np.array(pivots, np.int64)
-        for rows, body, bounds in slices(batches, "text"):
+        for rows, body, bounds in slices(batches, "text", _TEXT_BYTES):
             values, limits = shingles(Words(body, bounds))
             values = _ordered(values, table)
             cids, fragments, tokens = [], [], []

@@ -32,6 +32,8 @@ MIN_WORDS = 12
 RADIUS = 4
 #: Bits of the table that tells which units may repeat (8 MB, whatever the corpus).
 FILTER_BITS = 26
+#: Bytes of text that are cut into units at a time.
+TEXT_BYTES = 1 << 18
 #: Documents with repeats up to which their spans are sent to the texts.
 SENT_ROWS = 300_000
 _NO_ID = 2**63 - 1
@@ -76,7 +78,7 @@ def _units_of(
     batches: Iterator[pa.RecordBatch], min_words: int, wanted: np.ndarray | None = None
 ) -> Iterator[pa.RecordBatch]:
     """The units of a task's texts; with ``wanted`` only those whose hash has its bit there."""
-    for rows, body, bounds in slices(batches, "text"):
+    for rows, body, bounds in slices(batches, "text", TEXT_BYTES):
         words = Words(body, bounds, letters_only=True)
         if not len(words):
             continue

@@ -5,15 +5,19 @@ from __future__ import annotations
 import random
 import re
 import textwrap
+import tracemalloc
+from collections import Counter
 from zlib import crc32
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from presswork.llm import components, jaccard, licenses, neighbours, repeats, sharding, tokenstore
-from presswork.llm.frames import prepare
+from presswork.llm.frames import prepare, texts
+from presswork.llm.words import Words, shingles
 from presswork.session import scratch_root
 from tests.llm.samples import documents, prose
 
@@ -109,6 +113,45 @@ def test_hot_group_of_near_copies(spark):
     assert as_rows(found) == sorted(brute_classes(rows))
 
 
+def _batches(bodies: list[str]) -> list[pa.RecordBatch]:
+    ids = pa.array(range(len(bodies)), pa.int64())
+    return pa.Table.from_arrays([ids, ids, pa.array(bodies)], names=["key", "order", "text"]).to_batches(1000)
+
+
+def _peak_mb(rows) -> float:
+    """Of what numpy takes while ``rows`` are worked out."""
+    tracemalloc.start()
+    try:
+        for _ in rows:
+            pass
+        return tracemalloc.get_traced_memory()[1] / 1e6
+    finally:
+        tracemalloc.stop()
+
+
+def test_workers_hold_little_text_as_arrays():
+    """A worker stays, with what it once took, for all stages of the pipeline."""
+    rng = random.Random(18)
+    batches = _batches([prose(rng, 100) for _ in range(2000)] * 2)
+    assert _peak_mb(jaccard._counted(iter(batches))) < 85  # two tables of 32 MB, and a slice
+    assert _peak_mb(repeats._units_of(iter(batches), 12)) < 25
+
+
+@pytest.mark.parametrize("step", [1, 2, 7, 1 << 18])
+def test_shingles_are_counted_across_steps(monkeypatch, step):
+    monkeypatch.setattr(jaccard, "_STEP", step)
+    monkeypatch.setattr(jaccard, "COUNT_BITS", 10)
+    rng = random.Random(19)
+    some = [prose(rng, 9) for _ in range(12)]
+    bodies = [some[rng.randrange(12)] for _ in range(40)] + ["once and never again in this table"]
+    values = [v for t in bodies for v in shingles(Words(*texts(pa.array([t]))))[0].tolist()]
+    expected = Counter(v >> 54 for v, n in Counter(values).items() if n > 1 for _ in range(n))
+    found = Counter()
+    for part in jaccard._counted(iter(_batches(bodies))):
+        found.update(dict(zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True)))
+    assert found == expected
+
+
 def test_lists_of_the_same_members_have_the_same_leaders(spark):
     lists = (
         spark.range(20).withColumnRenamed("id", "token").crossJoin(spark.range(400).withColumnRenamed("id", "cid"))
