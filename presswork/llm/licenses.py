@@ -251,7 +251,8 @@ def _shares(templates: Column, pairs: Column) -> Column:
 class Scanner:
     """Both models, the second one's temperature, and the probability from which text is a notice.
 
-    ``features`` are the second model's: the bins that its examples have.
+    ``features`` are the second model's: the bins that its examples have. ``table`` is a written row
+    of the first one's weights.
     """
 
     features: CountVectorizerModel
@@ -260,13 +261,17 @@ class Scanner:
     threshold: float
     families: LogisticRegressionModel
     temperature: float
+    table: DataFrame | None = None
 
-    def notice(self, body: Column) -> Column:
-        """Probability that ``body`` is a notice, or a part of one."""
-        # A folded constant: the optimiser parses the list once.
-        constant = F.split(F.lit(",".join(f"{w:.4g}" for w in self.weights)), ",").cast("array<double>")
+    def notice(self, body: Column, weights: Column | None = None) -> Column:
+        """Probability that ``body`` is a notice, or a part of one.
+
+        ``weights`` is a column with the row of ``table``; without it they are a constant.
+        """
+        if weights is None:  # a folded constant: the optimiser parses the list once
+            weights = F.split(F.lit(",".join(f"{w:.4g}" for w in self.weights)), ",").cast("array<double>")
         total = F.aggregate(
-            _bins(body), F.lit(self.bias), lambda a, b: a + F.get(constant, b.cast("int"))
+            _bins(body), F.lit(self.bias), lambda a, b: a + F.get(weights, b.cast("int"))
         )
         return 1 / (1 + F.exp(-total))
 
@@ -370,11 +375,15 @@ def train(corpus: DataFrame, key: str = "doc_id", text: str = "text", sample: in
         for b, weight in zip(every.vocabulary, gate.coefficients.toArray().tolist(), strict=True):
             weights[int(b)] = weight
         bias = float(gate.intercept)
-    scanner = Scanner(known, weights, bias, 0.5, families, 1.0)
+    row = spark.createDataFrame([([float(f"{w:.4g}") for w in weights],)], "weights array<double>")
+    table = materialize(row.coalesce(1), "licence-weights")
+    scanner = Scanner(known, weights, bias, 0.5, families, 1.0, table)
     held = examples.filter("part = 0").select("body", "number")
     if others:  # half way between the most notice-like other text and most notices, as log odds
         odds = F.log(F.col("score") / (1 - F.col("score") + F.lit(1e-12)))
-        worst, usual = held.select("number", scanner.notice(F.col("body")).alias("score")).agg(
+        scored = held.withColumn("weights", table.scalar())
+        scored = scored.select("number", scanner.notice(F.col("body"), F.col("weights")).alias("score"))
+        worst, usual = scored.agg(
             F.max(F.when(F.col("number") == 0, odds)),
             F.percentile(F.when(F.col("number") > 0, odds), 0.1),
         ).first()
@@ -426,26 +435,35 @@ def _joined(parts: Column) -> Column:
     return F.aggregate(parts, F.array().cast(kind), lambda done, part: add(done, part).cast(kind))
 
 
-def scan(df: DataFrame, scanner: Scanner, key: str = "doc_id", text: str = "text") -> DataFrame:
+def scan(
+    df: DataFrame, scanner: Scanner, key: str = "doc_id", text: str = "text",
+    weights: DataFrame | None = None,
+) -> DataFrame:
     """(key, paragraph, family, probability, similarity, body) of every paragraph that is a notice.
 
     ``paragraph`` is the place of its first piece in the text. ``family`` is ``unknown`` where no
     template confirms the family found; ``probability`` is that of a notice of any kind, the highest
     of the paragraph and its pieces. Null and empty texts have no paragraphs; repeated rows and rows
     with a null key give each their own. Lines of any length and script are treated alike. Texts are
-    scored where they are read; nothing is shuffled.
+    scored where they are read; nothing is shuffled. ``weights``, the scanner's ``table``, keeps the
+    list of weights out of the plan, of whose text the driver holds several copies.
     """
     templates = _similarity(df.sparkSession)
+    held = None if weights is None else F.col("weights")
+
+    def weighed(rows: DataFrame) -> DataFrame:
+        return rows if weights is None else rows.withColumn("weights", weights.scalar())
+
     scored = F.transform(
         pieces(F.col("text")),
-        lambda x, i: F.struct(i.alias("at"), x.alias("body"), scanner.notice(x).alias("score")),
+        lambda x, i: F.struct(i.alias("at"), x.alias("body"), scanner.notice(x, held).alias("score")),
     )
     likely = F.filter(
         scored, lambda x: (x["score"] >= PART) & x["body"].rlike(r"[\p{L}\p{N}]")
     )
     rows = df.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"))
     # The outer form keeps the optimiser from testing the array first, which would work it out twice.
-    few = rows.select("key", F.explode_outer(F.array(likely)).alias("parts")).filter("size(parts) > 0")
+    few = weighed(rows).select("key", F.explode_outer(F.array(likely)).alias("parts")).filter("size(parts) > 0")
     whole = few.crossJoin(F.broadcast(templates)).select(
         "key", "templates",
         F.transform(
@@ -463,9 +481,11 @@ def scan(df: DataFrame, scanner: Scanner, key: str = "doc_id", text: str = "text
     # The chance is worked out before the rows are: a filter on it would hold the weights once more.
     chances = F.transform(
         _joined(F.col("parts")),
-        lambda x: F.struct(x.alias("run"), F.greatest(x["best"], scanner.notice(x["body"])).alias("chance")),
+        lambda x: F.struct(
+            x.alias("run"), F.greatest(x["best"], scanner.notice(x["body"], held)).alias("chance")
+        ),
     )
-    joined = whole.select("key", "templates", F.explode_outer(chances).alias("found")).select(
+    joined = weighed(whole).select("key", "templates", F.explode_outer(chances).alias("found")).select(
         "key", "templates", "found.run", "found.chance"
     )
     names = F.array(*[F.lit(x) for x in LABELS[2:]])
@@ -491,4 +511,5 @@ def op9_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     """Licence notices in the documents: doc_id, paragraph, family, probability, similarity."""
     prepare(spark)
     documents = read(spark, folder, "documents").select("doc_id", "text")
-    return scan(documents, train(documents)).drop("body")
+    scanner = train(documents)
+    return scan(documents, scanner, weights=scanner.table).drop("body")

@@ -503,6 +503,20 @@ def test_weights_are_learnt_and_held_no_more_than_needed(spark, monkeypatch):
     assert len(re.findall(r"\[[-.,E\d\s]{100000,}\]", plan)) == 2  # for the pieces and for the paragraphs
 
 
+def test_a_written_row_of_weights_stays_out_of_the_plan(spark):
+    prepare(spark)
+    rng = random.Random(20)
+    odd = ["All rights reserved.", "Released under the MIT License.", "Licensed under CC BY 4.0."]
+    rows = [(i, f"{prose(rng, 40)}\n{odd[i % 3]}\n{prose(rng, 10)}") for i in range(60)] + [(60, None), (None, odd[1])]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    scanner = licenses.train(df)
+    lean = licenses.scan(df, scanner, weights=scanner.table)
+    lean.collect()
+    assert len(lean._jdf.queryExecution().toString()) < 100_000
+    assert sorted(map(str, lean.collect())) == sorted(map(str, licenses.scan(df, scanner).collect()))
+    assert lean.count() >= 60
+
+
 def test_notices_unlike_all_templates_are_unknown(spark):
     rng = random.Random(17)
     odd = ["All rights reserved.", "Unauthorized copying of this file is prohibited.",
