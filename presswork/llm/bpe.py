@@ -14,7 +14,6 @@ from __future__ import annotations
 import base64
 import re
 from collections.abc import Iterator
-from functools import lru_cache
 from hashlib import sha256
 from itertools import islice
 from struct import pack
@@ -27,7 +26,7 @@ from ahocorasick import Automaton
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from presswork.llm.frames import prepare, read
+from presswork.llm.frames import lean, prepare, read, remembered
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
@@ -212,9 +211,9 @@ class Encoder:
         return self.pairs.decode(ids)
 
 
-@lru_cache(maxsize=2)
+@remembered
 def encoder(ranks: bytes, pattern: str) -> Encoder:
-    """One encoder per worker process and vocabulary."""
+    """One encoder per worker process and vocabulary, until a task of another operator comes."""
     return Encoder(ranks, pattern)
 
 
@@ -256,7 +255,7 @@ def encode(
                     [c.slice(low, 100) for c in others] + [ids], names=[*names, "token_ids"]
                 )
 
-    return source.mapInArrow(run, schema)
+    return source.mapInArrow(lean(run, encoder), schema)
 
 
 def decode(df: DataFrame, ids: str = "token_ids", vocabulary: str = VOCABULARY) -> DataFrame:
@@ -277,7 +276,7 @@ def decode(df: DataFrame, ids: str = "token_ids", vocabulary: str = VOCABULARY)
                 [*others, pa.array(texts, pa.binary())], names=[*names, "decoded"]
             )
 
-    return source.mapInArrow(run, schema)
+    return source.mapInArrow(lean(run, encoder), schema)
 
 
 def round_trip(
@@ -312,7 +311,7 @@ def round_trip(
             )
 
     schema = f"key {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    return source.mapInArrow(run, schema).withColumnRenamed("key", key)
+    return source.mapInArrow(lean(run, encoder), schema).withColumnRenamed("key", key)
 
 
 def op2_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from presswork.llm.frames import prepare, read, slices
+from presswork.llm.frames import lean, prepare, read, slices
 from presswork.llm.words import Words, joined
 
 #: Word edits allowed per word of an item.
@@ -226,7 +226,7 @@ def matches(
                     names=["key", "item_id", "edits", "start", "end"],
                 )
 
-        part = source.mapInArrow(run, schema)
+        part = source.mapInArrow(lean(run), schema)
         found = part if found is None else found.unionByName(part)
     return found.withColumnRenamed("key", key)
 
@@ -246,7 +246,7 @@ def decontaminated(
                 clean[[hit[0] for hit in tool.search(body, bounds)]] = False
                 yield rows.filter(pa.array(clean))
 
-        df = df.mapInArrow(run, df.schema)
+        df = df.mapInArrow(lean(run), df.schema)
     return df
 
 

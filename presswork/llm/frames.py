@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+import ctypes
+from collections.abc import Callable, Iterable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -15,6 +17,8 @@ from presswork.session import materialize, tune
 SLICE_BYTES = 1 << 20
 #: Rows of a written table below which one of its two-column projections is sent to every task.
 BROADCAST_ROWS = 1_000_000
+#: What :func:`remembered` made: the worker's tools of all operators.
+_REMEMBERED: list[Callable] = []
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -58,6 +62,42 @@ def labelled_sample(
     return materialize(found.select("text", "label"), "labelled-sample")
 
 
+def remembered(make: Callable) -> Callable:
+    """``make`` with its last results kept for the next tasks, until :func:`give_back`."""
+    kept = lru_cache(maxsize=2)(make)
+    _REMEMBERED.append(kept)
+    return kept
+
+
+def give_back(*keep: Callable) -> None:
+    """Drop the worker's tools, but for those of ``keep``, and return freed memory to the system.
+
+    The allocators hold on to what was freed, up to the most that any task took so far.
+    """
+    for tool in _REMEMBERED:
+        if tool not in keep:
+            tool.cache_clear()
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):  # the GNU library has it
+        trim(0)
+
+
+def lean(run: Callable, *keep: Callable) -> Callable:
+    """``run``, a function for ``mapInArrow``, in a worker that stays for tasks of other operators.
+
+    Before and after a task the worker keeps none of their tools, nor memory that is not in use.
+    """
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back(*keep)
+        try:
+            yield from run(batches)
+        finally:
+            give_back(*keep)
+
+    return task
+
+
 def texts(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The UTF-8 bytes of a string column, and the offsets of its rows; null counts as empty."""
     if isinstance(column, pa.ChunkedArray):

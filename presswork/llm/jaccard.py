@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from presswork.llm.components import connected_components
-from presswork.llm.frames import prepare, read, sized, slices
+from presswork.llm.frames import lean, prepare, read, sized, slices
 from presswork.llm.words import WIDTH, Words, shingles
 from presswork.session import materialize
 
@@ -99,7 +99,7 @@ def shingle_counts(df: DataFrame, text: str = "text") -> DataFrame:
     least twice, so that the many that occur once do not blur the counts.
     """
 
-    found = df.select(F.col(f"`{text}`").alias("text")).mapInArrow(_counted, "bin int, n long")
+    found = df.select(F.col(f"`{text}`").alias("text")).mapInArrow(lean(_counted), "bin int, n long")
     return found.groupBy("bin").agg(F.sum("n").alias("n"))
 
 
@@ -152,7 +152,7 @@ def shingle_sets(df: DataFrame, levels, key: str, text: str) -> DataFrame:
             )
 
     source = df.select(F.col(f"`{key}`").cast("long").alias("key"), F.col(f"`{text}`").alias("text"))
-    return source.mapInArrow(run, "key long, n long, digest binary, prefix array<long>")
+    return source.mapInArrow(lean(run), "key long, n long, digest binary, prefix array<long>")
 
 
 def _segments(df: DataFrame, wanted: DataFrame, levels, pivots: list[int], key: str, text: str):
@@ -193,7 +193,7 @@ def _segments(df: DataFrame, wanted: DataFrame, levels, pivots: list[int], key:
     keys = wanted.select(F.col("min_key").alias("key"), "cid", "digest")
     source = df.select(F.col(f"`{key}`").cast("long").alias("key"), F.col(f"`{text}`").alias("text"))
     chosen = source.join(sized(keys), "key").select("text", "cid", "digest")
-    cut = chosen.mapInArrow(run, "cid long, fragment int, tokens array<long>")
+    cut = chosen.mapInArrow(lean(run), "cid long, fragment int, tokens array<long>")
     return cut.dropDuplicates(["cid", "fragment"])  # a row may stand in the input twice
 
 

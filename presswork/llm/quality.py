@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from presswork.llm.frames import labelled_sample, prepare, read, slices
+from presswork.llm.frames import labelled_sample, lean, prepare, read, slices
 from presswork.llm.words import Words, mix
 
 #: Hash bins of the features.
@@ -221,7 +221,7 @@ def train(
                 names=["rating", "bins", "parts"],
             )
 
-    held = chosen.mapInArrow(run, "rating double, bins binary, parts binary")
+    held = chosen.mapInArrow(lean(run), "rating double, bins binary, parts binary")
     found = held.toArrow()
     if not found.num_rows:
         return fit_ordinal(np.zeros(0, int), np.zeros(0, int), np.zeros(0), np.zeros(0))
@@ -274,7 +274,7 @@ def grade(df: DataFrame, model: Ordinal, acceptable: float, text: str = "text")
                 names=[*some.schema.names, *new],
             )
 
-    return source.mapInArrow(run, schema)
+    return source.mapInArrow(lean(run), schema)
 
 
 def accepted(df: DataFrame, model: Ordinal, acceptable: float, text: str = "text") -> DataFrame:

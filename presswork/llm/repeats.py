@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from presswork.llm.frames import prepare, read, slices
+from presswork.llm.frames import lean, prepare, read, slices
 from presswork.llm.words import Words, mix
 from presswork.session import materialize
 
@@ -154,9 +154,11 @@ def units(
         "rank long, text_key long, unit int, start int, end int, words int,"
         " h1 long, h2 long, own boolean, line int"
     )
-    return source.mapInArrow(
-        lambda batches: _units_of(batches, min_words, None if wanted is None else wanted.value), schema
-    )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _units_of(batches, min_words, None if wanted is None else wanted.value)
+
+    return source.mapInArrow(lean(run), schema)
 
 
 def _filter(repeated: DataFrame) -> np.ndarray:

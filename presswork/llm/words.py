@@ -11,6 +11,8 @@ from functools import cache
 
 import numpy as np
 
+from presswork.llm.frames import remembered
+
 _BASE = 0x9E3779B97F4A7C15 | 1
 _SEED = 20_240_229
 WIDTH = 5
@@ -38,7 +40,7 @@ def _constants() -> np.ndarray:
     return np.random.default_rng(_SEED).integers(1, 2**63, 257, dtype=np.uint64) * np.uint64(2) + 1
 
 
-@cache
+@remembered
 def _powers(bits: int) -> tuple[np.ndarray, np.ndarray]:
     n = 1 << bits
     inverse = pow(_BASE, -1, 1 << 64)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 import re
+import resource
 import textwrap
 import tracemalloc
 from collections import Counter
@@ -15,7 +16,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from presswork.llm import components, jaccard, licenses, neighbours, repeats, sharding, tokenstore
+from presswork.llm import bpe, components, frames, jaccard, licenses, neighbours, repeats, sharding, tokenstore, words
 from presswork.llm.frames import prepare, texts
 from presswork.llm.words import Words, shingles
 from presswork.session import scratch_root
@@ -137,6 +138,55 @@ def test_workers_hold_little_text_as_arrays():
     assert _peak_mb(repeats._units_of(iter(batches), 12)) < 25
 
 
+def test_a_worker_keeps_no_tools_of_other_operators(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, "some text " * 30), (2, None)], "doc_id long, text string")
+    run = {}  # what each operator gives to its workers
+
+    def noted(self, task, schema):
+        run[operator] = task
+        return spark.createDataFrame([], schema)
+
+    monkeypatch.setattr(type(docs), "mapInArrow", noted)
+    operator = "tokens"
+    bpe.round_trip(docs)
+    operator = "counts"
+    jaccard.shingle_counts(docs)
+    operator = "units"
+    repeats.units(docs)
+    bodies = ["some text " * 30] * 2
+    batch = pa.RecordBatch.from_pydict({"key": [1, 2], "text": bodies})
+    rows = pa.RecordBatch.from_pydict({"rank": [1, 2], "text_key": [3, 4], "text": bodies})
+    given = {"tokens": batch, "counts": batch.select(["text"]), "units": rows}
+
+    def kept(name) -> tuple[int, int]:
+        assert list(run[name](iter([given[name]])))
+        return bpe.encoder.cache_info().currsize, words._powers.cache_info().currsize
+
+    words._powers(16)
+    assert kept("tokens") == (1, 0)
+    assert kept("tokens") == (1, 0)  # the encoder serves the next task of its operator
+    assert kept("counts") == (0, 0)
+    assert kept("tokens") == (1, 0)
+    assert kept("units") == (0, 0)
+
+
+def test_freed_memory_goes_back():
+    """Blocks below those that are still used do not stay with the worker."""
+
+    def held() -> int:
+        with open("/proc/self/statm") as file:
+            return int(file.read().split()[1]) * resource.getpagesize() // 1_000_000
+
+    def run(batches):
+        blocks = [bytearray(60_000) for _ in range(3000)]
+        last.append(blocks[-1])
+        yield from batches
+
+    last, before = [], held()
+    assert list(frames.lean(run)(iter([1, 2]))) == [1, 2]
+    assert held() - before < 90  # of 180 MB
+
+
 @pytest.mark.parametrize("step", [1, 2, 7, 1 << 18])
 def test_shingles_are_counted_across_steps(monkeypatch, step):
     monkeypatch.setattr(jaccard, "_STEP", step)
